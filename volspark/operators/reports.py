@@ -126,8 +126,8 @@ def scatter(predictions: DataFrame) -> DataFrame:
 def scatter_bounds(predictions: DataFrame) -> DataFrame:
     """Ends of the identity line: joint minimum and maximum of both columns."""
     return predictions.groupBy("symbol").agg(
-        F.least(F.min("actual"), F.min("predicted")).alias("low"),
-        F.greatest(F.max("actual"), F.max("predicted")).alias("high"),
+        F.least(F.min("actual"), F.min("predicted")).alias("line_from"),
+        F.greatest(F.max("actual"), F.max("predicted")).alias("line_to"),
     )
 
 
