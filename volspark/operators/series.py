@@ -17,6 +17,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from volspark.sinks import materialize
+
 # About 25 MB of feature rows; as a span of days it is five centuries.
 MAX_TASK_ROWS = 200_000
 
@@ -77,8 +79,9 @@ def number_rows(
         return df.withColumn(length, F.count(F.lit(1)).over(whole)) if length else df
 
     # A block of days holds at most that many rows. The block counts are a small
-    # table; their running sum is where each block starts in its series.
-    blocked = df.withColumn(
+    # table; their running sum is where each block starts in its series. The rows are
+    # read twice, so they are stored first: else each step would run those before twice.
+    blocked = materialize(df, "series").withColumn(
         "_block", F.floor(F.unix_date("date") / F.lit(float(layout.chunk_rows)))
     )
     per_series = Window.partitionBy(*keys)

@@ -21,7 +21,7 @@ from volspark.sinks import write_table
 from volspark.sources.tables import read_models, read_results
 
 # More symbols than this are not given a folder each.
-MAX_FOLDERS = 1_000
+MAX_FOLDERS = 200
 
 
 def build_processed(
