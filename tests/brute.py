@@ -1,0 +1,106 @@
+"""Slow, plain versions of the operators, to hold the Spark ones against."""
+
+import math
+from statistics import mean, stdev
+
+ROOT = math.sqrt(252)
+
+
+def full(values, i, n):
+    """The last n values up to i, or None if there are fewer or one is missing."""
+    part = values[i - n + 1 : i + 1] if i + 1 >= n else [None]
+    return None if None in part else part
+
+
+def at(values, i):
+    return values[i] if 0 <= i < len(values) else None
+
+
+def volatility(bars, window=21):
+    """One symbol's bars in date order, as dicts, to complete rows with volatility."""
+    returns = [None]
+    for before, after in zip(bars, bars[1:]):
+        ratio = after["close"] / before["close"] if before["close"] else 0
+        returns.append(math.log(ratio) if ratio > 0 else None)
+    rows = []
+    for i, bar in enumerate(bars):
+        part = full(returns, i, window)
+        if part and returns[i] is not None:
+            rows.append(bar | {"log_return": returns[i], "realized_vol": stdev(part) * ROOT})
+    return rows
+
+
+def features(rows, with_vix=True):
+    """Rows with volatility (and the index) to complete feature rows."""
+    vol, ret = [r["realized_vol"] for r in rows], [r["log_return"] for r in rows]
+    vix = [r["vix"] / 100 for r in rows] if with_vix else None
+    out = []
+    for i, row in enumerate(rows):
+        made = {f"vol_lag_{k}": at(vol, i - k) for k in (1, 5, 10, 21)}
+        for n in (5, 21):
+            part, part_ret = full(vol, i, n), full(ret, i, n)
+            made[f"vol_of_vol_{n}"] = part and stdev(part)
+            made[f"mean_return_{n}"] = part_ret and mean(part_ret)
+        for n in (5, 63):
+            part = full(ret, i, n)
+            made[f"vol_{n}d"] = part and stdev(part) * ROOT
+        made["vol_ratio"] = made["vol_5d"] / made["vol_63d"] if made["vol_63d"] else None
+        made["abs_return"] = abs(ret[i])
+        if with_vix:
+            part = full(vix, i, 5)
+            made["vix_normalized"] = vix[i]
+            made["vol_risk_premium"] = vix[i] - vol[i]
+            made["vix_lag_1"] = at(vix, i - 1)
+            made["vix_rolling_5"] = part and mean(part)
+        made["target_vol"] = at(vol, i + 5)
+        if None not in made.values():
+            out.append(row | made)
+    return out
+
+
+def folds(n, share, step, every):
+    """(score_from, train_cut) of each fold, by walking along the series."""
+    out, position, cut, since = [], int(n * share), None, 0
+    while position + step < n:
+        if cut is None or since >= every:
+            cut, since = position, 0
+        out.append((position, cut))
+        position, since = position + step, since + step
+    return out
+
+
+def runs(values, inside):
+    """(first index, index of the first value out again or None, rows) of each run."""
+    out, i = [], 0
+    while i < len(values):
+        if inside(values[i]):
+            j = i
+            while j < len(values) and inside(values[j]):
+                j += 1
+            out.append((i, j if j < len(values) else None, j - i))
+            i = j
+        i += 1
+    return out
+
+
+def sign(x):
+    return (x > 0) - (x < 0)
+
+
+def errors(actual, predicted):
+    n = len(actual)
+    gaps = [a - p for a, p in zip(actual, predicted)]
+    steps = [
+        sign(a1 - a0) == sign(p1 - p0)
+        for a0, a1, p0, p1 in zip(actual, actual[1:], predicted, predicted[1:])
+    ]
+    ma, mp = mean(actual), mean(predicted)
+    spread = math.sqrt(sum((a - ma) ** 2 for a in actual) * sum((p - mp) ** 2 for p in predicted))
+    both = sum((a - ma) * (p - mp) for a, p in zip(actual, predicted))
+    return {
+        "n": n,
+        "mae": sum(map(abs, gaps)) / n,
+        "rmse": math.sqrt(sum(g * g for g in gaps) / n),
+        "directional_accuracy": mean(map(float, steps)) if steps else None,
+        "correlation": both / spread if spread else None,
+    }

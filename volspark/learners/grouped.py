@@ -2,26 +2,28 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from volspark.learners import boosting
 from volspark.learners.boosting import BoostParams
+from volspark.learners.boosting import fit as fit_boosted
 from volspark.schemas import FITS, TARGET
 
+# What the tasks run travels with the job, so executors need not have this package.
+for _module in (__name__, fit_boosted.__module__):
+    cloudpickle.register_pickle_by_value(sys.modules[_module])
+
 # Rows times fits that one task takes on for a series before its fits are shared out.
 LANE_ROWS = 8_000
 
 
-def fit_boosted(x, y, row_idx, columns, params: BoostParams):
-    return boosting.fit(x, y, row_idx, columns, params)
-
-
 class _XGBoostModel:
     def __init__(self, booster, columns):
         self.booster, self.columns = booster, columns
