@@ -18,6 +18,8 @@ def write_table(
     symbol can be written anew alone.
     """
     writer = df.write.mode("overwrite").format(fmt)
+    if fmt == "csv":
+        writer = writer.option("header", True)
     if by_symbol:
         writer = writer.partitionBy("symbol").option("partitionOverwriteMode", "dynamic")
     writer.save(path)
