@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from volspark.catalog.queries import HIGH, LABELS, LOW, PRICES, RANGE, SMALL_FIT, TIE_SHIFT
+from volspark.catalog.queries import CUT, HIGH, LABELS, LOW, RANGE, SMALL_FIT
 from volspark.learners.boosting import (
     FINE_BUCKETS,
     PRIME,
@@ -23,13 +23,12 @@ SPLIT = "CAST(FLOOR(n * CAST(0.8 AS DOUBLE)) AS BIGINT)"
 
 
 def r(name: str, alias: str | None = None, digits: int = 6) -> str:
-    return f"ROUND({name}, {digits}) AS {alias or name}"
+    return f"FLOOR(({name}) * 1e{digits} + {CUT}e0) / 1e{digits} AS {alias or name}"
 
 
 def rs(names: list[str], digits: int = 6) -> str:
     keep = {"symbol", "date", "volume", "row_idx", "n", "fold_id", "refit_id", "side"}
-    shifted = {n: f"{n} + {TIE_SHIFT:.9f}e0" for n in PRICES}
-    return ", ".join(n if n in keep else r(shifted.get(n, n), n, digits) for n in names)
+    return ", ".join(n if n in keep else r(n, digits=digits) for n in names)
 
 
 def present(names: list[str]) -> str:

@@ -70,18 +70,19 @@ CHUNKED = SeriesLayout(256)
 SMALL_FIT = BoostParams(trees=3, depth=2)
 
 
-# A price is cents over a whole quantity, so it can end exactly half-way between two
-# rounded numbers, where engines part ways; this shift decides such a tie upwards.
-PRICES = ("open", "high", "low", "close")
-TIE_SHIFT = 1e-9
+# Prices are cents over whole quantities and do end on halves, exactly but for the
+# last bit of a sum; so the cut between two rounded numbers lies a little off the half.
+CUT = 0.5012345679
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles to ``digits`` decimals, by arithmetic that any engine repeats."""
+    scale = 10.0**digits
+
     def kept(name: str, kind: str) -> Column | str:
         if kind != "double":
             return name
-        value = F.col(name) + TIE_SHIFT if name in PRICES else F.col(name)
-        return F.round(value, digits).alias(name)
+        return (F.floor(F.col(name) * scale + CUT) / scale).alias(name)
 
     return df.select(*[kept(*column) for column in df.dtypes])
 
