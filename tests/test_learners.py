@@ -9,16 +9,19 @@ from conftest import collect
 from pyspark.sql import functions as F
 
 from volspark import WalkForward, evaluate
-from volspark.learners import boosting
+from volspark.learners import boosting, spread
 from volspark.learners.baseline import train_mean
 from volspark.learners.boosting import BoostParams, Model
 from volspark.learners.grouped import fit_grouped
 from volspark.learners.pooled import pooled, pooled_importances
+from volspark.learners.scoring import score
 from volspark.learners.spread import fit_spread
 from volspark.operators.backtest import holdout, holdout_rows, walk_forward, walk_forward_rows
 from volspark.operators.reports import importances, rounded_importances
 from volspark.operators.series import SeriesLayout
 from volspark.schemas import MODELS, PREDICTIONS, feature_columns
+from volspark.sinks import write_table
+from volspark.sources import read_models
 
 COLUMNS = feature_columns()
 
@@ -158,8 +161,9 @@ def test_embargo_trains_on_fewer_rows(features):
     assert {r.train_cut - r.n_train for r in run.models.collect()} == {5}
 
 
-def test_spread_fits_the_same_models(features):
-    rows, params = walk_forward_rows(features), BoostParams(trees=12, depth=2)
+def test_spread_fits_the_same_models(features, monkeypatch):
+    monkeypatch.setattr(spread, "TREES_PER_STATE", 2)
+    rows, params = walk_forward_rows(features), BoostParams(trees=5, depth=2)
     grouped = walk_forward(features, params=params)
     models, predictions = fit_spread(rows, COLUMNS, params)
     assert model_texts(models) == model_texts(grouped.models)
@@ -223,6 +227,34 @@ def test_pooled_learns_from_all_symbols(features):
     assert sum(shares.values()) == pytest.approx(1)
 
 
+def test_stored_models_score_later(features, tmp_path, spark):
+    params = BoostParams(trees=5)
+    run = holdout(features, params=params, store=True)
+    path = write_table(run.models, str(tmp_path / "models"))
+    again = score(features, read_models(spark, path))
+    keys = ("symbol", "date")
+    known = {(r["symbol"], r["date"]): r["predicted"] for r in collect(run.predictions, *keys)}
+    found = {(r["symbol"], r["date"]): r["predicted"] for r in collect(again, *keys)}
+    assert len(found) == 520
+    assert {k: found[k] for k in known} == known
+
+
+def test_the_latest_refit_scores(features):
+    run = walk_forward(features, params=BoostParams(trees=2), store=True)
+    assert {r.refit_id for r in score(features, run.models).collect()} == {1}
+
+
+def test_fewer_inputs(features):
+    some = holdout(features, params=BoostParams(trees=2), columns=COLUMNS[:12])
+    assert set(some.models.first().importances) == set(COLUMNS[:12])
+    thin = features.drop(*COLUMNS[12:])
+    same = holdout(thin, params=BoostParams(trees=2), columns=feature_columns(with_vix=False))
+    keys = ("symbol", "row_idx")
+    assert collect(same.predictions, *keys) == collect(some.predictions, *keys)
+    with pytest.raises(ValueError, match="vix_lag_1"):
+        holdout(thin)
+
+
 def test_unknown_learner_is_refused(features):
     with pytest.raises(ValueError, match="unknown learner"):
         walk_forward(features, learner="guess")

@@ -106,6 +106,12 @@ def base(symbol: str) -> list[tuple[str, str]]:
         ("features", f"SELECT * FROM wide_ratio WHERE {present([*FEATURES, 'target_vol'])}"),
         ("bare", f"SELECT *, {listed(plain)} FROM vol"),
         ("bare_ratio", f"SELECT *, {ratio} FROM bare"),
+        (
+            "bare_positioned",
+            f"""SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY date) - 1 AS row_idx,
+                COUNT(*) OVER (PARTITION BY symbol) AS n FROM bare_ratio
+                WHERE {present([*NO_INDEX, 'target_vol'])}""",
+        ),
         (
             "positioned",
             """SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY date) - 1 AS row_idx,
@@ -144,7 +150,7 @@ def base(symbol: str) -> list[tuple[str, str]]:
         (
             "means",
             """SELECT f.symbol, f.refit_id, AVG(p.target_vol) AS mean FROM refits f
-               JOIN positioned p ON p.symbol = f.symbol AND p.row_idx < f.train_cut
+               JOIN {source} p ON p.symbol = f.symbol AND p.row_idx < f.train_cut
                GROUP BY f.symbol, f.refit_id""",
         ),
         (
@@ -304,16 +310,18 @@ def finals() -> dict[str, str]:
     }
 
 
-def boosted(params: BoostParams) -> tuple[list[tuple[str, str]], str]:
-    """A holdout fit of a few trees, step by step."""
+def boosted(
+    params: BoostParams, columns: list[str], source: str
+) -> tuple[list[tuple[str, str]], str]:
+    """A holdout fit of a few trees on the rows of ``source``, step by step."""
     two = "POW(2e0, FLOOR(LOG2({})) - ({}))".format
     steps = [
-        ("t_rows", f"SELECT *, target_vol AS y, {SPLIT} AS cut FROM positioned"),
+        ("t_rows", f"SELECT *, target_vol AS y, {SPLIT} AS cut FROM {source} WHERE n > 0"),
         ("t_train", "SELECT * FROM t_rows WHERE row_idx < cut"),
         (
             "t_long",
             f"""SELECT symbol, row_idx, row_idx < cut AS training,
-                UNNEST(RANGE({len(FEATURES)})) AS f, UNNEST([{', '.join(FEATURES)}]) AS x
+                UNNEST(RANGE({len(columns)})) AS f, UNNEST([{', '.join(columns)}]) AS x
                 FROM t_rows""",
         ),
         (
@@ -448,7 +456,7 @@ def boosted(params: BoostParams) -> tuple[list[tuple[str, str]], str]:
         ]
     return steps, f"""SELECT s.symbol, p.date, s.row_idx, {r('s.y', 'actual', 4)},
         {r('s.predicted', 'predicted', 4)} FROM t_sum_{params.trees} s
-        JOIN positioned p ON p.symbol = s.symbol AND p.row_idx = s.row_idx
+        JOIN {source} p ON p.symbol = s.symbol AND p.row_idx = s.row_idx
         WHERE s.row_idx >= s.cut"""
 
 
@@ -471,9 +479,11 @@ def oracle_sql() -> dict[str, str]:
     flags, suppliers = base("l_returnflag"), base("l_suppkey")
     final = finals()
     texts = {name: statement(flags, sql) for name, sql in final.items()}
-    steps, predicted = boosted(SMALL_FIT)
-    texts["boosted_holdout_small"] = statement(flags + steps, predicted)
-    texts["boosted_holdout_spread"] = texts["boosted_holdout_small"]
+    steps, predicted = boosted(SMALL_FIT, FEATURES, "positioned")
+    for name in ("boosted_holdout_small", "boosted_holdout_spread", "score_stored_models"):
+        texts[name] = statement(flags + steps, predicted)
+    steps, predicted = boosted(SMALL_FIT, NO_INDEX, "bare_positioned")
+    texts["boosted_holdout_without_index"] = statement(flags + steps, predicted)
     for name in (
         "realized_vol",
         "features_full",

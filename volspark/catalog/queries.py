@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from volspark.functions import symbol_label
 from volspark.learners.boosting import BoostParams
 from volspark.learners.pooled import pooled
+from volspark.learners.scoring import score
 from volspark.learners.spread import fit_spread
 from volspark.operators import features as feature_columns_of
 from volspark.operators import reports
@@ -377,6 +378,24 @@ def _stored_models(panel: Panel) -> DataFrame:
     return read_models(panel.spark, path).select("symbol", "refit_id", "train_cut", "n_train")
 
 
+def _stored_models_score(panel: Panel) -> DataFrame:
+    """Models written, read back, and used on the rows they had not seen."""
+    run = holdout(panel.features, params=SMALL_FIT, layout=panel.layout)
+    path = write_table(run.models, scratch_path(panel.spark, "models"))
+    scored = score(panel.features, read_models(panel.spark, path)).drop("refit_id")
+    test = holdout_rows(panel.features, layout=panel.layout).filter(F.col("refit_id") == 0)
+    kept = test.select("symbol", "date", "row_idx", F.col(TARGET).alias("actual"))
+    return rounded(kept.join(scored, ["symbol", "date"]), 4)
+
+
+def _without_index(panel: Panel) -> DataFrame:
+    """The ablation: the same fit on the features that need no index."""
+    plain = feature_columns(with_vix=False)
+    bare = add_features(panel.vol, layout=panel.layout)
+    run = holdout(bare, params=SMALL_FIT, layout=panel.layout, columns=plain)
+    return rounded(run.predictions.drop("fold_id", "refit_id"), 4)
+
+
 def _pooled(panel: Panel) -> DataFrame:
     rows = holdout_rows(panel.features, layout=panel.layout)
     predictions, _ = pooled(rows, BoostParams(trees=20))
@@ -468,6 +487,8 @@ def queries() -> dict[str, Query]:
         # boosted trees
         "boosted_holdout_small": _boosted_holdout,
         "boosted_holdout_spread": _spread_holdout,
+        "boosted_holdout_without_index": _without_index,
+        "score_stored_models": _stored_models_score,
         "boosted_models": _boosted_models,
         "stored_models": _stored_models,
         "walk_forward_boosted": _boosted_predictions,

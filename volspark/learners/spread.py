@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from volspark.learners import boosting
 from volspark.learners.boosting import BoostParams
+from volspark.learners.scoring import leaf_by_value, sum_of_trees, walk_down
 from volspark.schemas import MODELS, PREDICTIONS, TARGET
 from volspark.sinks import materialize, scratch_path
 
@@ -43,33 +44,9 @@ def _sampled(tree: int, params: BoostParams) -> Column:
     return draw < int(params.subsample * prime)
 
 
-def _leaf(feature: Column, goes_right, depth: int) -> Column:
-    """Walk down from the root; a node without a feature is where the row stays."""
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(depth)),
-        F.lit(0),
-        lambda node, _: F.when(
-            F.get(feature, node) >= 0,
-            node * 2 + 1 + goes_right(F.get(feature, node), node).cast("int"),
-        ).otherwise(node),
-    )
-
-
 def _leaf_by_code(tree: Column, depth: int) -> Column:
-    return _leaf(
-        tree["feature"], lambda f, node: F.get("codes", f) > F.get(tree["bin"], node), depth
-    )
-
-
-def _leaf_by_value(tree: Column, depth: int) -> Column:
-    return _leaf(
-        tree["feature"], lambda f, node: F.get("x", f) >= F.get(tree["threshold"], node), depth
-    )
-
-
-def _sum_of_trees(start: Column, trees: Column, leaf, depth: int) -> Column:
-    return F.aggregate(
-        trees, start, lambda total, tree: total + F.get(tree["value"], leaf(tree, depth))
+    return walk_down(
+        tree["feature"], lambda f, node: F.get("codes", f) > F.get(tree["bin"], node), F.lit(depth)
     )
 
 
@@ -140,12 +117,22 @@ def _start(train: DataFrame, columns: list[str], params: BoostParams) -> DataFra
     return materialize(bases.join(borders, MODEL), "model-start")
 
 
-def _best_splits(nodes: DataFrame, params: BoostParams) -> DataFrame:
+def _best_splits(nodes: DataFrame, width: int, params: BoostParams) -> DataFrame:
     """Per model: the split of every node that has one, from summed gradients."""
+    # One number for (node, feature, bin) keeps the keys of the large aggregate short.
+    bins = params.max_bins
+    cell = (F.col("node") * width + F.col("feature")) * bins + F.col("bin")
     cells = (
         nodes.select(*MODEL, "unit", "node", "grad", F.posexplode("codes").alias("feature", "bin"))
-        .groupBy(*MODEL, "unit", "node", "feature", "bin")
-        .agg(F.sum("grad").alias("grad"), F.count(F.lit(1)).alias("rows"))
+        .groupBy(*MODEL, cell.alias("cell"))
+        .agg(
+            F.sum("grad").alias("grad"),
+            F.count(F.lit(1)).alias("rows"),
+            F.max("unit").alias("unit"),
+        )
+        .withColumn("bin", F.col("cell") % bins)
+        .withColumn("feature", F.floor(F.col("cell") / bins).cast("int") % width)
+        .withColumn("node", F.floor(F.col("cell") / (bins * width)).cast("int"))
     )
     whole = Window.partitionBy(*MODEL, "node", "feature")
     upto = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -184,7 +171,9 @@ def _fill(values: str, size: int, name: str, default) -> Column:
     )
 
 
-def _grow(state: DataFrame, start: DataFrame, tree: int, params: BoostParams, path: str) -> None:
+def _grow(
+    state: DataFrame, start: DataFrame, tree: int, width: int, params: BoostParams, path: str
+) -> None:
     """Grow one tree for every model and write it under ``path``."""
     size = 2 ** (params.depth + 1) - 1
     grad = F.rint((F.col("predicted") - F.col("y")) / F.col("unit")).cast("long")
@@ -200,7 +189,8 @@ def _grow(state: DataFrame, start: DataFrame, tree: int, params: BoostParams, pa
         placed = kept.join(growing, MODEL).withColumn(
             "node", _leaf_by_code(grown, level) if level else F.lit(0)
         )
-        splits = _best_splits(placed.filter(F.col("node") >= 2**level - 1), params)
+        open_nodes = placed.filter(F.col("node") >= 2**level - 1)
+        splits = _best_splits(open_nodes, width, params)
         growing = materialize(
             growing.join(splits, MODEL, "left").select(
                 *MODEL,
@@ -288,12 +278,14 @@ def _fit_batch(rows: DataFrame, columns: list[str], params: BoostParams, first:
         current = state
         if tree > settled:
             pending = _trees(spark, path, settled, tree)
-            total = _sum_of_trees(F.col("predicted"), F.col("trees"), _leaf_by_code, params.depth)
+            total = sum_of_trees(
+                F.col("predicted"), F.col("trees"), lambda tree: _leaf_by_code(tree, params.depth)
+            )
             current = state.join(pending, MODEL).withColumn("predicted", total).drop("trees")
             if tree - settled == TREES_PER_STATE:
                 state = current = materialize(current, "fit-state")
                 settled = tree
-        _grow(current, start, tree, params, path)
+        _grow(current, start, tree, len(columns), params, path)
     return start.join(_trees(spark, path, 0, params.trees), MODEL)
 
 
@@ -341,7 +333,7 @@ def fit_spread(
         scored = rows.filter(F.col("refit_id").isNotNull()).join(
             fitted.select(*MODEL, "base", "trees"), MODEL
         )
-        total = _sum_of_trees(F.col("base"), F.col("trees"), _leaf_by_value, params.depth)
+        total = sum_of_trees(F.col("base"), F.col("trees"), leaf_by_value)
         predictions.append(
             scored.withColumn("x", F.array(*columns))
             .withColumn("actual", F.col(TARGET))

@@ -72,12 +72,13 @@ def _run(
     layout: SeriesLayout,
     store: bool,
     max_fit_rows: int,
+    columns: list[str] | None,
 ) -> Backtest:
     if learner in BASELINES:
         return Backtest(BASELINES[learner](rows))
     if learner not in FITTERS:
         raise ValueError(f"unknown learner {learner!r}; one of {[*BASELINES, *FITTERS]}")
-    columns = require_model_columns(rows)
+    columns = require_model_columns(rows, columns)
 
     # Whole series are short by the calendar; only cut ones can outgrow a task.
     if layout.chunk_rows is None:
@@ -110,14 +111,16 @@ def walk_forward(
     layout: SeriesLayout = WHOLE,
     store: bool = False,
     max_fit_rows: int = MAX_TASK_ROWS,
+    columns: list[str] | None = None,
 ) -> Backtest:
     """Score every fold with the model of its refit, trained on all rows before its cut.
 
     ``store`` writes the fits to the shared folder once, so that reading both the
-    predictions and the models does not fit twice.
+    predictions and the models does not fit twice. ``columns`` are the inputs, all
+    sixteen features unless given.
     """
     rows = walk_forward_rows(features, plan, layout)
-    return _run(rows, learner, params, layout, store, max_fit_rows)
+    return _run(rows, learner, params, layout, store, max_fit_rows, columns)
 
 
 def holdout(
@@ -128,7 +131,8 @@ def holdout(
     layout: SeriesLayout = WHOLE,
     store: bool = False,
     max_fit_rows: int = MAX_TASK_ROWS,
+    columns: list[str] | None = None,
 ) -> Backtest:
     """Fit each series on its earliest rows and score the rest."""
     rows = holdout_rows(features, test_size, layout)
-    return _run(rows, learner, params, layout, store, max_fit_rows)
+    return _run(rows, learner, params, layout, store, max_fit_rows, columns)
