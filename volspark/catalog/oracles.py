@@ -159,6 +159,13 @@ def base(symbol: str) -> list[tuple[str, str]]:
                mean AS predicted FROM scored s JOIN means m
                ON s.symbol = m.symbol AND s.refit_id = m.refit_id""",
         ),
+        (
+            "refit_rows",
+            f"""SELECT p.symbol || '|' || CAST(f.refit_id AS VARCHAR) AS symbol, date, row_idx,
+                f.train_cut, target_vol, {', '.join(FEATURES)}
+                FROM refits f JOIN positioned p
+                ON p.symbol = f.symbol AND p.row_idx < f.score_to""",
+        ),
         (
             "held_out",
             f"""SELECT symbol, date, target_vol AS actual, realized_vol AS predicted
@@ -311,12 +318,12 @@ def finals() -> dict[str, str]:
 
 
 def boosted(
-    params: BoostParams, columns: list[str], source: str
-) -> tuple[list[tuple[str, str]], str]:
-    """A holdout fit of a few trees on the rows of ``source``, step by step."""
+    params: BoostParams, columns: list[str], source: str, cut: str = SPLIT
+) -> list[tuple[str, str]]:
+    """A holdout fit on the rows of ``source``, step by step."""
     two = "POW(2e0, FLOOR(LOG2({})) - ({}))".format
     steps = [
-        ("t_rows", f"SELECT *, target_vol AS y, {SPLIT} AS cut FROM {source} WHERE n > 0"),
+        ("t_rows", f"SELECT *, target_vol AS y, {cut} AS cut FROM {source} "),
         ("t_train", "SELECT * FROM t_rows WHERE row_idx < cut"),
         (
             "t_long",
@@ -366,15 +373,17 @@ def boosted(
         ),
         (
             "t_edges",
-            """SELECT symbol, f, border,
-               ROW_NUMBER() OVER (PARTITION BY symbol, f ORDER BY border) AS code
+            """SELECT symbol, f, border
                FROM t_rose WHERE rose AND border IS NOT NULL""",
         ),
         (
             "t_codes",
-            """SELECT l.symbol, l.row_idx, l.f, COALESCE(e.code, 0) AS code
-               FROM t_long l ASOF LEFT JOIN t_edges e
-               ON l.symbol = e.symbol AND l.f = e.f AND l.x >= e.border""",
+            """SELECT symbol, row_idx, f, code FROM (
+               SELECT symbol, row_idx, f, SUM(edge) OVER (PARTITION BY symbol, f
+               ORDER BY x, edge DESC ROWS UNBOUNDED PRECEDING) AS code FROM (
+                 SELECT symbol, row_idx, f, x, 0 AS edge FROM t_long UNION ALL
+                 SELECT symbol, NULL, f, border, 1 FROM t_edges) u) c
+               WHERE row_idx IS NOT NULL""",
         ),
         (
             "t_sum_0",
@@ -383,45 +392,42 @@ def boosted(
         ),
     ]
     limit, lam = int(params.subsample * PRIME), f"{params.reg_lambda}e0"
+    splits = []
     for t in range(params.trees):
         shift = (t * TREE_FACTOR + params.seed * SEED_FACTOR) % PRIME
         last = t * TREE_SHIFT % PRIME
         v = f"((row_idx % {PRIME} * {ROW_FACTOR} + {shift}) % {PRIME})"
         steps.append(
             (
-                f"t_draw_{t}",
-                f"""SELECT *, (v2 * v2 % {PRIME} * v % {PRIME} + {last}) % {PRIME} < {limit}
+                f"t_node_{t}_0",
+                f"""SELECT symbol, row_idx, cut, y, unit, predicted,
+                    (v2 * v2 % {PRIME} * v % {PRIME} + {last}) % {PRIME} < {limit}
                     AND row_idx < cut AS kept,
-                    CAST(ROUND_EVEN((predicted - y) / unit, 0) AS BIGINT) AS g
+                    CAST(ROUND_EVEN((predicted - y) / unit, 0) AS BIGINT) AS g,
+                    0 AS node, 0 AS level
                     FROM (SELECT *, {v} AS v, {v} * {v} % {PRIME} AS v2 FROM t_sum_{t}) d""",
             )
         )
-        steps.append((f"t_node_{t}_0", f"SELECT *, 0 AS node, 0 AS level FROM t_draw_{t}"))
         for level in range(params.depth):
-            node = f"t_node_{t}_{level}"
+            node, best = f"t_node_{t}_{level}", f"t_best_{t}_{level}"
+            splits.append(best)
             steps += [
                 (
-                    f"t_hist_{t}_{level}",
-                    f"""SELECT n.symbol, unit, node, f, code, SUM(g) AS g, COUNT(*) AS num
-                        FROM {node} n JOIN t_codes c
-                        ON n.symbol = c.symbol AND n.row_idx = c.row_idx
-                        WHERE kept AND level = {level} GROUP BY 1, 2, 3, 4, 5""",
-                ),
-                (
-                    f"t_left_{t}_{level}",
-                    f"""SELECT *, SUM(g) OVER w * unit AS gl, SUM(num) OVER w AS nl,
-                        SUM(g) OVER a * unit AS gt, SUM(num) OVER a AS nt
-                        FROM t_hist_{t}_{level}
-                        WINDOW w AS (PARTITION BY symbol, node, f ORDER BY code),
-                        a AS (PARTITION BY symbol, node, f)""",
-                ),
-                (
-                    f"t_best_{t}_{level}",
+                    best,
                     f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER
                         (PARTITION BY symbol, node ORDER BY gain DESC, f, code) AS place FROM (
                         SELECT symbol, node, f, code, gl * gl / (nl + {lam})
                         + (gt - gl) * (gt - gl) / (nt - nl + {lam}) - gt * gt / (nt + {lam})
-                        AS gain FROM t_left_{t}_{level} WHERE nl >= {params.min_child_rows}
+                        AS gain FROM (
+                          SELECT *, SUM(g) OVER w * unit AS gl, SUM(num) OVER w AS nl,
+                          SUM(g) OVER a * unit AS gt, SUM(num) OVER a AS nt FROM (
+                            SELECT n.symbol, unit, node, f, code, SUM(g) AS g, COUNT(*) AS num
+                            FROM {node} n JOIN t_codes c
+                            ON n.symbol = c.symbol AND n.row_idx = c.row_idx
+                            WHERE kept AND level = {level} GROUP BY 1, 2, 3, 4, 5) h
+                          WINDOW w AS (PARTITION BY symbol, node, f ORDER BY code),
+                          a AS (PARTITION BY symbol, node, f)) l
+                        WHERE nl >= {params.min_child_rows}
                         AND nt - nl >= {params.min_child_rows}) s) o
                         WHERE place = 1 AND gain > {params.min_gain:.10f}""",
                 ),
@@ -433,31 +439,52 @@ def boosted(
                         END AS node,
                         CASE WHEN b.f IS NULL THEN n.level ELSE {level + 1} END AS level
                         FROM {node} n
-                        LEFT JOIN t_best_{t}_{level} b ON n.symbol = b.symbol
+                        LEFT JOIN {best} b ON n.symbol = b.symbol
                         AND n.node = b.node AND n.level = {level}
                         LEFT JOIN t_codes c ON n.symbol = c.symbol
                         AND n.row_idx = c.row_idx AND c.f = b.f""",
                 ),
             ]
         final = f"t_node_{t}_{params.depth}"
-        steps += [
-            (
-                f"t_leaf_{t}",
-                f"""SELECT symbol, node, -(SUM(g) * MAX(unit)) / (COUNT(*) + {lam})
-                    * {params.learning_rate}e0 AS value
-                    FROM {final} WHERE kept GROUP BY symbol, node""",
-            ),
+        steps.append(
             (
                 f"t_sum_{t + 1}",
                 f"""SELECT n.symbol, row_idx, cut, y, unit, predicted + value AS predicted
-                    FROM {final} n JOIN t_leaf_{t} l
+                    FROM {final} n JOIN (
+                      SELECT symbol, node, -(SUM(g) * MAX(unit)) / (COUNT(*) + {lam})
+                      * {params.learning_rate}e0 AS value
+                      FROM {final} WHERE kept GROUP BY symbol, node) l
                     ON n.symbol = l.symbol AND n.node = l.node""",
-            ),
-        ]
-    return steps, f"""SELECT s.symbol, p.date, s.row_idx, {r('s.y', 'actual', 4)},
-        {r('s.predicted', 'predicted', 4)} FROM t_sum_{params.trees} s
-        JOIN {source} p ON p.symbol = s.symbol AND p.row_idx = s.row_idx
-        WHERE s.row_idx >= s.cut"""
+            )
+        )
+    every = " UNION ALL ".join(f"SELECT symbol, f, gain FROM {name} " for name in splits)
+    names = ", ".join(f"'{c}'" for c in columns)
+    steps += [
+        ("t_split", every),
+        (
+            "t_gain",
+            """SELECT f.symbol, f.i, COALESCE(gain, 0) AS gain FROM
+               (SELECT symbol, UNNEST(RANGE("""
+            + str(len(columns))
+            + """)) AS i FROM t_start) f
+               LEFT JOIN (SELECT symbol, f AS i, AVG(gain) AS gain FROM t_split GROUP BY 1, 2) g
+               ON f.symbol = g.symbol AND f.i = g.i""",
+        ),
+        (
+            "t_importance",
+            f"""SELECT symbol, 0 AS refit_id, list_extract([{names}], CAST(i + 1 AS INTEGER))
+                AS feature, gain / SUM(gain) OVER (PARTITION BY symbol) AS importance
+                FROM t_gain """,
+        ),
+        (
+            "t_scored",
+            f"""SELECT s.symbol, p.date, s.row_idx, s.y AS actual, s.predicted
+                FROM t_sum_{params.trees} s
+                JOIN {source} p ON p.symbol = s.symbol AND p.row_idx = s.row_idx
+                WHERE s.row_idx >= s.cut""",
+        ),
+    ]
+    return steps
 
 
 def statement(steps: list[tuple[str, str]], final: str) -> str:
@@ -479,11 +506,30 @@ def oracle_sql() -> dict[str, str]:
     flags, suppliers = base("l_returnflag"), base("l_suppkey")
     final = finals()
     texts = {name: statement(flags, sql) for name, sql in final.items()}
-    steps, predicted = boosted(SMALL_FIT, FEATURES, "positioned")
+    predicted = f"""SELECT symbol, date, row_idx, {rs(['actual', 'predicted'], 4)}
+        FROM t_scored """
+    small = flags + boosted(SMALL_FIT, FEATURES, "positioned")
     for name in ("boosted_holdout_small", "boosted_holdout_spread", "score_stored_models"):
-        texts[name] = statement(flags + steps, predicted)
-    steps, predicted = boosted(SMALL_FIT, NO_INDEX, "bare_positioned")
-    texts["boosted_holdout_without_index"] = statement(flags + steps, predicted)
+        texts[name] = statement(small, predicted)
+    plain = flags + boosted(SMALL_FIT, NO_INDEX, "bare_positioned")
+    texts["boosted_holdout_without_index"] = statement(plain, predicted)
+    walked = flags + boosted(SMALL_FIT, FEATURES, "refit_rows", "train_cut")
+    texts["walk_forward_boosted_small"] = statement(
+        walked,
+        f"""SELECT {', '.join(f's.{c}' for c in PREDICTION[:5])}, {r('actual', digits=4)},
+            {r('predicted', digits=4)} FROM t_scored t JOIN scored s
+            ON split_part(t.symbol, '|', 1) = s.symbol AND t.row_idx = s.row_idx""",
+    )
+    full = flags + boosted(BoostParams(), FEATURES, "positioned")
+    shares = f"SELECT symbol, refit_id, feature, {r('importance', digits=4)} FROM t_importance "
+    texts["holdout_boosted"] = statement(
+        full, f"SELECT symbol, n, {rs(METRIC_NAMES[:3], 4)} FROM ({metrics('t_scored')}) m"
+    )
+    texts["feature_importance"] = statement(full, shares)
+    texts["feature_importance_printed"] = statement(
+        full,
+        "SELECT symbol, refit_id, feature, ROUND(importance, 4) AS importance FROM t_importance ",
+    )
     for name in (
         "realized_vol",
         "features_full",

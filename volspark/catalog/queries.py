@@ -348,6 +348,11 @@ def _boosted_models(panel: Panel) -> DataFrame:
     )
 
 
+def _boosted_walk_small(panel: Panel) -> DataFrame:
+    run = walk_forward(panel.features, panel.plan, params=SMALL_FIT, layout=panel.layout)
+    return rounded(run.predictions, 4)
+
+
 def _boosted_predictions(panel: Panel) -> DataFrame:
     return panel.predictions("boosted")
 
@@ -359,13 +364,13 @@ def _boosted_metrics(panel: Panel) -> DataFrame:
 
 def _boosted_holdout_full(panel: Panel) -> DataFrame:
     run = holdout(panel.features, layout=panel.layout)
-    return evaluate(run.predictions, layout=panel.layout).drop("correlation")
+    return rounded(evaluate(run.predictions, layout=panel.layout).drop("correlation"), 4)
 
 
 def _importance(panel: Panel) -> DataFrame:
     run = holdout(panel.features, layout=panel.layout)
     path = write_table(run.models, scratch_path(panel.spark, "models"))
-    return read_importances(panel.spark, path)
+    return rounded(read_importances(panel.spark, path), 4)
 
 
 def _importance_printed(panel: Panel) -> DataFrame:
@@ -491,6 +496,7 @@ def queries() -> dict[str, Query]:
         "score_stored_models": _stored_models_score,
         "boosted_models": _boosted_models,
         "stored_models": _stored_models,
+        "walk_forward_boosted_small": _boosted_walk_small,
         "walk_forward_boosted": _boosted_predictions,
         "walk_forward_boosted_metrics": _boosted_metrics,
         "holdout_boosted": _boosted_holdout_full,
