@@ -548,4 +548,6 @@ def oracle_sql() -> dict[str, str]:
         "pipeline_metrics",
     ):
         texts[f"suppliers_{name}"] = statement(suppliers, final[name])
+    many = suppliers + boosted(SMALL_FIT, FEATURES, "positioned")
+    texts["suppliers_boosted_holdout_small"] = statement(many, predicted)
     return texts

@@ -525,6 +525,7 @@ def queries() -> dict[str, Query]:
         "backtest_metrics",
         "regime_intervals",
         "pipeline_metrics",
+        "boosted_holdout_small",
     ):
         found[f"suppliers_{name}"] = on_panel(made[name], symbol="l_suppkey")
     return found

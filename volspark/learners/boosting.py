@@ -146,27 +146,38 @@ class Model:
         return cls(stored["columns"], stored["base"], trees)
 
 
-def _best_splits(grad, rows, edges_per_feature, unit, params):
+def _best_splits(grads, rows, unit, params):
     """For each node the best (gain, feature, bin) over histograms (node, feature, bin)."""
-    left = np.cumsum(grad, axis=2) * unit
-    left_rows = np.cumsum(rows, axis=2)
+    lam = params.reg_lambda
+    left, left_rows = np.cumsum(grads, axis=2), np.cumsum(rows, axis=2)
+    left *= unit
     total, total_rows = left[:, :1, -1:], left_rows[:, :1, -1:]
+    parent = total * total / (total_rows + lam)
     right, right_rows = total - left, total_rows - left_rows
-    lam = params.reg_lambda
-    gain = (
-        left * left / (left_rows + lam)
-        + right * right / (right_rows + lam)
-        - total * total / (total_rows + lam)
-    )
-    bins = np.arange(grad.shape[2])
-    allowed = (
-        (left_rows >= params.min_child_rows)
-        & (right_rows >= params.min_child_rows)
-        & (bins < edges_per_feature[:, None])
-    )
-    flat = np.where(allowed, gain, -np.inf).reshape(len(grad), -1)
+    left *= left
+    left /= left_rows + lam
+    right *= right
+    right /= right_rows + lam
+    gain = left
+    gain += right
+    gain -= parent
+    # A split that leaves one side empty gains nothing and needs no rule of its own.
+    if params.min_child_rows > 1:
+        gain[np.minimum(left_rows, right_rows) < params.min_child_rows] = -np.inf
+    flat = gain.reshape(len(gain), -1)
     best = flat.argmax(axis=1)
-    return flat[np.arange(len(flat)), best], *np.divmod(best, grad.shape[2])
+    return flat[np.arange(len(flat)), best], *np.divmod(best, gain.shape[2])
+
+
+def _histograms(codes, grad, node, count, size):
+    """Gradient sums and row counts by (node, feature, bin); a feature at a time fits the cache."""
+    start, cells = node * size, count * size
+    sums, rows = np.empty((count, len(codes), size)), np.empty((count, len(codes), size))
+    for f, code in enumerate(codes):
+        index = start + code
+        sums[:, f] = np.bincount(index, grad, cells).reshape(count, size)
+        rows[:, f] = np.bincount(index, minlength=cells).reshape(count, size)
+    return sums, rows
 
 
 def fit(
@@ -179,48 +190,39 @@ def fit(
     unit = power_of_two(max(abs(float(y.max()) - base), abs(float(y.min()) - base)), 29)
 
     edges = [bin_edges(x[:, f], params.max_bins) for f in range(width)]
-    edge_counts = np.array([len(e) for e in edges])
-    size = int(edge_counts.max()) + 1
-    codes = np.stack(
-        [np.searchsorted(e, x[:, f], side="right") for f, e in enumerate(edges)], axis=1
-    )
-    slots = codes + np.arange(width) * size
+    size = max(map(len, edges)) + 1
+    codes = np.stack([np.searchsorted(e, x[:, f], side="right") for f, e in enumerate(edges)])
 
     predicted = np.full(n, base)
     trees = []
     for t in range(params.trees):
         grad = np.rint((predicted - y) / unit)
         keep = np.flatnonzero(sampled(row_idx, t, params))
-        kept_slots, kept_grad, kept_codes = slots[keep], grad[keep], codes[keep]
-        spread_grad = np.repeat(kept_grad, width)
+        kept_grad, kept_codes = grad[keep], codes[:, keep]
         tree = Tree.empty(params.depth)
         split_bin = np.zeros(len(tree.feature), int)
-        node = np.zeros(len(keep), int)
+        node, at = np.zeros(len(keep), int), np.arange(len(keep))
         for level in range(params.depth + 1):
+            # ``at`` are the rows still on their way down, ``place`` their node in the level.
             first, count = 2**level - 1, 2**level
-            here = node >= first
-            total = np.bincount(node[here] - first, kept_grad[here], count) * unit
-            rows = np.bincount(node[here] - first, minlength=count)
+            place, grads = node[at] - first, kept_grad[at]
+            total = np.bincount(place, grads, count) * unit
+            rows = np.bincount(place, minlength=count)
             tree.value[first : first + count] = np.where(
                 rows > 0, -total / (rows + params.reg_lambda) * params.learning_rate, 0.0
             )
-            if level == params.depth or not here.any():
+            if level == params.depth or not len(at):
                 break
-            # Rows that stopped above this level land in a last, unused histogram.
-            at = np.where(here, node - first, count)
-            index = (kept_slots + (at * (width * size))[:, None]).ravel()
-            shape = (count + 1, width, size)
-            cells = math.prod(shape)
-            grads = np.bincount(index, spread_grad, cells).reshape(shape)[:count]
-            heads = np.bincount(index, minlength=cells).reshape(shape)[:count]
-            gain, feature, place = _best_splits(grads, heads, edge_counts, unit, params)
+            down = kept_codes if len(at) == len(keep) else kept_codes[:, at]
+            found = _histograms(down, grads, place, count, size)
+            gain, feature, cut = _best_splits(*found, unit, params)
             for i in np.flatnonzero(gain > params.min_gain):
-                at_node, f = first + i, feature[i]
-                tree.feature[at_node], split_bin[at_node] = f, place[i]
-                tree.threshold[at_node], tree.gain[at_node] = edges[f][place[i]], gain[i]
-            chosen = tree.feature[node]
-            goes_right = kept_codes[np.arange(len(keep)), np.maximum(chosen, 0)] > split_bin[node]
-            node = np.where(here & (chosen >= 0), 2 * node + 1 + goes_right, node)
+                f = feature[i]
+                tree.feature[first + i], split_bin[first + i] = f, cut[i]
+                tree.threshold[first + i], tree.gain[first + i] = edges[f][cut[i]], gain[i]
+            at = at[tree.feature[node[at]] >= 0]
+            here = node[at]
+            node[at] = 2 * here + 1 + (kept_codes[tree.feature[here], at] > split_bin[here])
         tree.value[tree.feature >= 0] = 0.0
         predicted = predicted + tree.value[tree.leaf_of(x)]
         trees.append(tree)
