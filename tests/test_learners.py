@@ -163,9 +163,9 @@ def test_embargo_trains_on_fewer_rows(features):
 
 def test_spread_fits_the_same_models(features, monkeypatch):
     monkeypatch.setattr(spread, "TREES_PER_STATE", 2)
-    rows, params = walk_forward_rows(features), BoostParams(trees=5, depth=2)
+    rows, params = walk_forward_rows(features), BoostParams(trees=3, depth=2)
     grouped = walk_forward(features, params=params)
-    models, predictions = fit_spread(rows, COLUMNS, params)
+    models, predictions = fit_spread(rows, COLUMNS, params, refits_per_batch=1)
     assert model_texts(models) == model_texts(grouped.models)
     keys = ("symbol", "row_idx")
     assert collect(predictions, *keys) == collect(grouped.predictions, *keys)

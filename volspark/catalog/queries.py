@@ -49,7 +49,7 @@ from volspark.operators.split import (
 )
 from volspark.plans.pipeline import run_pipeline
 from volspark.schemas import BARS, TARGET, feature_columns
-from volspark.sinks import scratch_path, write_table
+from volspark.sinks import materialize, scratch_path, write_table
 from volspark.sources import fixtures
 from volspark.sources.bars import read_bars, read_implied_vol
 from volspark.sources.tables import (
@@ -325,7 +325,7 @@ def _boosted_holdout(panel: Panel) -> DataFrame:
 
 def _spread_holdout(panel: Panel) -> DataFrame:
     """The same fit as Spark aggregates, the way of series too long for a task."""
-    rows = holdout_rows(panel.features, layout=panel.layout)
+    rows = materialize(holdout_rows(panel.features, layout=panel.layout), "learning-rows")
     _, predictions = fit_spread(rows, feature_columns(), SMALL_FIT)
     return rounded(predictions.drop("fold_id", "refit_id"), 4)
 

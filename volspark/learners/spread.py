@@ -20,7 +20,8 @@ from volspark.schemas import MODELS, PREDICTIONS, TARGET
 from volspark.sinks import materialize, scratch_path
 
 MODEL = ["symbol", "refit_id"]
-REFITS_PER_BATCH = 8
+# Refits train on a copy of the rows each; so many rows per core are worked on at a time.
+ROWS_PER_CORE = 1_000_000
 TREES_PER_STATE = 10
 
 
@@ -44,6 +45,19 @@ def _sampled(tree: int, params: BoostParams) -> Column:
     return draw < int(params.subsample * prime)
 
 
+def _code(value: Column, borders: Column, params: BoostParams) -> Column:
+    """How many of the sorted borders are at or below the value, by halving steps."""
+    steps = [2**k for k in reversed(range(params.max_bins.bit_length()))]
+    # Past the end there is no border, and a step that leads there is not taken.
+    return F.aggregate(
+        F.array(*[F.lit(step) for step in steps]),
+        F.lit(0),
+        lambda found, step: F.when(
+            F.get(borders, found + step - 1) <= value, found + step
+        ).otherwise(found),
+    ).cast("short")
+
+
 def _leaf_by_code(tree: Column, depth: int) -> Column:
     return walk_down(
         tree["feature"], lambda f, node: F.get("codes", f) > F.get(tree["bin"], node), F.lit(depth)
@@ -262,10 +276,7 @@ def _fit_batch(rows: DataFrame, columns: list[str], params: BoostParams, first:
         )
     )
     start = _start(train, columns, params)
-    codes = F.transform(
-        "x",
-        lambda value, f: F.size(F.filter(F.get("edges", f), lambda e: e <= value)).cast("short"),
-    )
+    codes = F.transform("x", lambda value, f: _code(value, F.get("edges", f), params))
     state = materialize(
         train.join(start, MODEL).select(
             *MODEL, "row_idx", "y", "unit", codes.alias("codes"), F.col("base").alias("predicted")
@@ -319,49 +330,50 @@ def fit_spread(
     rows: DataFrame,
     columns: list[str],
     params: BoostParams = BoostParams(),
-    refits_per_batch: int = REFITS_PER_BATCH,
+    refits_per_batch: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Models and predictions for ``rows`` of ``walk_forward_rows`` or ``holdout_rows``.
 
-    Refits are fitted some at a time, since each trains on its own copy of the rows.
+    ``rows`` is read for every batch and should be a stored table.
+    Refits are fitted some at a time, since each trains on its own copy of the rows;
+    fitting runs when this is called.
     """
-    most = rows.agg(F.max("refits")).first()[0] or 0
-    models, predictions = [], []
+    most, size = rows.agg(F.max("refits"), F.count(F.lit(1))).first()
+    most = most or 0
+    if refits_per_batch is None:
+        room = ROWS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism
+        refits_per_batch = max(1, min(most, room // max(1, size)))
+    if not most:
+        raise ValueError("no series has a row to score")
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "fitted")
     for first in range(0, most, refits_per_batch):
         fitted = _fit_batch(rows, columns, params, first, first + refits_per_batch)
-        fitted = materialize(fitted, "fitted")
-        scored = rows.filter(F.col("refit_id").isNotNull()).join(
-            fitted.select(*MODEL, "base", "trees"), MODEL
-        )
-        total = sum_of_trees(F.col("base"), F.col("trees"), leaf_by_value)
-        predictions.append(
-            scored.withColumn("x", F.array(*columns))
-            .withColumn("actual", F.col(TARGET))
-            .withColumn("predicted", total)
-            .select(*PREDICTIONS.names)
-        )
-        stored = F.transform(
-            "trees",
-            lambda t: F.struct(
-                *[t[name].alias(name) for name in ("feature", "threshold", "value", "gain")]
-            ),
-        )
-        names = F.array(*[F.lit(c) for c in columns])
-        text = F.to_json(F.struct(names.alias("columns"), "base", stored.alias("trees")))
-        cuts = rows.filter(F.col("refit_id").isNotNull()).groupBy(*MODEL).agg(
-            F.max("train_cut").alias("train_cut")
-        )
-        models.append(
-            _importances(fitted, columns)
-            .join(cuts, MODEL)
-            .withColumn("model", text)
-            .select(*MODELS.names)
+        fitted.write.parquet(f"{path}/batch={first}")
+    fitted = spark.read.parquet(path).drop("batch")
+
+    scored = rows.filter(F.col("refit_id").isNotNull())
+    total = sum_of_trees(F.col("base"), F.col("trees"), leaf_by_value)
+    predictions = (
+        scored.join(fitted.select(*MODEL, "base", "trees"), MODEL, "left")
+        .withColumn("x", F.array(*columns))
+        .withColumn("actual", F.col(TARGET))
+        .withColumn("predicted", total)
+        .select(*PREDICTIONS.names)
+    )
+    stored = F.transform(
+        "trees",
+        lambda t: F.struct(
+            *[t[name].alias(name) for name in ("feature", "threshold", "value", "gain")]
+        ),
+    )
+    names = F.array(*[F.lit(c) for c in columns])
+    cuts = scored.groupBy(*MODEL).agg(F.max("train_cut").alias("train_cut"))
+    models = (
+        _importances(fitted, columns)
+        .join(cuts, MODEL)
+        .withColumn(
+            "model", F.to_json(F.struct(names.alias("columns"), "base", stored.alias("trees")))
         )
-    return _union(models), _union(predictions)
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+        .select(*MODELS.names)
+    )
+    return models, predictions
