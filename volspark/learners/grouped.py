@@ -14,6 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from volspark.learners.boosting import BoostParams
 from volspark.learners.boosting import fit as fit_boosted
+from volspark.operators.series import MAX_TASK_ROWS
 from volspark.schemas import FITS, TARGET
 
 # What the tasks run travels with the job, so executors need not have this package.
@@ -59,11 +60,17 @@ def fit_xgboost(x, y, row_idx, columns, params: BoostParams):
 FITTERS: dict[str, Callable] = {"boosted": fit_boosted, "xgboost": fit_xgboost}
 
 
-def _fit_lane(columns: list[str], params: BoostParams, fit: Callable, out: pa.Schema):
+def _fit_lane(
+    columns: list[str], params: BoostParams, fit: Callable, out: pa.Schema, max_rows: int
+):
     """The function run on the rows of one series and lane."""
     scored_type = out.field("predictions").type.value_type
 
     def run(table: pa.Table) -> pa.Table:
+        if table.num_rows > max_rows:
+            raise ValueError(
+                f"series of more than {max_rows} rows: run with the layout of choose_layout"
+            )
         table = table.sort_by("row_idx")
         whole = {name: table.column(name).to_numpy() for name in ("row_idx", "segment", TARGET)}
         x = np.column_stack([table.column(c).to_numpy() for c in columns])
@@ -123,11 +130,12 @@ def fit_grouped(
     params: BoostParams = BoostParams(),
     learner: str = "boosted",
     lane_rows: int = LANE_ROWS,
+    max_rows: int = MAX_TASK_ROWS,
 ) -> DataFrame:
     """One row per (symbol, refit): the model, its importances and the rows it scored.
 
-    ``rows`` comes from ``walk_forward_rows`` or ``holdout_rows`` and every series in
-    it must fit a task. A series whose fits add up to much work is copied to several
+    ``rows`` comes from ``walk_forward_rows`` or ``holdout_rows``; a series of more than
+    ``max_rows`` rows fails the job rather than the executor. A series whose fits add up to much work is copied to several
     lanes, each with a share of its refits; fits outweigh the copies by far.
     """
     spark = rows.sparkSession
@@ -144,7 +152,7 @@ def fit_grouped(
         4 * spark.sparkContext.defaultParallelism,
     )
     out = to_arrow_schema(FITS)
-    run = _fit_lane(list(columns), params, FITTERS[learner], out)
+    run = _fit_lane(list(columns), params, FITTERS[learner], out, max_rows)
     return (
         laned.repartition(tasks, "symbol", "lane").groupBy("symbol", "lane").applyInArrow(run, FITS)
     )

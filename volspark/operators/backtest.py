@@ -87,7 +87,7 @@ def _run(
         rows = materialize(rows, "learning-rows")
         short = rows.filter(F.col("n") <= max_fit_rows)
         long = rows.filter(F.col("n") > max_fit_rows)
-    fits = fit_grouped(short, columns, params, learner)
+    fits = fit_grouped(short, columns, params, learner, max_rows=max_fit_rows)
     if store:
         fits = materialize(fits, "fits")
     models = fits.select(*MODELS.names)
