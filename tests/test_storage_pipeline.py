@@ -2,6 +2,7 @@ import os
 from datetime import date, timedelta
 
 import pytest
+import run
 from conftest import collect
 from pyspark.sql import functions as F
 
@@ -168,3 +169,20 @@ def test_pipeline_keeps_to_the_period(spark, bars, implied_vol, tmp_path):
     last = spark.read.parquet(paths["processed"]).agg(F.max("date")).first()[0]
     assert str(last + timedelta(days=1)) == end
     assert "models" not in paths
+
+
+def test_job_runs_from_a_table_of_bars(spark, bars, implied_vol, tmp_path, capsys):
+    index = implied_vol.select(
+        F.lit("^VIX").alias("symbol"),
+        "date",
+        *[F.col("vix").alias(c) for c in ("open", "high", "low", "close")],
+        F.lit(0).cast("long").alias("volume"),
+    )
+    path, out = str(tmp_path / "bars"), str(tmp_path / "run")
+    bars.unionByName(index).write.partitionBy("symbol").parquet(path)
+    common = ["--bars", path, "--learner", "train_mean"]
+    paths = run.main([*common, "--out", out, "--all-symbols"], spark)
+    assert spark.read.parquet(paths["metrics"]).count() == 3
+    assert "directional_accuracy" in capsys.readouterr().out
+    paths = run.main([*common, "--out", out + "2", "--symbols", "BBB"], spark)
+    assert [r.symbol for r in spark.read.parquet(paths["metrics"]).collect()] == ["BBB"]

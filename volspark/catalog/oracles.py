@@ -215,7 +215,7 @@ def finals() -> dict[str, str]:
     all_metrics = f"symbol, n, {rs(METRIC_NAMES)}"
     featured = f"{rs([*INPUTS, 'vix', *FEATURES, 'target_vol'])}"
     matrix = f"SELECT {keys}, {rs([*FEATURES, 'target_vol'])} FROM features"
-    pipeline_metrics = f"SELECT {all_metrics} FROM ({metrics('persistence')}) m"
+    run_metrics = f"SELECT {all_metrics} FROM ({metrics('persistence')}) m"
     return {
         "bars": f"SELECT {rs(INPUTS[:7])} FROM bars",
         "implied_vol": f"SELECT date, {r('vix')} FROM implied",
@@ -270,7 +270,7 @@ def finals() -> dict[str, str]:
         "walk_forward_train_mean": f"SELECT {rs(PREDICTION)} FROM train_mean",
         "holdout_metrics_persistence": f"""SELECT symbol, n, {rs(METRIC_NAMES[:3])}
             FROM ({metrics('held_out')}) m""",
-        "backtest_metrics": pipeline_metrics,
+        "backtest_metrics": run_metrics,
         "backtest_metrics_train_mean": f"SELECT {all_metrics} FROM ({metrics('train_mean')}) m",
         "backtest_metrics_in_range": f"""SELECT {all_metrics}
             FROM ({metrics('persistence', IN_RANGE)}) m""",
@@ -307,8 +307,8 @@ def finals() -> dict[str, str]:
         "symbol_labels": "SELECT symbol, COUNT(*) AS n_rows, CASE symbol "
         + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LABELS.items())
         + " ELSE symbol END AS label FROM bars GROUP BY symbol",
-        "pipeline_metrics": pipeline_metrics,
-        "pipeline_regimes": regimes(),
+        "run_metrics": run_metrics,
+        "run_regimes": regimes(),
         "boosted_models": """SELECT f.symbol, refit_id, train_cut, train_cut AS n_train,
             score_to - score_from AS n_scored, CAST(16 AS BIGINT) AS n_features,
             1e0 AS importance_total FROM refits f""",
@@ -545,7 +545,7 @@ def oracle_sql() -> dict[str, str]:
         "walk_forward_train_mean",
         "backtest_metrics",
         "regime_intervals",
-        "pipeline_metrics",
+        "run_metrics",
     ):
         texts[f"suppliers_{name}"] = statement(suppliers, final[name])
     many = suppliers + boosted(SMALL_FIT, FEATURES, "positioned")

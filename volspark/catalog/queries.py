@@ -487,8 +487,8 @@ def queries() -> dict[str, Query]:
         "date_bounds": lambda p: reports.date_bounds(p.predictions()),
         "symbol_labels": _labels,
         # whole runs
-        "pipeline_metrics": lambda p: rounded(_pipeline(p, "metrics", "persistence")),
-        "pipeline_regimes": lambda p: _pipeline(p, "report_regimes", "persistence"),
+        "run_metrics": lambda p: rounded(_pipeline(p, "metrics", "persistence")),
+        "run_regimes": lambda p: _pipeline(p, "report_regimes", "persistence"),
         # boosted trees
         "boosted_holdout_small": _boosted_holdout,
         "boosted_holdout_spread": _spread_holdout,
@@ -524,7 +524,7 @@ def queries() -> dict[str, Query]:
         "walk_forward_train_mean",
         "backtest_metrics",
         "regime_intervals",
-        "pipeline_metrics",
+        "run_metrics",
         "boosted_holdout_small",
     ):
         found[f"suppliers_{name}"] = on_panel(made[name], symbol="l_suppkey")
