@@ -121,8 +121,8 @@ def test_regimes_of_random_series(spark, layout):
 
 def test_regimes_within_dates(predictions, noisy):
     start, end = FIRST + timedelta(days=20), FIRST + timedelta(days=60)
-    found = [r for r in as_tuples(reports.regimes(predictions, str(start), str(end))) if r[0] == "A"]
-    assert found == expected_regimes("A", noisy["A"][0][20:61], offset=20)
+    found = as_tuples(reports.regimes(predictions, str(start), str(end)))
+    assert [r for r in found if r[0] == "A"] == expected_regimes("A", noisy["A"][0][20:61], offset=20)
 
 
 def test_date_range_is_inclusive_and_optional(predictions):

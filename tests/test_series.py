@@ -108,7 +108,8 @@ def test_hot_symbol_through_the_whole_run(spark, skewed):
 
 def test_a_series_too_long_for_a_task_is_refused_not_tried(spark):
     rows = [("S", date(2020, 1, 1) + timedelta(days=i), 1.0, 1.0) for i in range(300)]
-    df = spark.createDataFrame(rows, "symbol string, date date, realized_vol double, target_vol double")
+    schema = "symbol string, date date, realized_vol double, target_vol double"
+    df = spark.createDataFrame(rows, schema)
     df = df.withColumns({c: F.rand(1) for c in feature_columns()})
     with pytest.raises(Exception, match="choose_layout"):
         walk_forward(df, max_fit_rows=100).predictions.collect()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from volspark.catalog.queries import CUT, HIGH, LABELS, LOW, RANGE, SMALL_FIT
 from volspark.learners.boosting import (
     FINE_BUCKETS,
@@ -36,7 +38,8 @@ def present(names: list[str]) -> str:
 
 
 def rolling(agg: str, name: str, rows: int) -> str:
-    over = f"OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
+    frame = f"ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW"
+    over = f"OVER (PARTITION BY symbol ORDER BY date {frame})"
     return f"CASE WHEN COUNT({name}) {over} = {rows} THEN {agg}({name}) {over} END"
 
 
@@ -488,18 +491,13 @@ def boosted(
 
 
 def statement(steps: list[tuple[str, str]], final: str) -> str:
-    """One statement with the CTEs the final SELECT needs, directly or not."""
-    used, wanted = [], final
+    """One statement with the CTEs that the final SELECT needs, directly or not."""
+    used, words = [], set(re.findall(r"\w+", final))
     for name, sql in reversed(steps):
-        if any(word in wanted for word in (f" {name} ", f" {name}\n", f" {name})", f" {name},")) or (
-            wanted.rstrip().endswith(f" {name}")
-        ):
-            used.append((name, sql))
-            wanted = f"{sql} \n{wanted}"
-    if not used:
-        return final
-    listed = ",\n".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in reversed(used))
-    return f"WITH {listed}\n{final}"
+        if name in words:
+            used.append(f"{name} AS MATERIALIZED ({sql})")
+            words.update(re.findall(r"\w+", sql))
+    return "WITH " + ",\n".join(reversed(used)) + f"\n{final}"
 
 
 def oracle_sql() -> dict[str, str]:

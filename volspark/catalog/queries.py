@@ -35,7 +35,6 @@ from volspark.operators.metrics import (
 )
 from volspark.operators.returns import log_returns, realized_volatility
 from volspark.operators.series import (
-    WHOLE,
     SeriesLayout,
     calendar_span,
     choose_layout,
@@ -50,8 +49,8 @@ from volspark.operators.split import (
 from volspark.plans.pipeline import run_pipeline
 from volspark.schemas import BARS, TARGET, feature_columns
 from volspark.sinks import materialize, scratch_path, write_table
-from volspark.sources import fixtures
 from volspark.sources.bars import read_bars, read_implied_vol
+from volspark.sources.fixtures import bars_from_lineitem, index_from_orders
 from volspark.sources.tables import (
     load_featured,
     read_importances,
@@ -98,21 +97,29 @@ class Panel:
     chunked: bool = False
     plan: WalkForward = field(default_factory=WalkForward)
 
+    @cached_property
+    def lineitem(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/lineitem.parquet")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/orders.parquet")
+
     @cached_property
     def layout(self) -> SeriesLayout:
-        return CHUNKED if self.chunked else fixtures.bars_layout(self.spark, self.path)
+        return CHUNKED if self.chunked else choose_layout(self.lineitem, "l_shipdate")
 
     @cached_property
     def bars(self) -> DataFrame:
-        return fixtures.bars_from_lineitem(self.spark, self.path, self.symbol, self.layout)
+        return bars_from_lineitem(self.lineitem, self.symbol, self.layout)
 
     @cached_property
     def index(self) -> DataFrame:
-        return fixtures.index_from_orders(self.spark, self.path)
+        return index_from_orders(self.orders)
 
     @cached_property
     def index_span(self) -> int:
-        return calendar_span(fixtures.orders(self.spark, self.path), "o_orderdate")
+        return calendar_span(self.orders, "o_orderdate")
 
     @cached_property
     def vol(self) -> DataFrame:

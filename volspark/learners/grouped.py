@@ -135,8 +135,9 @@ def fit_grouped(
     """One row per (symbol, refit): the model, its importances and the rows it scored.
 
     ``rows`` comes from ``walk_forward_rows`` or ``holdout_rows``; a series of more than
-    ``max_rows`` rows fails the job rather than the executor. A series whose fits add up to much work is copied to several
-    lanes, each with a share of its refits; fits outweigh the copies by far.
+    ``max_rows`` rows fails the job rather than the executor. A series whose fits add up
+    to much work is copied to several lanes, each with a share of its refits; fits
+    outweigh the copies by far.
     """
     spark = rows.sparkSession
     work = F.col("refits") * F.col("n") / F.lit(float(lane_rows))

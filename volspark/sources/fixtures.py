@@ -2,26 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volspark.operators.series import WHOLE, SeriesLayout, choose_layout, over_series
-
-
-def lineitem(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/lineitem.parquet")
-
-
-def orders(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/orders.parquet")
-
-
-def bars_layout(spark: SparkSession, path: str) -> SeriesLayout:
-    return choose_layout(lineitem(spark, path), "l_shipdate")
+from volspark.operators.series import WHOLE, SeriesLayout, over_series
 
 
 def bars_from_lineitem(
-    spark: SparkSession, path: str, symbol: str = "l_returnflag", layout: SeriesLayout = WHOLE
+    lineitem: DataFrame, symbol: str = "l_returnflag", layout: SeriesLayout = WHOLE
 ) -> DataFrame:
     """Unit prices of the line items per ship date, one series per value of ``symbol``.
 
@@ -30,8 +18,7 @@ def bars_from_lineitem(
     """
     price = F.col("l_extendedprice") / F.col("l_quantity")
     daily = (
-        lineitem(spark, path)
-        .select(
+        lineitem.select(
             F.col(symbol).cast("string").alias("symbol"),
             F.col("l_shipdate").cast("date").alias("date"),
             price.alias("price"),
@@ -47,20 +34,17 @@ def bars_from_lineitem(
     )
     opened = over_series(
         daily,
-        lambda df, w: df.withColumn(
-            "open", F.coalesce(F.lag("close").over(w), F.col("close"))
-        ),
+        lambda df, w: df.withColumn("open", F.coalesce(F.lag("close").over(w), F.col("close"))),
         before=1,
         layout=layout,
     )
     return opened.select("symbol", "date", "open", "high", "low", "close", "volume")
 
 
-def index_from_orders(spark: SparkSession, path: str) -> DataFrame:
+def index_from_orders(orders: DataFrame) -> DataFrame:
     """``date, vix``: relative spread of the order totals of a day, in percent."""
     return (
-        orders(spark, path)
-        .groupBy(F.col("o_orderdate").cast("date").alias("date"))
+        orders.groupBy(F.col("o_orderdate").cast("date").alias("date"))
         .agg(
             F.count(F.lit(1)).alias("orders"),
             (F.stddev_samp("o_totalprice") * 100 / F.avg("o_totalprice")).alias("vix"),
