@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from volspark.functions import symbol_label
 from volspark.learners.boosting import BoostParams
+from volspark.learners.grouped import LANE_ROWS
 from volspark.learners.pooled import pooled
 from volspark.learners.scoring import score
 from volspark.learners.spread import fit_spread
@@ -18,6 +19,7 @@ from volspark.operators import features as feature_columns_of
 from volspark.operators import reports
 from volspark.operators.align import attach_series
 from volspark.operators.backtest import (
+    Backtest,
     holdout,
     holdout_rows,
     walk_forward,
@@ -137,8 +139,17 @@ class Panel:
     def positioned(self) -> DataFrame:
         return with_position(self.features, self.layout)
 
+    def run(
+        self, learner: str = "boosted", params: BoostParams = BoostParams(), store: bool = False
+    ) -> Backtest:
+        # A handful of series: their refits are shared out, to keep all cores at work.
+        lane_rows = 4_000 if self.symbol == "l_returnflag" else LANE_ROWS
+        return walk_forward(
+            self.features, self.plan, learner, params, self.layout, store, lane_rows=lane_rows
+        )
+
     def predictions(self, learner: str = "persistence") -> DataFrame:
-        return walk_forward(self.features, self.plan, learner, layout=self.layout).predictions
+        return self.run(learner).predictions
 
 
 def on_panel(build: Callable[[Panel], DataFrame], **options) -> Query:
@@ -339,7 +350,7 @@ def _spread_holdout(panel: Panel) -> DataFrame:
 
 def _boosted_models(panel: Panel) -> DataFrame:
     """What every refit trained on and scored, and whether its importances add up."""
-    run = walk_forward(panel.features, panel.plan, params=BoostParams(trees=10), store=True)
+    run = panel.run(params=BoostParams(trees=10), store=True)
     scored = run.predictions.groupBy("symbol", "refit_id").agg(
         F.count("predicted").alias("n_scored")
     )
@@ -356,8 +367,7 @@ def _boosted_models(panel: Panel) -> DataFrame:
 
 
 def _boosted_walk_small(panel: Panel) -> DataFrame:
-    run = walk_forward(panel.features, panel.plan, params=SMALL_FIT, layout=panel.layout)
-    return rounded(run.predictions, 4)
+    return rounded(panel.run(params=SMALL_FIT).predictions, 4)
 
 
 def _boosted_predictions(panel: Panel) -> DataFrame:
@@ -365,8 +375,7 @@ def _boosted_predictions(panel: Panel) -> DataFrame:
 
 
 def _boosted_metrics(panel: Panel) -> DataFrame:
-    run = walk_forward(panel.features, panel.plan, layout=panel.layout)
-    return evaluate(run.predictions, layout=panel.layout)
+    return evaluate(panel.run().predictions, layout=panel.layout)
 
 
 def _boosted_holdout_full(panel: Panel) -> DataFrame:

@@ -8,12 +8,13 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from volspark.learners.boosting import BoostParams
 from volspark.learners.boosting import fit as fit_boosted
+from volspark.operators.folds import WalkForward, series_lengths
 from volspark.operators.series import MAX_TASK_ROWS
 from volspark.schemas import FITS, TARGET
 
@@ -21,8 +22,9 @@ from volspark.schemas import FITS, TARGET
 for _module in (__name__, fit_boosted.__module__):
     cloudpickle.register_pickle_by_value(sys.modules[_module])
 
-# Rows times fits that one task takes on for a series before its fits are shared out.
-LANE_ROWS = 8_000
+# Rows times fits of one series that a task takes on alone: some ten seconds of work.
+# A decade of days is far below, so a wide panel is shuffled once, without copies.
+LANE_ROWS = 200_000
 
 
 class _XGBoostModel:
@@ -124,6 +126,21 @@ def _fit_lane(
     return run
 
 
+def busy_tasks(spark: SparkSession) -> int:
+    """Enough tasks to keep every core at work to the end."""
+    return 4 * spark.sparkContext.defaultParallelism
+
+
+def balanced_lane_rows(features: DataFrame, plan: WalkForward) -> int:
+    """``lane_rows`` that keep all cores at work where a panel has few series.
+
+    Counts the rows of each series, so ``features`` should be a stored table.
+    """
+    n = F.col("n")
+    total = series_lengths(features).agg(F.sum(plan.refit_count(n) * n)).first()[0] or 0
+    return min(LANE_ROWS, max(1, total // busy_tasks(features.sparkSession)))
+
+
 def fit_grouped(
     rows: DataFrame,
     columns: list[str],
@@ -148,10 +165,7 @@ def fit_grouped(
     )
     # The rows are few but the work on them is not: keep the tasks apart, whatever
     # their size in bytes.
-    tasks = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        4 * spark.sparkContext.defaultParallelism,
-    )
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), busy_tasks(spark))
     out = to_arrow_schema(FITS)
     run = _fit_lane(list(columns), params, FITTERS[learner], out, max_rows)
     return (

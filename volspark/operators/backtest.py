@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from volspark.functions import truncated_share
 from volspark.learners.baseline import BASELINES
 from volspark.learners.boosting import BoostParams
-from volspark.learners.grouped import FITTERS, fit_grouped
+from volspark.learners.grouped import FITTERS, LANE_ROWS, fit_grouped
 from volspark.learners.spread import fit_spread
 from volspark.operators.folds import WalkForward
 from volspark.operators.series import MAX_TASK_ROWS, WHOLE, SeriesLayout
@@ -73,6 +73,7 @@ def _run(
     store: bool,
     max_fit_rows: int,
     columns: list[str] | None,
+    lane_rows: int = LANE_ROWS,
 ) -> Backtest:
     if learner in BASELINES:
         return Backtest(BASELINES[learner](rows))
@@ -87,7 +88,7 @@ def _run(
         rows = materialize(rows, "learning-rows")
         short = rows.filter(F.col("n") <= max_fit_rows)
         long = rows.filter(F.col("n") > max_fit_rows)
-    fits = fit_grouped(short, columns, params, learner, max_rows=max_fit_rows)
+    fits = fit_grouped(short, columns, params, learner, lane_rows, max_fit_rows)
     if store:
         fits = materialize(fits, "fits")
     models = fits.select(*MODELS.names)
@@ -112,15 +113,17 @@ def walk_forward(
     store: bool = False,
     max_fit_rows: int = MAX_TASK_ROWS,
     columns: list[str] | None = None,
+    lane_rows: int = LANE_ROWS,
 ) -> Backtest:
     """Score every fold with the model of its refit, trained on all rows before its cut.
 
     ``store`` writes the fits to the shared folder once, so that reading both the
     predictions and the models does not fit twice. ``columns`` are the inputs, all
-    sixteen features unless given.
+    sixteen features unless given. With few series, less ``lane_rows`` spread their
+    refits over more tasks; ``balanced_lane_rows`` finds how many.
     """
     rows = walk_forward_rows(features, plan, layout)
-    return _run(rows, learner, params, layout, store, max_fit_rows, columns)
+    return _run(rows, learner, params, layout, store, max_fit_rows, columns, lane_rows)
 
 
 def holdout(

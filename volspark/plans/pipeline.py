@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from volspark.learners.boosting import BoostParams
+from volspark.learners.grouped import balanced_lane_rows
 from volspark.operators import reports
 from volspark.operators.align import attach_series
 from volspark.operators.backtest import holdout, walk_forward
@@ -83,7 +84,8 @@ def store_backtest(
     layout: SeriesLayout = WHOLE,
 ) -> dict[str, str]:
     """Walk forward, store predictions, the refitted models and the metrics."""
-    run = walk_forward(features, plan, learner, params, layout, store=True)
+    lane_rows = balanced_lane_rows(features, plan)
+    run = walk_forward(features, plan, learner, params, layout, store=True, lane_rows=lane_rows)
     paths = {"results": write_table(run.predictions, f"{out_dir}/results", by_symbol=folders)}
     if run.models is not None:
         path = f"{out_dir}/backtest_models"
