@@ -22,7 +22,7 @@ from volspark.sinks import write_table
 from volspark.sources.tables import read_models, read_results
 
 # More symbols than this are not given a folder each.
-MAX_FOLDERS = 200
+MAX_FOLDERS = 64
 
 
 def build_processed(
@@ -133,8 +133,12 @@ def run_pipeline(
 
     The period is [``start``, ``end``), as when the bars were downloaded for it.
     """
-    if symbols:
-        bars = bars.filter(F.col("symbol").isin(*symbols))
+
+    def wanted(df: DataFrame) -> DataFrame:
+        # A folder used before may hold other symbols too.
+        return df.filter(F.col("symbol").isin(*symbols)) if symbols else df
+
+    bars = wanted(bars)
     if start:
         bars = bars.filter(F.col("date") >= F.lit(start).cast("date"))
         implied_vol = implied_vol.filter(F.col("date") >= F.lit(start).cast("date"))
@@ -146,8 +150,8 @@ def run_pipeline(
 
     processed = build_processed(bars, implied_vol, window, layout)
     few = bars.select("symbol").distinct().limit(max_folders + 1).count() <= max_folders
-    processed = store_processed(processed, out_dir, few)
-    features = store_features(processed, out_dir, few, horizon, layout)
+    processed = wanted(store_processed(processed, out_dir, few))
+    features = wanted(store_features(processed, out_dir, few, horizon, layout))
     paths = {"processed": f"{out_dir}/processed", "features": f"{out_dir}/features"}
     paths |= store_holdout(features, out_dir, few, test_size, learner, params, layout)
     paths |= store_backtest(features, out_dir, few, plan, learner, params, layout)
