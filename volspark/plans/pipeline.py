@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from volspark.learners.baseline import BASELINES
 from volspark.learners.boosting import BoostParams
-from volspark.learners.grouped import balanced_lane_rows
+from volspark.learners.grouped import LANE_ROWS, balanced_lane_rows
 from volspark.operators import reports
 from volspark.operators.align import attach_series
 from volspark.operators.backtest import holdout, walk_forward
@@ -84,7 +85,7 @@ def store_backtest(
     layout: SeriesLayout = WHOLE,
 ) -> dict[str, str]:
     """Walk forward, store predictions, the refitted models and the metrics."""
-    lane_rows = balanced_lane_rows(features, plan)
+    lane_rows = LANE_ROWS if learner in BASELINES else balanced_lane_rows(features, plan)
     run = walk_forward(features, plan, learner, params, layout, store=True, lane_rows=lane_rows)
     paths = {"results": write_table(run.predictions, f"{out_dir}/results", by_symbol=folders)}
     if run.models is not None:
@@ -99,15 +100,19 @@ def store_backtest(
 def store_reports(
     spark: SparkSession, out_dir: str, has_models: bool, layout: SeriesLayout = WHOLE, **options
 ) -> dict[str, str]:
-    """Write the report tables of the stored results."""
+    """Write the report tables of the stored results.
+
+    Series and scatter are columns of the results as they stand and get no copy.
+    """
     models = read_models(spark, f"{out_dir}/models") if has_models else None
-    tables = reports.bundle(
-        read_results(spark, f"{out_dir}/results"), models, layout=layout, **options
-    )
-    return {
-        f"report_{name}": write_table(df, f"{out_dir}/reports/{name}", by_symbol=False)
-        for name, df in tables.items()
-    }
+    results = f"{out_dir}/results"
+    tables = reports.bundle(read_results(spark, results), models, layout=layout, **options)
+    paths = {}
+    for name, df in tables.items():
+        path = f"{out_dir}/reports/{name}"
+        plain = name in ("series", "scatter")
+        paths[f"report_{name}"] = results if plain else write_table(df, path, by_symbol=False)
+    return paths
 
 
 def run_pipeline(
