@@ -9,6 +9,8 @@ byte by byte: rows count as equal only where their texts are.
 
 Only digests travel until then; texts are shuffled once, for that check. Copies meet
 partial aggregation before any shuffle, so a class of any size is a few rows per task.
+Rows join classes by sorting at any size: classes grow with the rows, so a broadcast would
+only hold for small inputs, and AQE splits a class whose rows make a partition too large.
 
 Defined cases: null text is empty text; the largest doc_id of a class stays, null being
 smaller than any; where all ids of a class are null, keep_id is null and all of them stay.
@@ -216,7 +218,7 @@ def classes_of(
     repeated = repeated_digests(ids, batches, buckets)
     same = (
         named(docs, digest)
-        .join(repeated, "digest", "left_semi")
+        .join(repeated.hint("merge"), "digest", "left_semi")
         .groupBy(*CLASS, "text")
         .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("size"))
     )
@@ -234,7 +236,7 @@ def exact_duplicates(
 ) -> DataFrame:
     """One row per document: doc_id, digest, keep_id, group_size, kept."""
     ids, checked = classes_of(docs, batches, digest)
-    rows = ids.join(checked, CLASS, "left")
+    rows = ids.join(checked.hint("merge"), CLASS, "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return rows.select(
         "doc_id",
@@ -257,6 +259,6 @@ def without_exact_duplicates(docs: DataFrame, batches: int = 2) -> DataFrame:
         F.xxhash64(text).alias("text_key"),
         F.length(text).alias("text_length"),
     )
-    joined = packed.join(checked, CLASS, "left")
+    joined = packed.join(checked.hint("merge"), CLASS, "left")
     stays = F.col("group_size").isNull() | F.col(f"{row}.doc_id").eqNullSafe(F.col("keep_id"))
     return joined.filter(stays).select(f"{row}.*")

@@ -271,5 +271,5 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs)
     drop = found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct()
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
-    kept = packed.join(drop, F.col(f"{row}.doc_id") == F.col("gone"), "left_anti")
+    kept = packed.join(drop.hint("merge"), F.col(f"{row}.doc_id") == F.col("gone"), "left_anti")
     return kept.select(f"{row}.*")
