@@ -33,6 +33,9 @@ from .common import free_name, materialize
 #: Keys of a bucket that a filter is built for, about; buckets there are at least.
 BUCKET_KEYS, LEAST_BUCKETS = 65_536, 64
 
+#: Shares a class's rows are dealt out to for the byte check.
+SALTS = 16
+
 FILTER_SCHEMA = "bucket long, seed long, segment long, segments long, bytes binary"
 
 
@@ -216,9 +219,14 @@ def classes_of(
     )
     buckets = max(LEAST_BUCKETS, -(-ids.count() // BUCKET_KEYS))
     repeated = repeated_digests(ids, batches, buckets)
+    # a class's rows come together in up to SALTS tasks, each of which hands on one row a text
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
+    salted = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = salted.withColumn("salt", F.col("salt").cast("long"))
     same = (
         named(docs, digest)
-        .join(repeated.hint("merge"), "digest", "left_semi")
+        .withColumn("salt", salt)
+        .join(salted.hint("merge"), ["digest", "salt"], "left_semi")
         .groupBy(*CLASS, "text")
         .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("size"))
     )
