@@ -179,8 +179,8 @@ class Model:
 
     def scores(self, words: Words) -> np.ndarray:
         """Score of every word (row) in every language."""
-        if not len(words.start):
-            return np.zeros((0, len(self.languages)), dtype=np.float32)
+        if not len(words.start) or not self.languages:
+            return np.zeros((len(words.start), len(self.languages)), dtype=np.float32)
         letters = self.log[words.pairs] + self.log[words.triples]
         found = np.add.reduceat(letters, words.first, axis=0)
         candidate = self.uses[words.script]
@@ -199,13 +199,12 @@ def viterbi(scores: list[np.ndarray], penalty: float = PENALTY) -> list[np.ndarr
     sizes = np.array([len(scores[i]) for i in order])
     if not len(sizes) or not sizes[0]:
         return [np.zeros(0, dtype=np.int16) for _ in scores]
-    running = [int(n) for n in (sizes[None, :] > np.arange(sizes[0])[:, None]).sum(axis=1)] if (
-        sizes[0] * len(sizes) < 1 << 24
-    ) else [int(np.searchsorted(-sizes, -t, side="left")) for t in range(sizes[0])]
+    # sequences longer than t, for every t
+    running = (len(sizes) - np.searchsorted(sizes[::-1], np.arange(sizes[0]), side="right")).tolist()
     offset = np.cumsum(sizes) - sizes
     flat = np.concatenate([scores[i] for i in order])
     # best[d, l]: sum up to here with this word in language l
-    best = flat[offset].astype(np.float64)[: running[0]]
+    best = flat[offset[: running[0]]].astype(np.float64)
     stay = np.ones(flat.shape, dtype=bool)
     source = np.zeros(len(flat), dtype=np.int16)
     final = np.zeros(len(sizes), dtype=np.int16)
