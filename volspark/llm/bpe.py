@@ -31,6 +31,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import few_at_once
+
 #: How byte-level vocabularies cut a text into pieces (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -243,7 +245,7 @@ def encoded(docs: DataFrame, path: str | None = None, with_ids: bool = True) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = _pairs(digest, shared.value)
-        for batch in batches:
+        for batch in few_at_once(batches):
             ids, numbers, sums, texts = [], [], [], []
             for text in batch.column("text"):
                 own, line = pairs.encode(text.as_py())

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import few_at_once, materialize
 
 #: Pages of a host that make a subtree template: this many, and this share.
 LEAST_PAGES, SHARE = 5, 0.5
@@ -203,7 +203,7 @@ def host_of(url: Column) -> Column:
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in few_at_once(batches):
         hosts, values = [], []
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html")):
             own = {value for value, _, _ in Page(html.as_py() or "").subtrees}
@@ -232,7 +232,7 @@ def main_text(pages: DataFrame, least: int = LEAST_PAGES, share: float = SHARE)
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_at_once(batches):
             texts = [
                 Page(html.as_py() or "").main_text(frozenset(template.as_py() or ()))
                 for html, template in zip(batch.column("html"), batch.column("template"))

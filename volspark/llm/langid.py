@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name
+from .common import few_at_once, free_name
 
 #: Documents learned from per language (expected), hash buckets, and languages at most:
 #: the most frequent ones.
@@ -291,7 +291,7 @@ def fit(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in few_at_once(batches):
             for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist()):
                 total = counts.setdefault(lang, np.zeros(BUCKETS + len(NAMES), dtype=np.int64))
                 for _, part in parts(text.as_py() or ""):
@@ -331,7 +331,7 @@ def languages(docs: DataFrame, model: Model, spans: bool = True) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_at_once(batches):
             found = label([t.as_py() for t in batch.column("text")], shared.value, spans)
             columns = [
                 batch.column("doc_id"),
@@ -363,7 +363,7 @@ def with_language(docs: DataFrame, least: float = 0.4) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_at_once(batches):
             found = label([t.as_py() for t in batch.column(0)], shared.value, False)
             keep = pa.array([f[0] != "und" and f[1] >= least for f in found], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(1)], [row]).filter(keep)

@@ -23,6 +23,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import few_at_once
+
 #: Characters of other text allowed between the sentences of a rule.
 GAP = 400
 
@@ -242,7 +244,7 @@ def scan(docs: DataFrame) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_at_once(batches):
             known = [sentences(t.as_py()) for t in batch.column("text")]
             hits = [matched(k) for k in known]
             spans = [[{"licence": a, "start": b, "end": c} for a, b, c in h] for h in hits]

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, materialize
+from .common import few_at_once, free_name, materialize
 from .links import components
 
 #: Words of a shingle, seed of its hash, greatest number of differing bits.
@@ -85,7 +85,7 @@ def fingerprints(
     """doc_id and the fingerprint ``fp`` of every row, as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_at_once(batches):
             texts = batch.column("text")
             values = [text_fingerprint(t.as_py(), shingle, seed) for t in texts]
             fp = np.array(values, dtype=np.uint64).view(np.int64)
@@ -236,6 +236,9 @@ def linked(distinct: DataFrame, bits: int = BITS, share: int = SHARE) -> DataFra
         "fp",
         "home",
     )
+    # many comparisons for few bytes: not left to be packed into few tasks by their size
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, "anchor", "i", "j")
     return rows.groupBy("anchor", "i", "j").applyInArrow(_compare(bits), "u long, v long")
 
 

@@ -23,6 +23,8 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import few_at_once
+
 #: Words remembered per Python worker, and the longest that are.
 CACHE, MAX_CACHED = 300_000, 64
 
@@ -147,7 +149,7 @@ def token_counts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher, known = _matcher(key, shared.value)
-        for batch in batches:
+        for batch in few_at_once(batches):
             counts = [text_counts(t.as_py(), matcher, known) for t in batch.column("text")]
             yield pa.record_batch(
                 [
