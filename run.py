@@ -37,8 +37,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     index = read_implied_vol(
         spark, given.index or given.bars, given.format, symbol=given.index_symbol, **period
     )
-    paths = run_pipeline(spark, bars, index, given.out, learner=given.learner, **period)
-    spark.read.parquet(paths["report_metrics"]).orderBy("symbol").show(truncate=False)
+    paths = run_pipeline(
+        spark, bars, index, given.out, symbols, learner=given.learner, **period
+    )
+    spark.read.parquet(paths["report_metrics"]).drop("bucket").orderBy("symbol").show(truncate=False)
     return paths
 
 

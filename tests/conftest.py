@@ -30,18 +30,23 @@ def spark(tmp_path_factory):
 
 
 def walk(symbol: str, rows: int, seed: int, first: date = date(2022, 1, 3)) -> pd.DataFrame:
-    """A geometric random walk on consecutive days."""
-    rng = np.random.default_rng(seed)
-    close = 400 * np.exp(np.cumsum(rng.normal(0.0005, 0.01, rows)))
+    """Prices that swing around a slow wave, calm and rough in turn, on consecutive days."""
+    rng = np.random.default_rng(1_000 + seed)
+    day = np.arange(rows)
+    noise = np.zeros(rows)
+    for i in range(1, rows):
+        noise[i] = 0.9 * noise[i - 1] + rng.uniform(-1, 1) * (0.02 if i // 40 % 2 else 0.008)
+    close = 75 + 12 * np.sin(day / 23) + 60 * noise
+    spread = rng.uniform(0.1, 0.9, (3, rows))
     return pd.DataFrame(
         {
             "symbol": symbol,
             "date": [first + timedelta(days=i) for i in range(rows)],
-            "open": close * 0.999,
-            "high": close * 1.005,
-            "low": close * 0.995,
+            "open": close + spread[2] - spread[1],
+            "high": close + spread[0] + spread[2],
+            "low": close - spread[1],
             "close": close,
-            "volume": rng.integers(50_000_000, 150_000_000, rows),
+            "volume": rng.poisson(9_000, rows) * 100,
         }
     )
 
@@ -55,7 +60,7 @@ def frame(spark, pdf: pd.DataFrame, schema):
 @pytest.fixture(scope="session")
 def price_rows():
     """Three series of 150 rows, in no particular order."""
-    panel = pd.concat([walk("AAA", 150, 42), walk("BBB", 150, 7), walk("CCC", 150, 3)])
+    panel = pd.concat([walk("AAA", 150, 1), walk("BBB", 150, 2), walk("CCC", 150, 3)])
     return panel.sample(frac=1, random_state=1).reset_index(drop=True)
 
 

@@ -13,7 +13,7 @@ from volspark.learners import boosting, spread
 from volspark.learners.baseline import train_mean
 from volspark.learners.boosting import BoostParams, Model
 from volspark.learners.grouped import fit_grouped
-from volspark.learners.pooled import pooled, pooled_importances
+from volspark.learners.pooled import pooled, pooled_rows
 from volspark.learners.scoring import score
 from volspark.learners.spread import fit_spread
 from volspark.operators.backtest import holdout, holdout_rows, walk_forward, walk_forward_rows
@@ -184,8 +184,6 @@ def test_long_series_take_the_spread_way(features):
     keys = ("symbol", "row_idx")
     assert collect(mixed.predictions, *keys) == collect(plain.predictions, *keys)
     assert model_texts(mixed.models) == model_texts(plain.models)
-    with pytest.raises(ValueError, match="boosted"):
-        holdout(features, learner="xgboost", layout=layout, max_fit_rows=250)
 
 
 def test_boosted_beats_the_mean(features):
@@ -219,12 +217,22 @@ def test_importances_are_sorted(features):
 
 
 def test_pooled_learns_from_all_symbols(features):
-    rows = holdout_rows(features)
+    rows = pooled_rows(features)
     predictions, models = pooled(rows, BoostParams(trees=5, learning_rate=0.3))
-    assert predictions.count() == 60 + 44 and len(models) == 1
-    shares = pooled_importances(models[0], COLUMNS)
-    assert max(shares, key=shares.get) == COLUMNS[0]
-    assert sum(shares.values()) == pytest.approx(1)
+    # the last 60 of 300 dates; the shorter series ended before
+    assert predictions.count() == 60 and len(models) == 1
+    shares = models[0].stages[-1].featureImportances.toArray()
+    assert COLUMNS[shares.argmax()] == COLUMNS[0]
+    assert shares.sum() == pytest.approx(1)
+
+
+def test_pooled_never_trains_on_a_later_date(features):
+    rows = pooled_rows(features, WalkForward()).collect()
+    for refit in {r.refit_id for r in rows} - {None}:
+        first = min(r.date for r in rows if r.refit_id == refit)
+        assert max(r.date for r in rows if r.segment <= refit) < first
+    none = pooled_rows(features.filter(F.col("date") < "2020-01-10"), WalkForward())
+    assert pooled(none)[0].count() == 0
 
 
 def test_stored_models_score_later(features, tmp_path, spark):

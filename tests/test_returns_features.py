@@ -8,7 +8,7 @@ from conftest import collect, frame, walk
 from pyspark.sql import functions as F
 
 from volspark import add_features, attach_series, log_returns, realized_volatility, schemas
-from volspark.operators.clean import assert_unique_keys, drop_incomplete, nan_to_null
+from volspark.operators.clean import drop_incomplete, nan_to_null
 from volspark.operators.series import SeriesLayout
 from volspark.schemas import feature_columns
 
@@ -184,8 +184,6 @@ def test_duplicate_dates_fail(spark, layout):
     twice = frame(spark, pd.concat([rows, rows.iloc[[63]]]), schemas.BARS)
     with pytest.raises(Exception, match="duplicate"):
         realized_volatility(twice, layout=layout).collect()
-    with pytest.raises(ValueError, match="duplicate"):
-        assert_unique_keys(twice, ["symbol", "date"])
 
 
 def test_wide_side_series_is_joined_without_broadcast(vol, implied_vol):

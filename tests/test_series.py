@@ -106,10 +106,12 @@ def test_hot_symbol_through_the_whole_run(spark, skewed):
         assert (a["date"], a["fold_id"], a["refit_id"]) == (b["date"], b["fold_id"], b["refit_id"])
 
 
-def test_a_series_too_long_for_a_task_is_refused_not_tried(spark):
-    rows = [("S", date(2020, 1, 1) + timedelta(days=i), 1.0, 1.0) for i in range(300)]
+def test_a_long_series_is_fitted_whatever_the_layout(spark):
+    rows = [("S", date(2020, 1, 1) + timedelta(days=i), 1.0, i / 7) for i in range(300)]
     schema = "symbol string, date date, realized_vol double, target_vol double"
     df = spark.createDataFrame(rows, schema)
-    df = df.withColumns({c: F.rand(1) for c in feature_columns()})
-    with pytest.raises(Exception, match="choose_layout"):
-        walk_forward(df, max_fit_rows=100).predictions.collect()
+    inputs = enumerate(feature_columns(), 2)
+    df = df.withColumns({c: F.pmod(F.col("target_vol") * i, F.lit(5.0)) for i, c in inputs})
+    params = BoostParams(trees=2, depth=1)
+    long = walk_forward(df, params=params, max_fit_rows=100).predictions
+    assert collect(long, "row_idx") == collect(walk_forward(df, params=params).predictions, "row_idx")

@@ -11,6 +11,7 @@ from volspark.learners.boosting import BoostParams
 from volspark.operators.backtest import walk_forward
 from volspark.operators.features import add_features
 from volspark.sinks import materialize, shared_folder, write_table
+from volspark.plans.pipeline import store_reports
 from volspark.sources import (
     load_featured,
     read_bars,
@@ -19,6 +20,8 @@ from volspark.sources import (
     read_models,
     read_processed,
     read_results,
+    write_processed_csv,
+    write_results_csv,
 )
 from volspark.sources.tables import _read_csv
 
@@ -71,12 +74,12 @@ def test_processed_comes_back_and_one_symbol_can_be_replaced(spark, processed, t
     assert counts == {"AAA": 10, "BBB": 129, "CCC": 129}
 
 
-def test_results_are_pruned_to_one_folder(spark, processed, tmp_path):
+def test_results_are_pruned_to_one_bucket(spark, processed, tmp_path):
     run = walk_forward(add_features(processed), learner="persistence")
     path = write_table(run.predictions, str(tmp_path / "results"))
     one = read_results(spark, path, symbol="BBB")
     assert one.columns == schemas.PREDICTIONS.names and one.count() == 21
-    assert "PartitionFilters: [isnotnull(symbol" in one._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in one._jdf.queryExecution().toString()
 
 
 def write_csv(folder, name, header, lines):
@@ -114,9 +117,9 @@ def test_csv_files_of_symbols(spark, processed, tmp_path):
 def test_other_headers_are_refused(spark, processed, tmp_path, lines):
     folder = str(tmp_path / "data")
     write_csv(folder, "AAA_processed.csv", HEADER[:lines], csv_lines(processed, "AAA"))
-    with pytest.raises(ValueError, match=f"AAA_processed.csv: {lines}"):
-        read_processed(spark, folder, "csv")
-    given = _read_csv(spark, folder, schemas.PROCESSED_CSV, "_processed.csv", lines)
+    with pytest.raises(Exception, match=f"AAA_processed.csv: {lines}"):
+        read_processed(spark, folder, "csv").collect()
+    given = _read_csv(spark, folder, schemas.PROCESSED_CSV, "_processed.csv", lines, None)
     assert given.count() == 129
 
 
@@ -125,8 +128,8 @@ def test_broken_dates_do_not_pass_as_headers(spark, processed, tmp_path):
     lines = csv_lines(processed, "AAA")
     lines[5] = "not a date" + lines[5][10:]
     write_csv(folder, "AAA_processed.csv", HEADER, lines)
-    with pytest.raises(ValueError, match="4"):
-        read_processed(spark, folder, "csv")
+    with pytest.raises(Exception, match="found AAA_processed.csv: 4"):
+        read_processed(spark, folder, "csv").collect()
 
 
 def test_scratch_tables_lie_in_the_named_folder(spark, bars):
@@ -137,12 +140,10 @@ def test_scratch_tables_lie_in_the_named_folder(spark, bars):
     assert rows_of(stored) == rows_of(bars)
 
 
-@pytest.mark.parametrize("max_folders", [64, 1])
-def test_pipeline_writes_every_table(spark, bars, implied_vol, tmp_path, max_folders):
+def test_pipeline_writes_every_table(spark, bars, implied_vol, tmp_path):
     out = str(tmp_path / "run")
     paths = run_pipeline(
-        spark, bars, implied_vol, out, symbols=["AAA", "CCC"], params=BoostParams(trees=3),
-        max_folders=max_folders,
+        spark, bars, implied_vol, out, symbols=["AAA", "CCC"], params=BoostParams(trees=3)
     )
     assert set(paths) == {
         "processed", "features", "models", "holdout_metrics", "results", "backtest_models",
@@ -156,8 +157,72 @@ def test_pipeline_writes_every_table(spark, bars, implied_vol, tmp_path, max_fol
     assert counts["models"] == 2 and counts["report_importances"] == 2 * 16
     assert {r.symbol for r in read_models(spark, paths["models"]).collect()} == {"AAA", "CCC"}
     assert read_importances(spark, paths["models"], "CCC").count() == 16
-    folders = [f for f in os.listdir(paths["features"]) if f.startswith("symbol=")]
-    assert len(folders) == (2 if max_folders > 1 else 0)
+
+
+def series(spark, names):
+    rows = [(s, date(2024, 1, 1) + timedelta(days=d), float(d)) for s in names for d in range(3)]
+    return spark.createDataFrame(rows, "symbol string, date date, value double")
+
+
+def symbols_at(spark, path):
+    found = spark.read.parquet(path).groupBy("symbol").count().collect()
+    return {r["symbol"]: r["count"] for r in found}
+
+
+@pytest.mark.parametrize("many", [1, 64, 65, 200])
+def test_other_symbols_stay_however_many(spark, tmp_path, many):
+    few, lots = ["X", "Y"], [f"S{i}" for i in range(many)]
+    for i, order in enumerate(((few, lots, few), (lots, few, lots))):
+        path = str(tmp_path / f"table{i}")
+        for names in order:
+            write_table(series(spark, names), path)
+        assert symbols_at(spark, path) == dict.fromkeys([*few, *lots], 3)
+
+
+def test_rows_of_a_symbol_are_replaced_even_by_none(spark, tmp_path):
+    path = str(tmp_path / "table")
+    write_table(series(spark, ["A", "B"]), path)
+    both = spark.createDataFrame([("A",), ("C",)], "symbol string")
+    write_table(series(spark, ["C"]).limit(1), path, both)
+    assert symbols_at(spark, path) == {"B": 3, "C": 1}
+    write_table(series(spark, ["B"]).limit(0), path)
+    assert symbols_at(spark, path) == {"B": 3, "C": 1}
+
+
+def test_exchange_files_come_back(spark, processed, tmp_path):
+    folder = write_processed_csv(processed, str(tmp_path / "data"))
+    assert sorted(os.listdir(folder))[-1].endswith("CCC_processed.csv")
+    with open(f"{folder}/AAA_processed.csv") as file:
+        assert file.read().splitlines()[:3] == [HEADER[0], "Ticker,AAA,,,,,,,", HEADER[2]]
+    names = schemas.PROCESSED.names
+    assert rows_of(read_processed(spark, folder, "csv")) == rows_of(processed.select(*names))
+    one = read_processed(spark, folder, "csv", "BBB")
+    assert one.count() == 129 and len(one.inputFiles()) == 1
+    run = walk_forward(add_features(processed), learner="persistence").predictions
+    folder = write_results_csv(run, str(tmp_path / "results"))
+    kept = run.select("symbol", "date", "actual", "predicted")
+    assert rows_of(read_results(spark, folder, "csv")) == rows_of(kept)
+
+
+def test_a_date_twice_in_the_index_fails(spark, bars, implied_vol, tmp_path):
+    twice = implied_vol.union(implied_vol.limit(1))
+    with pytest.raises(Exception, match="duplicate date in side series"):
+        attach_series(realized_volatility(bars), twice).collect()
+    with pytest.raises(Exception, match="duplicate date in side series"):
+        run_pipeline(spark, bars, twice, str(tmp_path / "run"), learner="persistence")
+
+
+def test_reports_keep_to_their_options(spark, bars, implied_vol, tmp_path):
+    out = str(tmp_path / "run")
+    run_pipeline(spark, bars, implied_vol, out, learner="persistence")
+    last = spark.read.parquet(f"{out}/results").filter("symbol = 'AAA'")
+    start = sorted(r.date for r in last.collect())[10]
+    one = spark.createDataFrame([("AAA",)], "symbol string")
+    paths = store_reports(spark, f"{out}", False, symbols=one, symbol="AAA", start=str(start))
+    for name in ("series", "residuals"):
+        rows = spark.read.parquet(paths[f"report_{name}"])
+        assert rows.filter("symbol = 'AAA'").agg(F.min("date")).first()[0] == start
+        assert rows.filter("symbol = 'BBB'").count() == 21
 
 
 def test_a_second_run_for_another_symbol_leaves_the_first(spark, bars, implied_vol, tmp_path):
@@ -166,10 +231,12 @@ def test_a_second_run_for_another_symbol_leaves_the_first(spark, bars, implied_v
         paths = run_pipeline(
             spark, bars, implied_vol, out, symbols=[symbol], learner="persistence"
         )
-    holdout = spark.read.parquet(paths["holdout_metrics"])
-    assert [r.symbol for r in holdout.collect()] == ["BBB"]
-    stored = read_results(spark, paths["results"]).select("symbol").distinct()
-    assert {r.symbol for r in stored.collect()} == {"AAA", "BBB"}
+    for name in paths:
+        assert set(symbols_at(spark, paths[name])) == {"AAA", "BBB"}, name
+    before = rows_of(read_results(spark, paths["results"], symbol="AAA"))
+    run_pipeline(spark, bars.filter("symbol = 'CCC'"), implied_vol, out, learner="persistence")
+    assert set(symbols_at(spark, paths["report_regimes"])) <= {"AAA", "BBB", "CCC"}
+    assert rows_of(read_results(spark, paths["results"], symbol="AAA")) == before
 
 
 def test_pipeline_keeps_to_the_period(spark, bars, implied_vol, tmp_path):

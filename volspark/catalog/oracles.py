@@ -490,6 +490,21 @@ def boosted(
     return steps
 
 
+#: One cut date per refit for all symbols: the default plan over the calendar of all dates.
+POOLED_PLAN = """SELECT r.refit_id, r.first_scored, r.n_scored,
+    CAST(count(*) AS BIGINT) AS n_train, max(f.date) AS last_trained
+    FROM (SELECT CAST((d.i - d.cut) // 63 AS INTEGER) AS refit_id, min(f.date) AS first_scored,
+                 count(*) AS n_scored
+          FROM (SELECT date, row_number() OVER (ORDER BY date) - 1 AS i, count(*) OVER () AS n,
+                       CAST(floor(count(*) OVER () * 0.6e0) AS BIGINT) AS cut
+                FROM (SELECT DISTINCT date FROM features) a) d
+          JOIN features f ON f.date = d.date
+          WHERE d.i >= d.cut
+            AND d.i < d.cut + 21 * CAST(ceil((d.n - d.cut - 21) / 21e0) AS BIGINT)
+          GROUP BY 1) r
+    JOIN features f ON f.date < r.first_scored GROUP BY 1, 2, 3"""
+
+
 def statement(steps: list[tuple[str, str]], final: str) -> str:
     """One statement with the CTEs that the final SELECT needs, directly or not."""
     used, words = [], set(re.findall(r"\w+", final))
@@ -528,6 +543,18 @@ def oracle_sql() -> dict[str, str]:
         full,
         "SELECT symbol, refit_id, feature, ROUND(importance, 4) AS importance FROM t_importance ",
     )
+    texts["run_models"] = texts["stored_models"]
+    texts["run_importances"] = texts["feature_importance"]
+    texts["run_holdout_metrics"] = texts["holdout_boosted"]
+    texts["processed_csv_round_trip"] = texts["processed_table"]
+    texts["report_bundle_one_symbol"] = statement(
+        flags, f"SELECT * FROM ({final['residuals']}) x WHERE symbol = 'A'"
+    )
+    texts["results_csv_round_trip"] = statement(
+        flags, f"SELECT symbol, date, actual, predicted FROM ({final['results_table']}) x"
+    )
+    texts["suppliers_rerun"] = statement(suppliers, final["run_metrics"])
+    texts["suppliers_pooled_plan"] = statement(suppliers, POOLED_PLAN)
     for name in (
         "realized_vol",
         "features_full",

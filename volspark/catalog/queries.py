@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from volspark.functions import symbol_label
+from volspark.learners.baseline import BASELINES
 from volspark.learners.boosting import BoostParams
-from volspark.learners.grouped import LANE_ROWS
-from volspark.learners.pooled import pooled
+from volspark.learners.grouped import LANE_ROWS, balanced_lane_rows
+from volspark.learners.pooled import pooled, pooled_rows
 from volspark.learners.scoring import score
 from volspark.learners.spread import fit_spread
 from volspark.operators import features as feature_columns_of
@@ -59,6 +60,8 @@ from volspark.sources.tables import (
     read_models,
     read_processed,
     read_results,
+    write_processed_csv,
+    write_results_csv,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,8 +145,8 @@ class Panel:
     def run(
         self, learner: str = "boosted", params: BoostParams = BoostParams(), store: bool = False
     ) -> Backtest:
-        # A handful of series: their refits are shared out, to keep all cores at work.
-        lane_rows = 4_000 if self.symbol == "l_returnflag" else LANE_ROWS
+        learns = learner not in BASELINES
+        lane_rows = balanced_lane_rows(self.features, self.plan) if learns else LANE_ROWS
         return walk_forward(
             self.features, self.plan, learner, params, self.layout, store, lane_rows=lane_rows
         )
@@ -185,8 +188,7 @@ def _vol_summary(panel: Panel) -> DataFrame:
 
 def _drop_incomplete(panel: Panel) -> DataFrame:
     """Bars with the index where there is one, then complete rows only."""
-    index = F.broadcast(panel.index) if panel.index_span < 200_000 else panel.index
-    return rounded(drop_incomplete(panel.bars.join(index, "date", "left")))
+    return rounded(drop_incomplete(panel.bars.join(panel.index, "date", "left")))
 
 
 def _warmup_counts(panel: Panel) -> DataFrame:
@@ -333,7 +335,7 @@ def _pipeline(panel: Panel, table: str, learner: str, params: BoostParams = SMAL
         low=LOW,
         layout=panel.layout,
     )
-    return panel.spark.read.parquet(paths[table])
+    return panel.spark.read.parquet(paths[table]).drop("bucket")
 
 
 def _boosted_holdout(panel: Panel) -> DataFrame:
@@ -417,8 +419,72 @@ def _without_index(panel: Panel) -> DataFrame:
     return rounded(run.predictions.drop("fold_id", "refit_id"), 4)
 
 
+def _run_importances(panel: Panel) -> DataFrame:
+    """A whole run that trains, and the importances of the models it stored."""
+    return rounded(reports.importances(_pipeline(panel, "models", "boosted", BoostParams())), 4)
+
+
+def _run_models(panel: Panel) -> DataFrame:
+    stored = _pipeline(panel, "models", "boosted", BoostParams())
+    return stored.select("symbol", "refit_id", "train_cut", "n_train")
+
+
+def _run_holdout_metrics(panel: Panel) -> DataFrame:
+    return rounded(_pipeline(panel, "holdout_metrics", "boosted", BoostParams()), 4)
+
+
+def _rerun(panel: Panel) -> DataFrame:
+    """Runs for some symbols, for the others and for some again, into one folder."""
+    out = scratch_path(panel.spark, "run")
+    odd = F.crc32(F.col("symbol").cast("binary")) % 2 == 1
+    for part in (odd, ~odd, odd):
+        paths = run_pipeline(
+            panel.spark,
+            panel.bars.filter(part),
+            panel.index,
+            out,
+            learner="persistence",
+            layout=panel.layout,
+        )
+    return rounded(panel.spark.read.parquet(paths["metrics"]).drop("bucket"))
+
+
+def _report_one_symbol(panel: Panel) -> DataFrame:
+    """The report bundle of one symbol and a range of dates: its residuals."""
+    tables = reports.bundle(
+        panel.predictions(), symbol="A", start=RANGE[0], end=RANGE[1], layout=panel.layout
+    )
+    return rounded(tables["residuals"])
+
+
+def _processed_csv(panel: Panel) -> DataFrame:
+    folder = write_processed_csv(panel.processed, scratch_path(panel.spark, "csv"))
+    return rounded(read_processed(panel.spark, folder, "csv", symbol="N"))
+
+
+def _results_csv(panel: Panel) -> DataFrame:
+    folder = write_results_csv(panel.predictions(), scratch_path(panel.spark, "csv"))
+    return rounded(read_results(panel.spark, folder, "csv", symbol="A"))
+
+
+def _pooled_plan(panel: Panel) -> DataFrame:
+    """Per refit of the pooled learner: what it trains on and what it scores."""
+    rows = materialize(pooled_rows(panel.features, panel.plan), "pooled-rows")
+    refits = rows.filter(F.col("refit_id").isNotNull()).groupBy("refit_id").agg(
+        F.min("date").alias("first_scored"), F.count(F.lit(1)).alias("n_scored")
+    )
+    by_day = rows.groupBy("segment").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("date").alias("last")
+    )
+    # one row per refit on either side
+    trained = refits.join(by_day, F.col("segment") <= F.col("refit_id")).groupBy("refit_id").agg(
+        F.sum("rows").alias("n_train"), F.max("last").alias("last_trained")
+    )
+    return refits.join(trained, "refit_id")
+
+
 def _pooled(panel: Panel) -> DataFrame:
-    rows = holdout_rows(panel.features, layout=panel.layout)
+    rows = pooled_rows(panel.features)
     predictions, _ = pooled(rows, BoostParams(trees=20))
     return evaluate(predictions, layout=panel.layout)
 
@@ -517,6 +583,12 @@ def queries() -> dict[str, Query]:
         "walk_forward_boosted_metrics": _boosted_metrics,
         "holdout_boosted": _boosted_holdout_full,
         "feature_importance": _importance,
+        "run_models": _run_models,
+        "run_importances": _run_importances,
+        "run_holdout_metrics": _run_holdout_metrics,
+        "report_bundle_one_symbol": _report_one_symbol,
+        "processed_csv_round_trip": _processed_csv,
+        "results_csv_round_trip": _results_csv,
         "feature_importance_printed": _importance_printed,
         "pooled_boosted": _pooled,
     }
@@ -533,6 +605,9 @@ def queries() -> dict[str, Query]:
     ):
         found[f"chunked_{name}"] = on_panel(made[name], chunked=True)
 
+    found["suppliers_rerun"] = on_panel(_rerun, symbol="l_suppkey")
+    found["suppliers_pooled_plan"] = on_panel(_pooled_plan, symbol="l_suppkey")
+
     # One series per supplier: many symbols, as in a market.
     for name in (
         "features_full",

@@ -15,7 +15,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from volspark.learners.boosting import BoostParams
 from volspark.learners.boosting import fit as fit_boosted
 from volspark.operators.folds import WalkForward, series_lengths
-from volspark.operators.series import MAX_TASK_ROWS
 from volspark.schemas import FITS, TARGET
 
 # What the tasks run travels with the job, so executors need not have this package.
@@ -27,52 +26,14 @@ for _module in (__name__, fit_boosted.__module__):
 LANE_ROWS = 200_000
 
 
-class _XGBoostModel:
-    def __init__(self, booster, columns):
-        self.booster, self.columns = booster, columns
+FITTERS: dict[str, Callable] = {"boosted": fit_boosted}
 
-    def predict(self, x):
-        return self.booster.predict(x).astype(float)
 
-    def importances(self):
-        return dict(zip(self.columns, map(float, self.booster.feature_importances_)))
-
-    def to_json(self):
-        return self.booster.get_booster().save_raw("json").decode()
-
-
-def fit_xgboost(x, y, row_idx, columns, params: BoostParams):
-    """The same settings with the xgboost package, where the executors have it."""
-    from xgboost import XGBRegressor
-
-    booster = XGBRegressor(
-        n_estimators=params.trees,
-        max_depth=params.depth,
-        learning_rate=params.learning_rate,
-        subsample=params.subsample,
-        random_state=params.seed,
-        reg_lambda=params.reg_lambda,
-        max_bin=params.max_bins,
-        n_jobs=1,
-        verbosity=0,
-    )
-    return _XGBoostModel(booster.fit(x, y), columns)
-
-
-FITTERS: dict[str, Callable] = {"boosted": fit_boosted, "xgboost": fit_xgboost}
-
-
-def _fit_lane(
-    columns: list[str], params: BoostParams, fit: Callable, out: pa.Schema, max_rows: int
-):
+def _fit_lane(columns: list[str], params: BoostParams, fit: Callable, out: pa.Schema):
     """The function run on the rows of one series and lane."""
     scored_type = out.field("predictions").type.value_type
 
     def run(table: pa.Table) -> pa.Table:
-        if table.num_rows > max_rows:
-            raise ValueError(
-                f"series of more than {max_rows} rows: run with the layout of choose_layout"
-            )
         table = table.sort_by("row_idx")
         whole = {name: table.column(name).to_numpy() for name in ("row_idx", "segment", TARGET)}
         x = np.column_stack([table.column(c).to_numpy() for c in columns])
@@ -147,12 +108,11 @@ def fit_grouped(
     params: BoostParams = BoostParams(),
     learner: str = "boosted",
     lane_rows: int = LANE_ROWS,
-    max_rows: int = MAX_TASK_ROWS,
 ) -> DataFrame:
     """One row per (symbol, refit): the model, its importances and the rows it scored.
 
-    ``rows`` comes from ``walk_forward_rows`` or ``holdout_rows``; a series of more than
-    ``max_rows`` rows fails the job rather than the executor. A series whose fits add up
+    ``rows`` comes from ``walk_forward_rows`` or ``holdout_rows``, of series short enough
+    for a task (``walk_forward`` and ``holdout`` see to that). A series whose fits add up
     to much work is copied to several lanes, each with a share of its refits; fits
     outweigh the copies by far.
     """
@@ -167,7 +127,7 @@ def fit_grouped(
     # their size in bytes.
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), busy_tasks(spark))
     out = to_arrow_schema(FITS)
-    run = _fit_lane(list(columns), params, FITTERS[learner], out, max_rows)
+    run = _fit_lane(list(columns), params, FITTERS[learner], out)
     return (
         laned.repartition(tasks, "symbol", "lane").groupBy("symbol", "lane").applyInArrow(run, FITS)
     )

@@ -6,8 +6,10 @@ with the layout of the input.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -15,10 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from volspark.learners.boosting import BoostParams
+from volspark.operators.backtest import holdout_rows, walk_forward_rows
+from volspark.operators.folds import WalkForward
 from volspark.operators.split import require_model_columns
 from volspark.schemas import PREDICTIONS, TARGET
 from volspark.sinks import materialize
 
+#: Models fitted side by side; each is many small jobs over the whole panel.
+FITS_AT_ONCE = 4
+
 
 def fit_pooled(train: DataFrame, columns: list[str], params: BoostParams) -> PipelineModel:
     trees = GBTRegressor(
@@ -36,29 +43,44 @@ def fit_pooled(train: DataFrame, columns: list[str], params: BoostParams) -> Pip
     return Pipeline(stages=[inputs, trees]).fit(train)
 
 
+def by_calendar(features: DataFrame, plan: WalkForward | None, test_size: float) -> DataFrame:
+    """(date, segment, fold_id, refit_id, train_cut, row_idx, refits): one cut date per refit.
+
+    The dates of all symbols together are split like one series, so no row that a model
+    trains on is dated after its first scored one. A calendar has one row per day.
+    """
+    days = features.select(F.lit("all").alias("symbol"), "date").distinct()
+    marked = holdout_rows(days, test_size) if plan is None else walk_forward_rows(days, plan)
+    return marked.drop("symbol", "n")
+
+
+def pooled_rows(
+    features: DataFrame, plan: WalkForward | None = None, test_size: float = 0.2
+) -> DataFrame:
+    """The rows of every symbol, marked by date: a holdout, or a walk forward by ``plan``."""
+    return features.join(by_calendar(features, plan, test_size), "date")
+
+
 def pooled(
     rows: DataFrame, params: BoostParams = BoostParams()
 ) -> tuple[DataFrame, list[PipelineModel]]:
-    """Predictions and one model per refit for the marked rows of a run.
+    """Predictions and one model per refit for the rows of ``pooled_rows``.
 
-    Refit g trains on the rows of every symbol before that symbol's own cut.
+    Refit g trains on the rows of every symbol dated before its cut.
     """
     columns = require_model_columns(rows)
     needed = [c for c in PREDICTIONS.names if c not in ("actual", "predicted")]
     rows = materialize(rows.select(*needed, "segment", "refits", TARGET, *columns), "pooled-rows")
     refits = rows.agg(F.max("refits")).first()[0] or 0
-    models, scored = [], []
-    for refit in range(refits):
-        models.append(fit_pooled(rows.filter(F.col("segment") <= refit), columns, params))
-        scored.append(
-            models[-1]
-            .transform(rows.filter(F.col("refit_id") == refit))
-            .withColumn("actual", F.col(TARGET))
-            .select(*PREDICTIONS.names)
-        )
-    return reduce(DataFrame.unionByName, scored), models
-
-
-def pooled_importances(model: PipelineModel, columns: list[str]) -> dict[str, float]:
-    """Shares by feature; MLlib weighs gains by rows, so they differ from mean gains."""
-    return dict(zip(columns, model.stages[-1].featureImportances.toArray().tolist()))
+
+    def run(refit: int) -> tuple[PipelineModel, DataFrame]:
+        model = fit_pooled(rows.filter(F.col("segment") <= refit), columns, params)
+        scored = model.transform(rows.filter(F.col("refit_id") == refit))
+        return model, scored.withColumn("actual", F.col(TARGET)).select(*PREDICTIONS.names)
+
+    if not refits:
+        none = rows.withColumns({"actual": F.col(TARGET), "predicted": F.lit(0.0)})
+        return none.select(*PREDICTIONS.names).limit(0), []
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        done = list(pool.map(inheritable_thread_target(run), range(refits)))
+    return reduce(DataFrame.unionByName, [scored for _, scored in done]), [m for m, _ in done]

@@ -69,7 +69,6 @@ def _run(
     rows: DataFrame,
     learner: str,
     params: BoostParams,
-    layout: SeriesLayout,
     store: bool,
     max_fit_rows: int,
     columns: list[str] | None,
@@ -81,23 +80,18 @@ def _run(
         raise ValueError(f"unknown learner {learner!r}; one of {[*BASELINES, *FITTERS]}")
     columns = require_model_columns(rows, columns)
 
-    # Whole series are short by the calendar; only cut ones can outgrow a task.
-    if layout.chunk_rows is None:
-        short, long = rows, None
-    else:
-        rows = materialize(rows, "learning-rows")
-        short = rows.filter(F.col("n") <= max_fit_rows)
-        long = rows.filter(F.col("n") > max_fit_rows)
-    fits = fit_grouped(short, columns, params, learner, lane_rows, max_fit_rows)
+    # By length, whatever the layout: long series are fitted as Spark aggregates.
+    rows = materialize(rows, "learning-rows")
+    short = rows.filter(F.col("n") <= max_fit_rows)
+    long = rows.filter(F.col("n") > max_fit_rows)
+    fits = fit_grouped(short, columns, params, learner, lane_rows)
     if store:
         fits = materialize(fits, "fits")
     models = fits.select(*MODELS.names)
     predictions = fits.select("symbol", "refit_id", F.inline("predictions")).select(
         *PREDICTIONS.names
     )
-    if long is not None and not long.isEmpty():
-        if learner != "boosted":
-            raise ValueError(f"series of more than {max_fit_rows} rows need the learner 'boosted'")
+    if not long.isEmpty():
         more_models, more_predictions = fit_spread(long, columns, params)
         models = models.unionByName(more_models)
         predictions = predictions.unionByName(more_predictions)
@@ -123,7 +117,7 @@ def walk_forward(
     refits over more tasks; ``balanced_lane_rows`` finds how many.
     """
     rows = walk_forward_rows(features, plan, layout)
-    return _run(rows, learner, params, layout, store, max_fit_rows, columns, lane_rows)
+    return _run(rows, learner, params, store, max_fit_rows, columns, lane_rows)
 
 
 def holdout(
@@ -138,4 +132,4 @@ def holdout(
 ) -> Backtest:
     """Fit each series on its earliest rows and score the rest."""
     rows = holdout_rows(features, test_size, layout)
-    return _run(rows, learner, params, layout, store, max_fit_rows, columns)
+    return _run(rows, learner, params, store, max_fit_rows, columns)

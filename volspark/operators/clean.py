@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,23 +18,18 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
     return df.na.drop("any")
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The key values that occur more than once, with their counts."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
-
-
-def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Return ``df`` unchanged, or fail naming some keys that occur more than once."""
-    found = duplicate_keys(df, keys).limit(5).collect()
-    if found:
-        raise ValueError(f"duplicate {tuple(keys)}: {[tuple(r)[:-1] for r in found]}")
-    return df
+def unique_dates(side: DataFrame, on: str = "date") -> DataFrame:
+    """A side series with one row per date; a date with two rows fails the job when it runs."""
+    rows = F.count(F.lit(1))
+    clash = F.raise_error(
+        F.concat(F.lit("duplicate date in side series: "), F.col(on).cast("string"))
+    )
+    others = [c for c in side.columns if c != on]
+    kept = [F.first(c).alias(c) for c in others]
+    one = side.groupBy(on).agg(F.when(rows > 1, clash).otherwise(rows).alias("rows_"), *kept)
+    return one.filter("rows_ = 1").select(*side.columns)
 
 
 def one_row_per_date(side: DataFrame, value: str) -> DataFrame:
-    """A side series keyed by date; a date with two rows fails the job when it runs."""
-    rows = F.count(F.lit(1))
-    clash = F.raise_error(F.concat(F.lit("duplicate date in side series: "), F.col("date")))
-    return side.groupBy("date").agg(
-        F.when(rows > 1, clash).otherwise(F.first(value)).alias(value)
-    )
+    """(date, value) of a side series, one row per date."""
+    return unique_dates(side.select("date", value))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +21,11 @@ from volspark.operators.folds import WalkForward
 from volspark.operators.metrics import evaluate
 from volspark.operators.returns import realized_volatility
 from volspark.operators.series import WHOLE, SeriesLayout, choose_layout
-from volspark.sinks import write_table
-from volspark.sources.tables import read_models, read_results
+from volspark.sinks import materialize, write_table
+from volspark.sources.tables import read_models, read_processed, read_results
 
-# More symbols than this are not given a folder each.
-MAX_FOLDERS = 64
+#: Report tables written side by side.
+TABLES_AT_ONCE = 4
 
 
 def build_processed(
@@ -40,27 +42,35 @@ def build_processed(
     return attach_series(processed, implied_vol, span_days=span_days)
 
 
-def store_processed(processed: DataFrame, out_dir: str, folders: bool = True) -> DataFrame:
-    path = write_table(processed, f"{out_dir}/processed", by_symbol=folders)
-    return processed.sparkSession.read.schema(processed.schema).parquet(path)
+def _of_run(df: DataFrame, symbols: DataFrame | None) -> DataFrame:
+    """Rows of the run's symbols: the folder may hold those of other runs too."""
+    return df if symbols is None else df.join(symbols, "symbol", "left_semi")
+
+
+def store_processed(
+    processed: DataFrame, out_dir: str, symbols: DataFrame | None = None
+) -> DataFrame:
+    path = write_table(processed, f"{out_dir}/processed", symbols)
+    return _of_run(read_processed(processed.sparkSession, path), symbols)
 
 
 def store_features(
     processed: DataFrame,
     out_dir: str,
-    folders: bool = True,
+    symbols: DataFrame | None = None,
     horizon: int = HORIZON,
     layout: SeriesLayout = WHOLE,
 ) -> DataFrame:
     features = add_features(processed, horizon=horizon, layout=layout)
-    path = write_table(features, f"{out_dir}/features", by_symbol=folders)
-    return processed.sparkSession.read.schema(features.schema).parquet(path)
+    path = write_table(features, f"{out_dir}/features", symbols)
+    stored = processed.sparkSession.read.schema(features.schema).parquet(path)
+    return _of_run(stored.select(*features.columns), symbols)
 
 
 def store_holdout(
     features: DataFrame,
     out_dir: str,
-    folders: bool = True,
+    symbols: DataFrame | None = None,
     test_size: float = 0.2,
     learner: str = "boosted",
     params: BoostParams = BoostParams(),
@@ -69,16 +79,16 @@ def store_holdout(
     """Fit on the earliest rows, store the models and their errors on the rest."""
     run = holdout(features, test_size, learner, params, layout, store=True)
     metrics = evaluate(run.predictions, layout=layout).drop("correlation")
-    paths = {"holdout_metrics": write_table(metrics, f"{out_dir}/holdout_metrics", by_symbol=False)}
+    paths = {"holdout_metrics": write_table(metrics, f"{out_dir}/holdout_metrics", symbols)}
     if run.models is not None:
-        paths["models"] = write_table(run.models, f"{out_dir}/models", by_symbol=folders)
+        paths["models"] = write_table(run.models, f"{out_dir}/models", symbols)
     return paths
 
 
 def store_backtest(
     features: DataFrame,
     out_dir: str,
-    folders: bool = True,
+    symbols: DataFrame | None = None,
     plan: WalkForward = WalkForward(),
     learner: str = "boosted",
     params: BoostParams = BoostParams(),
@@ -87,32 +97,36 @@ def store_backtest(
     """Walk forward, store predictions, the refitted models and the metrics."""
     lane_rows = LANE_ROWS if learner in BASELINES else balanced_lane_rows(features, plan)
     run = walk_forward(features, plan, learner, params, layout, store=True, lane_rows=lane_rows)
-    paths = {"results": write_table(run.predictions, f"{out_dir}/results", by_symbol=folders)}
+    paths = {"results": write_table(run.predictions, f"{out_dir}/results", symbols)}
     if run.models is not None:
         path = f"{out_dir}/backtest_models"
-        paths["backtest_models"] = write_table(run.models, path, by_symbol=folders)
-    results = read_results(features.sparkSession, paths["results"])
+        paths["backtest_models"] = write_table(run.models, path, symbols)
+    results = _of_run(read_results(features.sparkSession, paths["results"]), symbols)
     metrics = evaluate(results, layout=layout)
-    paths["metrics"] = write_table(metrics, f"{out_dir}/metrics", by_symbol=False)
+    paths["metrics"] = write_table(metrics, f"{out_dir}/metrics", symbols)
     return paths
 
 
 def store_reports(
-    spark: SparkSession, out_dir: str, has_models: bool, layout: SeriesLayout = WHOLE, **options
+    spark: SparkSession,
+    out_dir: str,
+    has_models: bool,
+    layout: SeriesLayout = WHOLE,
+    symbols: DataFrame | None = None,
+    **options,
 ) -> dict[str, str]:
-    """Write the report tables of the stored results.
+    """Write the report tables of the stored results, as ``options`` ask for them."""
+    models = _of_run(read_models(spark, f"{out_dir}/models"), symbols) if has_models else None
+    results = _of_run(read_results(spark, f"{out_dir}/results"), symbols)
+    tables = reports.bundle(results, models, layout=layout, **options)
 
-    Series and scatter are columns of the results as they stand and get no copy.
-    """
-    models = read_models(spark, f"{out_dir}/models") if has_models else None
-    results = f"{out_dir}/results"
-    tables = reports.bundle(read_results(spark, results), models, layout=layout, **options)
-    paths = {}
-    for name, df in tables.items():
-        path = f"{out_dir}/reports/{name}"
-        plain = name in ("series", "scatter")
-        paths[f"report_{name}"] = results if plain else write_table(df, path, by_symbol=False)
-    return paths
+    def store(name: str) -> str:
+        return write_table(tables[name], f"{out_dir}/reports/{name}", symbols)
+
+    # small tables of one source: their jobs fill the cluster better side by side
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        paths = list(pool.map(inheritable_thread_target(store), tables))
+    return {f"report_{name}": path for name, path in zip(tables, paths)}
 
 
 def run_pipeline(
@@ -132,18 +146,14 @@ def run_pipeline(
     high: float = reports.HIGH_VOL,
     low: float = reports.LOW_VOL,
     layout: SeriesLayout | None = None,
-    max_folders: int = MAX_FOLDERS,
 ) -> dict[str, str]:
     """Run every stage for all symbols and return the path of each table.
 
-    The period is [``start``, ``end``), as when the bars were downloaded for it.
+    The period is [``start``, ``end``), as when the bars were downloaded for it. A folder
+    used before keeps its other symbols; those of this run are replaced in every table.
     """
-
-    def wanted(df: DataFrame) -> DataFrame:
-        # A folder used before may hold other symbols too.
-        return df.filter(F.col("symbol").isin(*symbols)) if symbols else df
-
-    bars = wanted(bars)
+    if symbols:
+        bars = bars.filter(F.col("symbol").isin(*symbols))
     if start:
         bars = bars.filter(F.col("date") >= F.lit(start).cast("date"))
         implied_vol = implied_vol.filter(F.col("date") >= F.lit(start).cast("date"))
@@ -153,12 +163,17 @@ def run_pipeline(
     if layout is None:
         layout = choose_layout(bars, start=start, end=end)
 
+    own = bars.select("symbol").distinct()
+    if symbols:  # also those without a bar in the period
+        named = spark.createDataFrame([(s,) for s in symbols], "symbol string")
+        own = own.unionByName(named).distinct()
+    own = materialize(own, "run-symbols")
     processed = build_processed(bars, implied_vol, window, layout)
-    few = bars.select("symbol").distinct().limit(max_folders + 1).count() <= max_folders
-    processed = wanted(store_processed(processed, out_dir, few))
-    features = wanted(store_features(processed, out_dir, few, horizon, layout))
+    processed = store_processed(processed, out_dir, own)
+    features = store_features(processed, out_dir, own, horizon, layout)
     paths = {"processed": f"{out_dir}/processed", "features": f"{out_dir}/features"}
-    paths |= store_holdout(features, out_dir, few, test_size, learner, params, layout)
-    paths |= store_backtest(features, out_dir, few, plan, learner, params, layout)
-    paths |= store_reports(spark, out_dir, "models" in paths, layout, high=high, low=low)
+    paths |= store_holdout(features, out_dir, own, test_size, learner, params, layout)
+    paths |= store_backtest(features, out_dir, own, plan, learner, params, layout)
+    has_models = "models" in paths
+    paths |= store_reports(spark, out_dir, has_models, layout, own, high=high, low=low)
     return paths

@@ -1,30 +1,121 @@
-"""Writing tables, one folder per symbol, and the folder scratch tables go to."""
+"""Writing tables of series, and the folder scratch tables go to."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+#: Folders of a table of series, whatever the number of symbols.
+BUCKETS = 64
 
-def write_table(
-    df: DataFrame, path: str, fmt: str = "parquet", by_symbol: bool = True
-) -> str:
-    """Write ``df`` and return ``path``.
+_own_folders: dict[str, str] = {}
 
-    With ``by_symbol`` only the folders of the symbols in ``df`` are replaced, so one
-    symbol can be written anew alone.
+
+def bucket_of(symbol: Column) -> Column:
+    """The folder of a symbol; folds to a constant for a literal, so reads are pruned."""
+    return F.pmod(F.xxhash64(symbol), F.lit(BUCKETS)).cast("int")
+
+
+def _file_system(spark: SparkSession, path: str):
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return name, name.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _save(df: DataFrame, path: str) -> None:
+    """Rows by bucket, sorted by symbol; a large bucket is split over tasks, small ones share one."""
+    order = ["bucket", "symbol", *[c for c in ("date", "refit_id") if c in df.columns]]
+    (
+        df.hint("rebalance", F.col("bucket"))
+        .sortWithinPartitions(*order)
+        .write.mode("overwrite")
+        .partitionBy("bucket")
+        .option("partitionOverwriteMode", "dynamic")
+        .parquet(path)
+    )
+
+
+def write_table(df: DataFrame, path: str, symbols: DataFrame | None = None) -> str:
+    """Write the rows of ``df`` and return ``path``; other symbols of the table stay.
+
+    Rows that the table has of ``symbols`` (by default those in ``df``) are replaced. The
+    layout is the same for any number of symbols: a fixed number of buckets by hash. Only
+    the buckets of these symbols are written again.
     """
-    writer = df.write.mode("overwrite").format(fmt)
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    if by_symbol:
-        writer = writer.partitionBy("symbol").option("partitionOverwriteMode", "dynamic")
-    writer.save(path)
+    spark = df.sparkSession
+    name, files = _file_system(spark, path)
+    new = df.withColumn("bucket", bucket_of(F.col("symbol")))
+    if not files.exists(name):
+        _save(new, path)
+        return path
+    new = materialize(new, "new-rows")
+    gone = (new if symbols is None else symbols).select("symbol").distinct()
+    gone = materialize(gone.withColumn("bucket", bucket_of(F.col("symbol"))), "new-symbols")
+    # at most BUCKETS numbers
+    touched = [r.bucket for r in gone.select("bucket").distinct().collect()]
+    if not touched:
+        return path
+    old = spark.read.schema(df.schema).parquet(path)
+    if "bucket" not in old.columns:  # a table without rows yet
+        old = old.withColumn("bucket", F.lit(None).cast("int"))
+    old = old.filter(F.col("bucket").isin(touched)).select(*new.columns)
+    kept = old.join(gone.select("symbol"), "symbol", "left_anti").select(*new.columns)
+    rows = materialize(new.unionByName(kept), "new-buckets")
+    _save(rows, path)
+    filled = {r.bucket for r in rows.select("bucket").distinct().collect()}
+    for bucket in set(touched) - filled:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/bucket={bucket}"), True)
     return path
 
 
+def write_exchange(df: DataFrame, folder: str, suffix: str, header: list[str]) -> str:
+    """One CSV file ``{symbol}{suffix}`` per symbol, in ``folder``, for other programs.
+
+    ``header`` lines may name the symbol as {symbol}. A series is short by its calendar and
+    is one task's work; all series are written side by side and then given their names.
+    """
+    spark = df.sparkSession
+    names = [c for c in df.columns if c != "symbol"]
+    lines = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names])
+    # one row per line, in order: headers first
+    tops = F.array(
+        *[
+            F.struct(
+                F.lit(None).cast("date").alias("date"),
+                F.lit(i).alias("place"),
+                F.regexp_replace(F.lit(line), r"\{symbol\}", F.col("symbol")).alias("line"),
+            )
+            for i, line in enumerate(header)
+        ]
+    )
+    body = df.select("symbol", "date", F.lit(len(header)).alias("place"), lines.alias("line"))
+    head = df.select("symbol").distinct().select("symbol", F.inline(tops))
+    scratch = scratch_path(spark, "exchange")
+    (
+        body.unionByName(head.select(*body.columns))
+        .repartition("symbol")
+        .sortWithinPartitions("symbol", "place", "date")
+        .select("symbol", "line")
+        .write.partitionBy("symbol")
+        .text(scratch)
+    )
+    target, files = _file_system(spark, folder)
+    files.mkdirs(target)
+    of = spark._jvm.org.apache.hadoop.fs.Path
+    for part in files.listStatus(of(scratch)):
+        name = part.getPath().getName()
+        if not name.startswith("symbol="):
+            continue
+        new = of(folder, name.removeprefix("symbol=") + suffix)
+        files.delete(new, False)
+        for file in files.listStatus(part.getPath()):
+            if file.getPath().getName().startswith("part-"):
+                files.rename(file.getPath(), new)
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it.
 
@@ -35,9 +126,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="volspark-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    session = spark.sparkContext.applicationId
+    if session not in _own_folders:
+        _own_folders[session] = tempfile.mkdtemp(prefix="volspark-")
+    return _own_folders[session]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

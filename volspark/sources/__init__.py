@@ -6,6 +6,8 @@ from volspark.sources.tables import (
     read_models,
     read_processed,
     read_results,
+    write_processed_csv,
+    write_results_csv,
 )
 
 __all__ = [
@@ -18,4 +20,6 @@ __all__ = [
     "read_models",
     "read_processed",
     "read_results",
+    "write_processed_csv",
+    "write_results_csv",
 ]
