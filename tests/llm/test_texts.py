@@ -226,6 +226,7 @@ def test_pseudonyms(spark):
         None,
         "",
         "nothing",
+        "+1!! (974)!! 555-3436!! +14155550123 +1 2 3 +1, 200 items",
     ]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = {r.doc_id: r for r in pii.pseudonyms(docs, "k").collect()}
@@ -243,7 +244,7 @@ def test_pseudonyms(spark):
     assert days[1] == "2023-02-29" and date.fromisoformat(days[0]) and days[0] != "2024-02-29"
     assert days[2][3:5] + "/" + days[2][:2] + days[2][5:] == days[3]
     assert "anna" not in out[7] and out[7].endswith("@mail3.example.com!")
-    assert [rows[i].n_found for i in range(12)] == [1, 1, 0, 2, 1, 1, 3, 1, 3, 0, 0, 0]
+    assert [rows[i].n_found for i in range(13)] == [1, 1, 0, 2, 1, 1, 3, 1, 3, 0, 0, 0, 2]
     other = {r.doc_id: r.text for r in pii.pseudonyms(docs, "another key").collect()}
     assert other[0] != out[0]
 
@@ -265,6 +266,8 @@ def test_pseudonyms_of_tables(some_docs, edge_docs, no_docs):
             assert (r.text == new.text) == (new.n_found == 0)
             for word in re.findall(r"(?<!\d)\d{16}(?!\d)", r.text or ""):
                 assert (word in new.text) == (not luhn(word))
+            for phone in re.findall(r"\b555-\d{4}\b", r.text or ""):
+                assert phone not in new.text
             for mail in re.findall(r"\S+@mail\d+\.example\.com", r.text or ""):
                 assert mail not in new.text
     plan = pii.pseudonyms(some_docs, "k")._jdf.queryExecution().executedPlan().toString()

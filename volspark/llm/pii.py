@@ -26,13 +26,14 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 
-#: What is looked for, in this order; a find has the kind of the first pattern it fits.
+#: What is looked for, in this order; a find has the kind of the first pattern it fits. The
+#: groups of a phone number may have a few marks between them.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{4})(?![0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])",
+    "phone": r"(?<![0-9+])\+(?:[0-9]{7,15}|[0-9]{1,3}(?:[^\p{L}\p{N}\n+]{1,6}[0-9]{2,4}){2,4})(?![0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
 }
 FIND = "|".join(PATTERNS.values())
