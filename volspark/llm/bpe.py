@@ -37,7 +37,7 @@ from .common import few_at_once
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Pieces remembered per Python worker, and the longest that are.
-CACHE, MAX_CACHED = 400_000, 64
+CACHE, MAX_CACHED = 200_000, 64
 
 
 def byte_letters() -> list[str]:
