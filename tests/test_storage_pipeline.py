@@ -187,6 +187,9 @@ def test_rows_of_a_symbol_are_replaced_even_by_none(spark, tmp_path):
     assert symbols_at(spark, path) == {"B": 3, "C": 1}
     write_table(series(spark, ["B"]).limit(0), path)
     assert symbols_at(spark, path) == {"B": 3, "C": 1}
+    none = write_table(series(spark, ["B"]).limit(0), str(tmp_path / "none"))
+    assert spark.read.parquet(none).columns == ["symbol", "date", "value", "bucket"]
+    assert symbols_at(spark, none) == {}
 
 
 def test_exchange_files_come_back(spark, processed, tmp_path):

@@ -48,6 +48,9 @@ def write_table(df: DataFrame, path: str, symbols: DataFrame | None = None) -> s
     name, files = _file_system(spark, path)
     new = df.withColumn("bucket", bucket_of(F.col("symbol")))
     if not files.exists(name):
+        # a file without rows, so that a table without any still has its schema
+        empty = spark.createDataFrame([], df.schema)
+        empty.write.parquet(f"{path}/bucket=-1")
         _save(new, path)
         return path
     new = materialize(new, "new-rows")
@@ -58,8 +61,6 @@ def write_table(df: DataFrame, path: str, symbols: DataFrame | None = None) -> s
     if not touched:
         return path
     old = spark.read.schema(df.schema).parquet(path)
-    if "bucket" not in old.columns:  # a table without rows yet
-        old = old.withColumn("bucket", F.lit(None).cast("int"))
     old = old.filter(F.col("bucket").isin(touched)).select(*new.columns)
     kept = old.join(gone.select("symbol"), "symbol", "left_anti").select(*new.columns)
     rows = materialize(new.unionByName(kept), "new-buckets")
