@@ -59,14 +59,11 @@ def features(rows, with_vix=True):
 
 
 def folds(n, share, step, every):
-    """(score_from, train_cut) of each fold, by walking along the series."""
-    out, position, cut, since = [], int(n * share), None, 0
-    while position + step < n:
-        if cut is None or since >= every:
-            cut, since = position, 0
-        out.append((position, cut))
-        position, since = position + step, since + step
-    return out
+    """(score_from, train_cut) of each fold; a fold needs a whole step and a row after it."""
+    first = int(n * share)
+    starts = [i for i in range(first, n, step) if i + step < n]
+    between = math.ceil(every / step) * step
+    return [(i, i - (i - first) % between) for i in starts]
 
 
 def runs(values, inside):
