@@ -62,7 +62,7 @@ def folds(n, share, step, every):
     """(score_from, train_cut) of each fold; a fold needs a whole step and a row after it."""
     first = int(n * share)
     starts = [i for i in range(first, n, step) if i + step < n]
-    between = math.ceil(every / step) * step
+    between = max(1, math.ceil(every / step)) * step
     return [(i, i - (i - first) % between) for i in starts]
 
 
