@@ -85,6 +85,12 @@ def test_edges_fill_bins_evenly():
     assert boosting.bin_edges(np.array([1.0, 1.0, 2.0]), 16).tolist() == [2.0]
 
 
+@pytest.mark.parametrize("outlier", [10.0, 1e4, -1e12])
+def test_an_outlier_costs_no_borders(outlier):
+    x = np.append(np.random.default_rng(4).normal(0, 0.01, 2_400), outlier)
+    assert len(boosting.bin_edges(x, 256)) >= 250
+
+
 def test_sampling_is_a_share_of_rows_and_changes_with_the_tree():
     rows, params = np.arange(100_000), BoostParams()
     first, second = boosting.sampled(rows, 0, params), boosting.sampled(rows, 1, params)
@@ -176,6 +182,17 @@ def test_spread_fits_the_same_models(features, monkeypatch):
         assert other.importances == pytest.approx(row.importances)
 
 
+def test_spread_has_the_same_borders(spark):
+    rng = np.random.default_rng(6)
+    wide = np.concatenate([rng.normal(0, 0.01, 600), [0.0] * 80, [0.5] * 40, [1e9, -1e9, -0.25]])
+    even = 100 + np.arange(len(wide)) * 1e-7
+    x = np.column_stack([wide, even, np.ones(len(wide))])
+    rows = [("A", 0, float(i), v.tolist()) for i, v in enumerate(x)]
+    train = spark.createDataFrame(rows, "symbol string, refit_id int, y double, x array<double>")
+    edges = spread._start(train, BoostParams(max_bins=32)).first().edges
+    assert edges == [boosting.bin_edges(x[:, f], 32).tolist() for f in range(3)]
+
+
 def test_long_series_take_the_spread_way(features):
     params = BoostParams(trees=2, depth=1)
     layout = SeriesLayout(128)

@@ -4,18 +4,33 @@ from __future__ import annotations
 
 import re
 
-from volspark.catalog.queries import CUT, HIGH, LABELS, LOW, RANGE, SMALL_FIT
-from volspark.learners.boosting import (
-    FINE_BUCKETS,
-    PRIME,
-    ROW_FACTOR,
-    SEED_FACTOR,
-    TREE_FACTOR,
-    TREE_SHIFT,
-    BoostParams,
-)
+from dataclasses import dataclass
+
+from volspark.catalog.queries import CUT, HIGH, LABELS, LOW, RANGE
 from volspark.schemas import feature_columns
 
+# The SQL states its own numbers: a changed default in the library must show as a difference.
+PRIME = 2_147_483_647
+ROW_FACTOR, TREE_FACTOR, SEED_FACTOR, TREE_SHIFT = 48_271, 1_566_083_941, 69_621, 630_360_016
+
+
+@dataclass(frozen=True)
+class Fit:
+    """Settings of the trees in SQL: those of the study."""
+
+    trees: int = 100
+    depth: int = 3
+    learning_rate: float = 0.05
+    subsample: float = 0.8
+    seed: int = 42
+    reg_lambda: float = 1.0
+    min_child_rows: int = 1
+    min_gain: float = 1e-6
+    max_bins: int = 256
+
+
+SMALL_FIT = Fit(trees=3, depth=2)
+
 FEATURES = feature_columns()
 NO_INDEX = feature_columns(with_vix=False)
 INPUTS = ["symbol", "date", "open", "high", "low", "close", "volume", "log_return", "realized_vol"]
@@ -321,7 +336,7 @@ def finals() -> dict[str, str]:
 
 
 def boosted(
-    params: BoostParams, columns: list[str], source: str, cut: str = SPLIT
+    params: Fit, columns: list[str], source: str, cut: str = SPLIT
 ) -> list[tuple[str, str]]:
     """A holdout fit on the rows of ``source``, step by step."""
     two = "POW(2e0, FLOOR(LOG2({})) - ({}))".format
@@ -352,26 +367,19 @@ def boosted(
                 {two('GREATEST(ABS(hi - base), ABS(lo - base))', 29)} AS unit FROM t_base""",
         ),
         (
-            "t_width",
-            f"""SELECT symbol, f, {two(f'(MAX(x) - MIN(x)) / {FINE_BUCKETS}', -1)} AS width
-                FROM t_long WHERE training GROUP BY symbol, f""",
-        ),
-        (
-            "t_bucket",
-            """SELECT l.symbol, l.f, width, FLOOR(x / width) AS bucket, COUNT(*) AS num
-               FROM t_long l JOIN t_width w ON l.symbol = w.symbol AND l.f = w.f
-               WHERE training GROUP BY 1, 2, 3, 4""",
+            "t_value",
+            """SELECT symbol, f, x, COUNT(*) AS num FROM t_long WHERE training GROUP BY 1, 2, 3""",
         ),
         (
             "t_level",
-            f"""SELECT b.*, SUM(num) OVER (PARTITION BY b.symbol, f ORDER BY bucket)
+            f"""SELECT b.*, SUM(num) OVER (PARTITION BY b.symbol, f ORDER BY x)
                 * {params.max_bins} // n_train AS level,
-                LEAD(bucket) OVER (PARTITION BY b.symbol, f ORDER BY bucket) * width AS border
-                FROM t_bucket b JOIN t_start s ON b.symbol = s.symbol""",
+                LEAD(x) OVER (PARTITION BY b.symbol, f ORDER BY x) AS border
+                FROM t_value b JOIN t_start s ON b.symbol = s.symbol""",
         ),
         (
             "t_rose",
-            """SELECT *, level > LAG(level, 1, 0) OVER (PARTITION BY symbol, f ORDER BY bucket)
+            """SELECT *, level > LAG(level, 1, 0) OVER (PARTITION BY symbol, f ORDER BY x)
                AS rose FROM t_level""",
         ),
         (
@@ -381,17 +389,18 @@ def boosted(
         ),
         (
             "t_codes",
-            """SELECT symbol, row_idx, f, code FROM (
+            """SELECT symbol, row_idx, LIST(CAST(code AS SMALLINT) ORDER BY f) AS codes FROM (
                SELECT symbol, row_idx, f, SUM(edge) OVER (PARTITION BY symbol, f
                ORDER BY x, edge DESC ROWS UNBOUNDED PRECEDING) AS code FROM (
                  SELECT symbol, row_idx, f, x, 0 AS edge FROM t_long UNION ALL
                  SELECT symbol, NULL, f, border, 1 FROM t_edges) u) c
-               WHERE row_idx IS NOT NULL""",
+               WHERE row_idx IS NOT NULL GROUP BY symbol, row_idx""",
         ),
         (
             "t_sum_0",
-            """SELECT t.symbol, row_idx, cut, y, unit, base AS predicted
-               FROM t_rows t JOIN t_start s ON t.symbol = s.symbol""",
+            """SELECT t.symbol, t.row_idx, cut, y, unit, codes, base AS predicted
+               FROM t_rows t JOIN t_start s ON t.symbol = s.symbol
+               JOIN t_codes c ON t.symbol = c.symbol AND t.row_idx = c.row_idx""",
         ),
     ]
     limit, lam = int(params.subsample * PRIME), f"{params.reg_lambda}e0"
@@ -403,7 +412,7 @@ def boosted(
         steps.append(
             (
                 f"t_node_{t}_0",
-                f"""SELECT symbol, row_idx, cut, y, unit, predicted,
+                f"""SELECT symbol, row_idx, cut, y, unit, codes, predicted,
                     (v2 * v2 % {PRIME} * v % {PRIME} + {last}) % {PRIME} < {limit}
                     AND row_idx < cut AS kept,
                     CAST(ROUND_EVEN((predicted - y) / unit, 0) AS BIGINT) AS g,
@@ -424,10 +433,11 @@ def boosted(
                         AS gain FROM (
                           SELECT *, SUM(g) OVER w * unit AS gl, SUM(num) OVER w AS nl,
                           SUM(g) OVER a * unit AS gt, SUM(num) OVER a AS nt FROM (
-                            SELECT n.symbol, unit, node, f, code, SUM(g) AS g, COUNT(*) AS num
-                            FROM {node} n JOIN t_codes c
-                            ON n.symbol = c.symbol AND n.row_idx = c.row_idx
-                            WHERE kept AND level = {level} GROUP BY 1, 2, 3, 4, 5) h
+                            SELECT symbol, unit, node, f, code, SUM(g) AS g, COUNT(*) AS num
+                            FROM (SELECT symbol, unit, node, g, UNNEST(RANGE({len(columns)})) AS f,
+                                  UNNEST(codes) AS code
+                                  FROM {node} WHERE kept AND level = {level}) c
+                            GROUP BY 1, 2, 3, 4, 5) h
                           WINDOW w AS (PARTITION BY symbol, node, f ORDER BY code),
                           a AS (PARTITION BY symbol, node, f)) l
                         WHERE nl >= {params.min_child_rows}
@@ -436,23 +446,22 @@ def boosted(
                 ),
                 (
                     f"t_node_{t}_{level + 1}",
-                    f"""SELECT n.symbol, n.row_idx, n.cut, n.y, n.unit, n.predicted, n.kept, n.g,
+                    f"""SELECT n.symbol, row_idx, cut, y, unit, codes, predicted, kept, n.g,
                         CASE WHEN b.f IS NULL THEN n.node
-                             ELSE 2 * n.node + 1 + CASE WHEN c.code > b.code THEN 1 ELSE 0 END
+                             ELSE 2 * n.node + 1
+                                  + CASE WHEN codes[b.f + 1] > b.code THEN 1 ELSE 0 END
                         END AS node,
                         CASE WHEN b.f IS NULL THEN n.level ELSE {level + 1} END AS level
                         FROM {node} n
                         LEFT JOIN {best} b ON n.symbol = b.symbol
-                        AND n.node = b.node AND n.level = {level}
-                        LEFT JOIN t_codes c ON n.symbol = c.symbol
-                        AND n.row_idx = c.row_idx AND c.f = b.f""",
+                        AND n.node = b.node AND n.level = {level}""",
                 ),
             ]
         final = f"t_node_{t}_{params.depth}"
         steps.append(
             (
                 f"t_sum_{t + 1}",
-                f"""SELECT n.symbol, row_idx, cut, y, unit, predicted + value AS predicted
+                f"""SELECT n.symbol, row_idx, cut, y, unit, codes, predicted + value AS predicted
                     FROM {final} n JOIN (
                       SELECT symbol, node, -(SUM(g) * MAX(unit)) / (COUNT(*) + {lam})
                       * {params.learning_rate}e0 AS value
@@ -522,18 +531,26 @@ def oracle_sql() -> dict[str, str]:
     predicted = f"""SELECT symbol, date, row_idx, {rs(['actual', 'predicted'], 4)}
         FROM t_scored """
     small = flags + boosted(SMALL_FIT, FEATURES, "positioned")
-    for name in ("boosted_holdout_small", "boosted_holdout_spread", "score_stored_models"):
+    for name in ("boosted_holdout_small", "boosted_holdout_spread"):
         texts[name] = statement(small, predicted)
-    plain = flags + boosted(SMALL_FIT, NO_INDEX, "bare_positioned")
+    plain = flags + boosted(Fit(), NO_INDEX, "bare_positioned")
     texts["boosted_holdout_without_index"] = statement(plain, predicted)
-    walked = flags + boosted(SMALL_FIT, FEATURES, "refit_rows", "train_cut")
-    texts["walk_forward_boosted_small"] = statement(
-        walked,
-        f"""SELECT {', '.join(f's.{c}' for c in PREDICTION[:5])}, {r('actual', digits=4)},
-            {r('predicted', digits=4)} FROM t_scored t JOIN scored s
-            ON split_part(t.symbol, '|', 1) = s.symbol AND t.row_idx = s.row_idx""",
+    for name, fit in (("walk_forward_boosted_small", SMALL_FIT), ("walk_forward_boosted", Fit())):
+        walked = flags + boosted(fit, FEATURES, "refit_rows", "train_cut")
+        walked += [
+            (
+                "t_walked",
+                f"""SELECT {', '.join(f's.{c}' for c in PREDICTION[:5])}, actual, predicted
+                    FROM t_scored t JOIN scored s
+                    ON split_part(t.symbol, '|', 1) = s.symbol AND t.row_idx = s.row_idx""",
+            )
+        ]
+        texts[name] = statement(walked, f"SELECT {rs(PREDICTION, 4)} FROM t_walked")
+    texts["walk_forward_boosted_metrics"] = statement(
+        walked, f"SELECT symbol, n, {rs(METRIC_NAMES, 4)} FROM ({metrics('t_walked')}) m"
     )
-    full = flags + boosted(BoostParams(), FEATURES, "positioned")
+    full = flags + boosted(Fit(), FEATURES, "positioned")
+    texts["score_stored_models"] = statement(full, predicted)
     shares = f"SELECT symbol, refit_id, feature, {r('importance', digits=4)} FROM t_importance "
     texts["holdout_boosted"] = statement(
         full, f"SELECT symbol, n, {rs(METRIC_NAMES[:3], 4)} FROM ({metrics('t_scored')}) m"

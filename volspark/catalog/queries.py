@@ -352,7 +352,7 @@ def _spread_holdout(panel: Panel) -> DataFrame:
 
 def _boosted_models(panel: Panel) -> DataFrame:
     """What every refit trained on and scored, and whether its importances add up."""
-    run = panel.run(params=BoostParams(trees=10), store=True)
+    run = panel.run(store=True)
     scored = run.predictions.groupBy("symbol", "refit_id").agg(
         F.count("predicted").alias("n_scored")
     )
@@ -373,11 +373,11 @@ def _boosted_walk_small(panel: Panel) -> DataFrame:
 
 
 def _boosted_predictions(panel: Panel) -> DataFrame:
-    return panel.predictions("boosted")
+    return rounded(panel.predictions("boosted"), 4)
 
 
 def _boosted_metrics(panel: Panel) -> DataFrame:
-    return evaluate(panel.run().predictions, layout=panel.layout)
+    return rounded(evaluate(panel.run().predictions, layout=panel.layout), 4)
 
 
 def _boosted_holdout_full(panel: Panel) -> DataFrame:
@@ -396,14 +396,14 @@ def _importance_printed(panel: Panel) -> DataFrame:
 
 
 def _stored_models(panel: Panel) -> DataFrame:
-    run = holdout(panel.features, params=SMALL_FIT, layout=panel.layout)
+    run = holdout(panel.features, layout=panel.layout)
     path = write_table(run.models, scratch_path(panel.spark, "models"))
     return read_models(panel.spark, path).select("symbol", "refit_id", "train_cut", "n_train")
 
 
 def _stored_models_score(panel: Panel) -> DataFrame:
     """Models written, read back, and used on the rows they had not seen."""
-    run = holdout(panel.features, params=SMALL_FIT, layout=panel.layout)
+    run = holdout(panel.features, layout=panel.layout)
     path = write_table(run.models, scratch_path(panel.spark, "models"))
     scored = score(panel.features, read_models(panel.spark, path)).drop("refit_id")
     test = holdout_rows(panel.features, layout=panel.layout).filter(F.col("refit_id") == 0)
@@ -415,7 +415,7 @@ def _without_index(panel: Panel) -> DataFrame:
     """The ablation: the same fit on the features that need no index."""
     plain = feature_columns(with_vix=False)
     bare = add_features(panel.vol, layout=panel.layout)
-    run = holdout(bare, params=SMALL_FIT, layout=panel.layout, columns=plain)
+    run = holdout(bare, layout=panel.layout, columns=plain)
     return rounded(run.predictions.drop("fold_id", "refit_id"), 4)
 
 

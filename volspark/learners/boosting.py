@@ -31,8 +31,6 @@ class BoostParams:
     max_bins: int = 256
 
 
-# Bins come from this many equal-width buckets per feature, at most.
-FINE_BUCKETS = 65_536
 # Row sampling: arithmetic modulo this prime, on numbers whose products fit 64 bits.
 PRIME = 2**31 - 1
 ROW_FACTOR, TREE_FACTOR, SEED_FACTOR, TREE_SHIFT = 48_271, 1_566_083_941, 69_621, 630_360_016
@@ -43,18 +41,13 @@ def power_of_two(x: float, bits: int) -> float:
     return 2.0 ** (math.frexp(x)[1] - 1 - bits) if x > 0 else 1.0
 
 
-def bucket_width(low: float, high: float) -> float:
-    return power_of_two((high - low) / FINE_BUCKETS, -1)
-
-
 def bin_edges(x: np.ndarray, max_bins: int) -> np.ndarray:
-    """Borders of about equally filled bins; a value on a border belongs to the upper bin."""
-    width = bucket_width(x.min(), x.max())
-    buckets, counts = np.unique(np.floor(x / width), return_counts=True)
+    """Borders of about equally filled bins, by rank; a value on a border is in the upper bin."""
+    values, counts = np.unique(x, return_counts=True)
     level = np.cumsum(counts) * max_bins // len(x)
-    # A border lies between a bucket in which the level rose and the next one.
+    # A border lies between a value at which the level rose and the next one.
     rose = np.flatnonzero(np.diff(level, prepend=0) > 0)
-    return buckets[rose[rose < len(buckets) - 1] + 1] * width
+    return values[rose[rose < len(values) - 1] + 1]
 
 
 def sampled(row_idx: np.ndarray, tree: int, params: BoostParams) -> np.ndarray:

@@ -41,13 +41,18 @@ def score(features: DataFrame, models: DataFrame) -> DataFrame:
     latest = models.groupBy("symbol").agg(
         F.max_by(F.struct("refit_id", "model"), "refit_id").alias("latest")
     )
+    inputs = [c for c, kind in features.dtypes if kind == "double"]
+    names = F.array(*[F.lit(c) for c in inputs])
+    # where each input lies is looked up once per model, not per row
     parsed = latest.select(
         "symbol", "latest.refit_id", F.from_json("latest.model", MODEL_JSON).alias("model")
+    ).withColumn(
+        "places",
+        F.transform("model.columns", lambda c: F.array_position(names, c).cast("int") - 1),
     )
-    inputs = [c for c, kind in features.dtypes if kind == "double"]
-    named = F.map_from_arrays(F.array(*[F.lit(c) for c in inputs]), F.array(*inputs))
-    joined = features.join(parsed, "symbol").withColumn("named", named)
-    x = F.transform("model.columns", lambda name: F.try_element_at("named", name))
+    rows = features.select("symbol", "date", F.array(*inputs).alias("inputs"))
+    joined = rows.join(parsed, "symbol")
+    x = F.transform("places", lambda at: F.get("inputs", at))
     return joined.withColumn("x", x).select(
         "symbol",
         "date",

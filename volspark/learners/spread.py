@@ -23,6 +23,8 @@ MODEL = ["symbol", "refit_id"]
 # Refits train on a copy of the rows each; so many rows per core are worked on at a time.
 ROWS_PER_CORE = 1_000_000
 TREES_PER_STATE = 10
+# Above any number of ranges on one side of zero.
+RANGES = 1 << 21
 
 
 def _power_of_two(x: Column, bits: int) -> Column:
@@ -64,22 +66,60 @@ def _leaf_by_code(tree: Column, depth: int) -> Column:
     )
 
 
-def _start(train: DataFrame, columns: list[str], params: BoostParams) -> DataFrame:
+def _range_of(value: Column) -> Column:
+    """The range a value falls in, in the order of values: 1,024 to a doubling."""
+    place = F.floor(F.log2(F.abs(value)) * 1024) + RANGES
+    return F.when(value > 0, place).when(value < 0, -place).otherwise(F.lit(0)).cast("long")
+
+
+def _borders(train: DataFrame, stats: DataFrame, params: BoostParams) -> DataFrame:
+    """Per model and feature the borders by rank, as ``boosting.bin_edges`` has them.
+
+    Distinct values are counted, and counts added up within narrow ranges of values on top
+    of what lies below the range: no task orders a whole feature.
+    """
+    keys = [*MODEL, "feature"]
+    counts = (
+        train.select(*MODEL, F.posexplode("x").alias("feature", "value"))
+        .groupBy(*keys, "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("range", _range_of(F.col("value")))
+    )
+    counts = materialize(counts, "value-counts")
+    in_order = Window.partitionBy(*keys).orderBy("range")
+    below = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (
+        counts.groupBy(*keys, "range")
+        .agg(F.sum("rows").alias("range_rows"), F.min("value").alias("least"))
+        .select(
+            *keys,
+            "range",
+            F.coalesce(F.sum("range_rows").over(below), F.lit(0)).alias("below"),
+            F.lead("least").over(in_order).alias("above"),
+        )
+    )
+    within = Window.partitionBy(*keys, "range").orderBy("value")
+    running = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    level = f"{{}} * {params.max_bins} div n_train"
+    return (
+        counts.join(ranges, [*keys, "range"])
+        .withColumn("upto", F.col("below") + F.sum("rows").over(running))
+        .withColumn("border", F.coalesce(F.lead("value").over(within), "above"))
+        .join(stats.select(*MODEL, "n_train"), MODEL)
+        .withColumn("rose", F.expr(f"{level.format('upto')} > {level.format('(upto - rows)')}"))
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list(F.when(F.col("rose"), F.col("border")))).alias("borders"))
+    )
+
+
+def _start(train: DataFrame, params: BoostParams) -> DataFrame:
     """Per model: base value, gradient unit and the bin borders of every feature."""
-    low = F.array(*[F.min(F.get("x", F.lit(f))) for f in range(len(columns))])
-    high = F.array(*[F.max(F.get("x", F.lit(f))) for f in range(len(columns))])
     stats = train.groupBy(*MODEL).agg(
         F.count(F.lit(1)).alias("n_train"),
         F.min("y").alias("y_low"),
         F.max("y").alias("y_high"),
-        low.alias("low"),
-        high.alias("high"),
     )
     largest = F.greatest(F.abs("y_low"), F.abs("y_high"))
-    widths = [
-        _power_of_two((F.col("high")[f] - F.col("low")[f]) / boosting.FINE_BUCKETS, -1)
-        for f in range(len(columns))
-    ]
     stats = materialize(
         stats.select(
             *MODEL,
@@ -87,7 +127,6 @@ def _start(train: DataFrame, columns: list[str], params: BoostParams) -> DataFra
             "y_low",
             "y_high",
             _power_of_two(largest, 30).alias("y_unit"),
-            F.array(*widths).alias("widths"),
         ),
         "model-stats",
     )
@@ -105,25 +144,8 @@ def _start(train: DataFrame, columns: list[str], params: BoostParams) -> DataFra
         .select(*MODEL, "n_train", "base", _power_of_two(furthest, 29).alias("unit"))
     )
 
-    # Equal-frequency borders from counts of equal-width buckets: a bounded table.
-    per_feature = Window.partitionBy(*MODEL, "feature").orderBy("bucket")
-    running = per_feature.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = (
-        train.join(stats.select(*MODEL, "widths", "n_train"), MODEL)
-        .select(*MODEL, "widths", "n_train", F.posexplode("x").alias("feature", "value"))
-        .withColumn("width", F.get("widths", F.col("feature")))
-        .withColumn("bucket", F.floor(F.col("value") / F.col("width")))
-        .groupBy(*MODEL, "feature", "bucket", "width", "n_train")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("upto", F.sum("rows").over(running))
-        .withColumn("level", F.expr(f"upto * {params.max_bins} div n_train"))
-    )
-    rose = F.col("level") > F.lag("level", 1, 0).over(per_feature)
-    border = F.when(rose, F.lead("bucket").over(per_feature) * F.col("width"))
     borders = (
-        counts.withColumn("border", border)
-        .groupBy(*MODEL, "feature")
-        .agg(F.array_sort(F.collect_list("border")).alias("borders"))
+        _borders(train, stats, params)
         .groupBy(*MODEL)
         .agg(F.array_sort(F.collect_list(F.struct("feature", "borders"))).alias("edges"))
         .select(*MODEL, F.col("edges.borders").alias("edges"))
@@ -275,7 +297,7 @@ def _fit_batch(rows: DataFrame, columns: list[str], params: BoostParams, first:
             F.explode(wanted).alias("refit_id"),
         )
     )
-    start = _start(train, columns, params)
+    start = _start(train, params)
     codes = F.transform("x", lambda value, f: _code(value, F.get("edges", f), params))
     state = materialize(
         train.join(start, MODEL).select(
