@@ -42,6 +42,11 @@ def test_bars_come_back(spark, bars, tmp_path, fmt):
     assert rows_of(read_bars(spark, path, fmt)) == rows_of(bars)
 
 
+def test_bars_come_back_from_a_table_in_buckets(spark, bars, tmp_path):
+    found = read_bars(spark, write_table(bars, str(tmp_path / "bars")))
+    assert found.columns == bars.columns and rows_of(found) == rows_of(bars)
+
+
 def test_bars_are_filtered_with_an_open_end(spark, bars, tmp_path):
     path = str(tmp_path / "bars")
     bars.write.parquet(path)

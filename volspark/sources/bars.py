@@ -28,7 +28,8 @@ def _read_raw(
         df = df.filter(F.col("date") >= F.lit(start).cast("date"))
     if end:
         df = df.filter(F.col("date") < F.lit(end).cast("date"))
-    return df
+    # not the folders the table may lie in
+    return df.select(*BARS.names)
 
 
 def read_bars(
