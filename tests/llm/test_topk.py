@@ -55,6 +55,17 @@ def test_edges(spark):
     assert ours(spark, []) == [] and ours(spark, [(1, None, 0)]) == []
 
 
+def test_repeated_rows_ask_once(spark):
+    rows = some(400, seed=6)
+    twice = [
+        (q, 2 * rank - 1 + more, i, score)
+        for q, rank, i, score in brute([r[:2] for r in rows], 5)
+        for more in (0, 1)
+    ]
+    assert ours(spark, rows + rows, pivots=1) == sorted(twice)
+    assert ours(spark, rows + rows, pivots=4, shard=60, block=2) == sorted(twice)
+
+
 def test_search_stops_early():
     """The bounds hold: no annulus is left out that could still score."""
     rng = random.Random(5)

@@ -16,8 +16,9 @@ and a few numbers per annulus: both bounded by the parameters.
 Defined cases: vectors that are null, or hold a null or a non-finite component, take no
 part; shorter vectors count as padded with zeros; a null id takes no part; ties go to the
 smaller id; rows that repeat an id are candidates of their own, and none is one for its own
-id; fewer than k candidates give fewer rows; an empty table gives an empty result. A
-score beyond a long raises an error.
+id; as a query such an id asks once, with the vector first in the order of stored bytes;
+fewer than k candidates give fewer rows; an empty table gives an empty result. A score
+beyond a long raises an error.
 """
 
 from __future__ import annotations
@@ -314,7 +315,9 @@ def top_k(
     place = F.pmod(F.xxhash64("vec_id", "v"), count).cast("int")
     stored = index.withColumn("shard", place)
 
-    asked = index.filter(is_query).withColumn("floor", F.lit(float("-inf")))
+    # an id asks once: repeated rows would count a candidate twice towards the k-th best
+    asked = index.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
+    asked = materialize(asked.withColumn("floor", F.lit(float("-inf"))), "topk-queries")
     blocks = max(1, -(-asked.count() // block))
 
     def searched(queries: DataFrame, nearest: bool) -> DataFrame:
@@ -340,7 +343,6 @@ def top_k(
         .join(floors, F.col("vec_id") == F.col("of"), "left")
         .withColumn("floor", F.coalesce("kth", F.lit(float("-inf"))))
     )
-    again = again.dropDuplicates(["vec_id"])
     return ranked(searched(again, False), k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
     )
