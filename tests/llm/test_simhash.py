@@ -115,3 +115,10 @@ def test_stage(edge_docs, no_docs):
     kept = {r.doc_id for r in out.collect()}
     assert 1 in kept and not kept & {2, 11} and None in kept
     assert simhash.one_of_each(no_docs).count() == 0
+
+
+def test_stage_tells_rows_with_one_id_apart(spark):
+    first, second = "a b c d e f", "quite another text of seven words here"
+    rows = [(1, first), (5, first), (5, second), (5, second), (7, second), (None, second)]
+    out = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, out.collect())) == [(1, first), (5, second), (5, second)]

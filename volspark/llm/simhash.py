@@ -80,19 +80,23 @@ def text_fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED)
 
 
 def fingerprints(
-    docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    seed: int = SEED,
+    keep: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
-    """doc_id and the fingerprint ``fp`` of every row, as a signed long."""
+    """The columns ``keep`` and the fingerprint ``fp`` of every row, as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in few_at_once(batches):
             texts = batch.column("text")
             values = [text_fingerprint(t.as_py(), shingle, seed) for t in texts]
             fp = np.array(values, dtype=np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+            columns = [batch.column(i) for i in range(len(keep))]
+            yield pa.record_batch([*columns, pa.array(fp)], [*keep, "fp"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    kept = docs.select(*keep)
+    return docs.select(*keep, "text").mapInArrow(run, kept.schema.add("fp", "long"))
 
 
 @lru_cache(maxsize=1)
@@ -243,12 +247,19 @@ def linked(distinct: DataFrame, bits: int = BITS, share: int = SHARE) -> DataFra
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, bits: int = BITS
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    seed: int = SEED,
+    bits: int = BITS,
+    keep: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
-    """doc_id, fp and component_id (least doc_id it reaches by links) of every row."""
+    """The columns ``keep``, fp and component_id (least doc_id it reaches by links) of every row.
+
+    ``keep`` includes doc_id.
+    """
     if not 0 <= bits <= BITS:
         raise ValueError(f"the blocks cover up to {BITS} differing bits")
-    ids = materialize(fingerprints(docs, shingle, seed), "simhash-fingerprints")
+    ids = materialize(fingerprints(docs, shingle, seed, keep), "simhash-fingerprints")
     classes = materialize(
         ids.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes"
     )
@@ -258,7 +269,7 @@ def near_duplicates(
     )
     named = members.groupBy("root").agg(F.min("least").alias("component_id"))
     of = members.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return ids.join(of, "fp", "left").select("doc_id", "fp", "component_id")
+    return ids.join(of, "fp", "left").select(*keep, "fp", "component_id")
 
 
 def hexadecimal(fp: str) -> Column:
@@ -266,13 +277,19 @@ def hexadecimal(fp: str) -> Column:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component, and those without an id.
+    """The rows of ``docs`` whose doc_id names their component. All columns.
 
-    All columns; the last of several rows with one id are not told apart.
+    Rows are told apart by id and text: of several with one id, each stays or goes by its
+    own component. Rows that repeat both, or share an id within one component, stay
+    together; a row without an id stays only where its whole component has none.
     """
     row = free_name(docs, "row")
-    found = near_duplicates(docs)
-    drop = found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct()
+    slim = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    found = near_duplicates(slim, keep=("doc_id", "text_key"))
+    drop = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    drop = drop.select(F.col("doc_id").alias("gone"), F.col("text_key").alias("gone_key")).distinct()
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
-    kept = packed.join(drop.hint("merge"), F.col(f"{row}.doc_id") == F.col("gone"), "left_anti")
-    return kept.select(f"{row}.*")
+    same = F.col(f"{row}.doc_id").eqNullSafe(F.col("gone")) & (
+        F.xxhash64(F.col(f"{row}.text")) == F.col("gone_key")
+    )
+    return packed.join(drop.hint("merge"), same, "left_anti").select(f"{row}.*")
