@@ -10,7 +10,8 @@ from volspark import attach_series, realized_volatility, run_pipeline, schemas
 from volspark.learners.boosting import BoostParams
 from volspark.operators.backtest import walk_forward
 from volspark.operators.features import add_features
-from volspark.sinks import materialize, shared_folder, write_table
+from volspark.operators.series import SeriesLayout
+from volspark.sinks import clearing_scratch, materialize, shared_folder, write_table
 from volspark.plans.pipeline import store_reports
 from volspark.sources import (
     load_featured,
@@ -247,6 +248,31 @@ def test_a_second_run_for_another_symbol_leaves_the_first(spark, bars, implied_v
     assert rows_of(read_results(spark, paths["results"], symbol="AAA")) == before
 
 
+def test_runs_leave_no_scratch_tables(spark, bars, implied_vol, tmp_path):
+    own = shared_folder(spark)
+    before = set(os.listdir(own)) if os.path.isdir(own) else set()
+    params = BoostParams(trees=2, depth=2)
+    run_pipeline(spark, bars, implied_vol, str(tmp_path / "one"), params=params)
+    run_pipeline(
+        spark, bars, implied_vol, str(tmp_path / "two"), layout=SeriesLayout(70),
+        learner="persistence",
+    )
+    with pytest.raises(Exception, match="duplicate date"):
+        run_pipeline(spark, bars, implied_vol.union(implied_vol), str(tmp_path / "three"))
+    assert set(os.listdir(own)) == before
+
+
+def test_scratch_is_cleared_inside_out(spark, tmp_path):
+    rows = spark.range(3)
+    with clearing_scratch(spark):
+        kept = materialize(rows, "outer")
+        with clearing_scratch(spark):
+            gone = materialize(rows, "inner").inputFiles()[0]
+        assert kept.count() == 3 and not os.path.exists(gone.removeprefix("file://"))
+        outer = kept.inputFiles()[0]
+    assert not os.path.exists(outer.removeprefix("file://"))
+
+
 def test_pipeline_keeps_to_the_period(spark, bars, implied_vol, tmp_path):
     end = str(date(2022, 1, 3) + timedelta(days=140))
     paths = run_pipeline(

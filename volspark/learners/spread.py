@@ -17,7 +17,7 @@ from volspark.learners import boosting
 from volspark.learners.boosting import BoostParams
 from volspark.learners.scoring import leaf_by_value, sum_of_trees, walk_down
 from volspark.schemas import MODELS, PREDICTIONS, TARGET
-from volspark.sinks import materialize, scratch_path
+from volspark.sinks import clearing_scratch, materialize, scratch_path
 
 MODEL = ["symbol", "refit_id"]
 # Refits train on a copy of the rows each; so many rows per core are worked on at a time.
@@ -369,8 +369,9 @@ def fit_spread(
         raise ValueError("no series has a row to score")
     spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "fitted")
     for first in range(0, most, refits_per_batch):
-        fitted = _fit_batch(rows, columns, params, first, first + refits_per_batch)
-        fitted.write.parquet(f"{path}/batch={first}")
+        with clearing_scratch(spark):
+            fitted = _fit_batch(rows, columns, params, first, first + refits_per_batch)
+            fitted.write.parquet(f"{path}/batch={first}")
     fitted = spark.read.parquet(path).drop("batch")
 
     scored = rows.filter(F.col("refit_id").isNotNull())

@@ -21,7 +21,7 @@ from volspark.operators.folds import WalkForward
 from volspark.operators.metrics import evaluate
 from volspark.operators.returns import realized_volatility
 from volspark.operators.series import WHOLE, SeriesLayout, choose_layout
-from volspark.sinks import materialize, write_table
+from volspark.sinks import clearing_scratch, materialize, write_table
 from volspark.sources.tables import read_models, read_processed, read_results
 
 #: Report tables written side by side.
@@ -151,6 +151,7 @@ def run_pipeline(
 
     The period is [``start``, ``end``), as when the bars were downloaded for it. A folder
     used before keeps its other symbols; those of this run are replaced in every table.
+    Intermediate tables are deleted at the end.
     """
     if symbols:
         bars = bars.filter(F.col("symbol").isin(*symbols))
@@ -163,17 +164,18 @@ def run_pipeline(
     if layout is None:
         layout = choose_layout(bars, start=start, end=end)
 
-    own = bars.select("symbol").distinct()
-    if symbols:  # also those without a bar in the period
-        named = spark.createDataFrame([(s,) for s in symbols], "symbol string")
-        own = own.unionByName(named).distinct()
-    own = materialize(own, "run-symbols")
-    processed = build_processed(bars, implied_vol, window, layout)
-    processed = store_processed(processed, out_dir, own)
-    features = store_features(processed, out_dir, own, horizon, layout)
-    paths = {"processed": f"{out_dir}/processed", "features": f"{out_dir}/features"}
-    paths |= store_holdout(features, out_dir, own, test_size, learner, params, layout)
-    paths |= store_backtest(features, out_dir, own, plan, learner, params, layout)
-    has_models = "models" in paths
-    paths |= store_reports(spark, out_dir, has_models, layout, own, high=high, low=low)
-    return paths
+    with clearing_scratch(spark):
+        own = bars.select("symbol").distinct()
+        if symbols:  # also those without a bar in the period
+            named = spark.createDataFrame([(s,) for s in symbols], "symbol string")
+            own = own.unionByName(named).distinct()
+        own = materialize(own, "run-symbols")
+        processed = build_processed(bars, implied_vol, window, layout)
+        processed = store_processed(processed, out_dir, own)
+        features = store_features(processed, out_dir, own, horizon, layout)
+        paths = {"processed": f"{out_dir}/processed", "features": f"{out_dir}/features"}
+        paths |= store_holdout(features, out_dir, own, test_size, learner, params, layout)
+        paths |= store_backtest(features, out_dir, own, plan, learner, params, layout)
+        has_models = "models" in paths
+        paths |= store_reports(spark, out_dir, has_models, layout, own, high=high, low=low)
+        return paths

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +17,9 @@ BUCKETS = 64
 
 _own_folders: dict[str, str] = {}
 
+#: Scratch paths made since the innermost ``clearing_scratch`` of this thread began.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 
 def bucket_of(symbol: Column) -> Column:
     """The folder of a symbol; folds to a constant for a literal, so reads are pruned."""
@@ -44,6 +51,11 @@ def write_table(df: DataFrame, path: str, symbols: DataFrame | None = None) -> s
     layout is the same for any number of symbols: a fixed number of buckets by hash. Only
     the buckets of these symbols are written again.
     """
+    with clearing_scratch(df.sparkSession):
+        return _replace(df, path, symbols)
+
+
+def _replace(df: DataFrame, path: str, symbols: DataFrame | None) -> str:
     spark = df.sparkSession
     name, files = _file_system(spark, path)
     new = df.withColumn("bucket", bucket_of(F.col("symbol")))
@@ -93,27 +105,28 @@ def write_exchange(df: DataFrame, folder: str, suffix: str, header: list[str]) -
     )
     body = df.select("symbol", "date", F.lit(len(header)).alias("place"), lines.alias("line"))
     head = df.select("symbol").distinct().select("symbol", F.inline(tops))
-    scratch = scratch_path(spark, "exchange")
-    (
-        body.unionByName(head.select(*body.columns))
-        .repartition("symbol")
-        .sortWithinPartitions("symbol", "place", "date")
-        .select("symbol", "line")
-        .write.partitionBy("symbol")
-        .text(scratch)
-    )
-    target, files = _file_system(spark, folder)
-    files.mkdirs(target)
-    of = spark._jvm.org.apache.hadoop.fs.Path
-    for part in files.listStatus(of(scratch)):
-        name = part.getPath().getName()
-        if not name.startswith("symbol="):
-            continue
-        new = of(folder, name.removeprefix("symbol=") + suffix)
-        files.delete(new, False)
-        for file in files.listStatus(part.getPath()):
-            if file.getPath().getName().startswith("part-"):
-                files.rename(file.getPath(), new)
+    with clearing_scratch(spark):
+        scratch = scratch_path(spark, "exchange")
+        (
+            body.unionByName(head.select(*body.columns))
+            .repartition("symbol")
+            .sortWithinPartitions("symbol", "place", "date")
+            .select("symbol", "line")
+            .write.partitionBy("symbol")
+            .text(scratch)
+        )
+        target, files = _file_system(spark, folder)
+        files.mkdirs(target)
+        of = spark._jvm.org.apache.hadoop.fs.Path
+        for part in files.listStatus(of(scratch)):
+            name = part.getPath().getName()
+            if not name.startswith("symbol="):
+                continue
+            new = of(folder, name.removeprefix("symbol=") + suffix)
+            files.delete(new, False)
+            for file in files.listStatus(part.getPath()):
+                if file.getPath().getName().startswith("part-"):
+                    files.rename(file.getPath(), new)
     return folder
 
 
@@ -123,9 +136,12 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session may go without; it gets a folder of its own, once.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    on_cluster = not spark.sparkContext.master.startswith("local")
     if named:
+        if on_cluster and ":" not in named and _file_system(spark, named)[1].getScheme() == "file":
+            warnings.warn(f"executors may not share {named}; name it with its file system")
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if on_cluster:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     session = spark.sparkContext.applicationId
     if session not in _own_folders:
@@ -135,7 +151,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def clearing_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was written to fresh scratch paths inside, by this thread.
+
+    For runs whose results are written tables: what is read later must not rest on them.
+    """
+    paths: list[str] = []
+    outer = _made.set(paths)
+    try:
+        yield
+    finally:
+        _made.reset(outer)
+        for path in paths:
+            name, files = _file_system(spark, path)
+            files.delete(name, True)
 
 
 def materialize(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
