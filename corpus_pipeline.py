@@ -10,12 +10,10 @@ least one of each linked group; the mix repeats a document as often as it takes
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from volspark.llm import bpe, exact, langid, mixing, simhash
-from volspark.sinks import scratch_path
+from volspark.sinks import clearing_scratch, scratch_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,11 +54,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, over documents."""
+    """All stages, over documents; only what the last one wrote stays."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    name = uuid.uuid4().hex[:8]
-    for stage, function in STAGES:
-        path = scratch_path(spark, f"corpus-{name}-{stage}")
-        function(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    result = scratch_path(spark, "corpus")
+    with clearing_scratch(spark):
+        for stage, function in STAGES:
+            final = function is STAGES[-1][1]
+            path = result if final else scratch_path(spark, f"corpus-{stage}")
+            with clearing_scratch(spark):
+                function(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs

@@ -2,11 +2,13 @@
 
 import collections
 import hashlib
+import os
 
 import corpus_pipeline
 from tokenizers import Tokenizer
 
 from volspark.llm import bpe, langid, mixing
+from volspark.sinks import shared_folder
 
 from .test_mixing import words
 from .test_simhash import brute_components, brute_fingerprint
@@ -38,7 +40,9 @@ def test_stages_against_brute_force(spark):
         ids = library.encode(rows[i].text, add_special_tokens=False).ids
         digest = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         wanted[i, len(ids), digest, hashlib.sha256(rows[i].text.encode()).hexdigest()] += int(n)
+    before = set(os.listdir(shared_folder(spark)))
     out = corpus_pipeline.run(spark, folder)
+    assert len(set(os.listdir(shared_folder(spark))) - before) == 1
     got = collections.Counter(
         map(tuple, out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect())
     )
