@@ -72,3 +72,17 @@ def test_planted_articles(spark):
             article = re.search(r"<article>(.*?)(</article>|$)", page, re.S)[1]
             blocks = [" ".join(unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1|li|ul|div)\b[^>]*>", article)]
             assert r.text.split() == " ".join(b for b in blocks if b).split()
+
+
+def test_names_drop_only_what_they_name():
+    def text(page):
+        return html.Page(page).main_text(frozenset())
+
+    story = "<article><h1>Title</h1><p>Body of it</p></article>"
+    for name in ("site no-sidebar", "has-sidebar", "social", "header"):
+        assert text(f"<div id=page class='{name}'>{story}</div>") == "Title\n\nBody of it"
+    assert text("<div class='notice'><p>All there is on this page</p></div><p>End") != "End"
+    assert text("<div class='related-work'><p>Kept</p></div><p>Longer than that") == "Kept\n\nLonger than that"
+    cards = "<div class='related'><article class=card><p>Other</p></article></div>"
+    assert text(cards + "<div><p>The text of the page itself</p></div>") == "The text of the page itself"
+    assert text(f"<div class='ad-box'>Buy</div><div id=site-footer>Imprint</div>{story}") == "Title\n\nBody of it"

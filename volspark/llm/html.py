@@ -3,8 +3,9 @@
 Every page is read into elements. An element's subtree is hashed (tag, text and hashes
 below), so a menu or notice has the same hash on every page that shows it. Spark counts, per
 host, the pages each hash occurs on; subtrees on many pages of a host are template and are
-deleted. Elements whose tag or class says what they are (menus, forms, scripts, adverts,
-comments and so on) go too, and where a page has an article, what lies outside it.
+deleted. Elements whose tag, or whose whole class name, id or role says what they are
+(menus, forms, scripts, adverts, comments and so on) go too; a name never drops what holds
+the main element, the page's article or most of its text.
 
 A subtree is template if at least ``least`` pages of the host, and ``share`` of them, have
 it; an article, what lies in it and what holds it never are, so that text which a site
@@ -24,6 +25,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -60,6 +62,8 @@ DROP_WORDS = frozenset(
     "signup login popup modal overlay comment comments disqus replies related pagination "
     "pager skip contentinfo complementary".split()
 )
+#: Words that may stand beside those in one name: any other word makes it another name.
+BESIDE = frozenset("site box block container wrapper wrap list area links buttons bar".split())
 
 #: Open elements that a start tag ends: paragraphs by blocks, items and cells by their like.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
@@ -71,21 +75,30 @@ TOKEN = re.compile(
     r"|([^<]+|<)",
     re.S,
 )
-MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+MARKS = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+
+
+def says_drop(name: str) -> bool:
+    """Whether a class name, id or role says that its element is not main text."""
+    words = {w for w in re.split(r"[^a-z]+", name) if w}
+    return not words.isdisjoint(DROP_WORDS) and words <= DROP_WORDS | BESIDE
 
 
 class Node:
-    __slots__ = ("tag", "seen", "first", "drop", "article", "inside")
+    __slots__ = ("tag", "seen", "first", "drop", "article", "inside", "named", "main")
 
     def __init__(self, tag: str, first: int, drop: bool, article: bool, inside: bool) -> None:
         self.tag, self.seen, self.first = tag, [], first
         self.drop, self.article, self.inside = drop, article, inside
+        self.named = self.main = False
 
 
 class Page:
     """Blocks of text, whether each may be main text and lies in an article, and subtrees.
 
     subtrees: (hash, first block, end) of every element that could be template.
+    mains, named: (first block, end) of article and main elements (and whether it is a main),
+    and of elements that their names would drop.
     """
 
     def __init__(self, html: str) -> None:
@@ -93,9 +106,12 @@ class Page:
         self.keep: list[bool] = []
         self.inside: list[bool] = []
         self.subtrees: list[tuple[int, int, int]] = []
+        self.mains: list[tuple[int, int, bool]] = []
+        self.named: list[tuple[int, int]] = []
         self.stack = [Node("", 0, False, False, False)]
         self.text: list[str] = []
         self.read(html)
+        self.drop_named()
 
     def flush(self) -> None:
         if self.text:
@@ -121,6 +137,11 @@ class Page:
             if outside and node.tag in BLOCK and node.first < len(self.blocks):
                 self.subtrees.append((value - (1 << 63), node.first, len(self.blocks)))
         parent.article |= node.article
+        if node.first < len(self.blocks):
+            if node.main:
+                self.mains.append((node.first, len(self.blocks), node.tag != "article"))
+            if node.named:
+                self.named.append((node.first, len(self.blocks)))
 
     def open(self, tag: str, attributes: str) -> None:
         if tag in BLOCK or tag in DROP:
@@ -130,16 +151,17 @@ class Page:
         if tag in ENDS:
             self.end(ENDS[tag], SCOPE)
         above = self.stack[-1]
-        words = set()
-        if attributes:
-            for mark in MARKS.findall(attributes):
-                words |= set(re.split(r"[^a-z]+", mark.lower()))
-        main = tag in ("article", "main") or "main" in words and "role" in attributes.lower()
+        names, main = set(), tag in ("article", "main")
+        for mark, value in MARKS.findall(attributes) if attributes else ():
+            own = value.strip("\"'").lower().split()
+            names.update(own)
+            main = main or mark.lower() == "role" and "main" in own
         outer = not (above.inside or main)
         drop = above.drop or tag in DROP or tag == "header" and outer
-        drop = drop or not main and not words.isdisjoint(DROP_WORDS) and tag not in ("html", "body")
         inside = above.inside or main and not drop
         node = Node(tag, len(self.blocks), drop, tag in ("article", "main", "h1") or main, inside)
+        node.main = main and not drop
+        node.named = not (main or drop or tag in ("html", "body")) and any(map(says_drop, names))
         self.stack.append(node)
         if tag in VOID:
             self.close()
@@ -186,6 +208,30 @@ class Page:
             self.close()
         self.flush()
 
+    def sizes(self) -> list[int]:
+        """Characters that are kept before every block, and in all."""
+        sizes = (len(b) if k else 0 for b, k in zip(self.blocks, self.keep))
+        return [0, *accumulate(sizes)]
+
+    def drop_named(self) -> None:
+        """Drop by name, but for what holds a main element, the article or most of the text."""
+        if not self.named:
+            return
+        upto = self.sizes()
+        free = list(zip(self.keep, self.inside))
+        for first, end in self.named:
+            if not any(first <= a and b <= end for a, b, _ in self.mains):
+                free[first:end] = [(False, False)] * (end - first)
+        beside = sum(len(b) for b, (k, i) in zip(self.blocks, free) if k and not i)
+        best = max(self.mains, key=lambda x: upto[x[1]] - upto[x[0]], default=(0, 0, False))
+        if upto[best[1]] - upto[best[0]] <= beside:
+            best = None
+        spare = [x for x in self.mains if x[2] or x == best]
+        for first, end in self.named:
+            most = 2 * (upto[end] - upto[first]) > upto[-1]
+            if not most and not any(first <= a and b <= end for a, b, _ in spare):
+                self.keep[first:end] = [False] * (end - first)
+
     def main_text(self, template: frozenset[int]) -> str:
         keep = list(self.keep)
         if any(i and k for i, k in zip(self.inside, keep)):
