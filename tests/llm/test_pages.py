@@ -86,3 +86,20 @@ def test_names_drop_only_what_they_name():
     cards = "<div class='related'><article class=card><p>Other</p></article></div>"
     assert text(cards + "<div><p>The text of the page itself</p></div>") == "The text of the page itself"
     assert text(f"<div class='ad-box'>Buy</div><div id=site-footer>Imprint</div>{story}") == "Title\n\nBody of it"
+
+
+def test_counts_decide_inside_articles(spark):
+    box = "<div class=x1><p>Get our letter every week</p><ul><li>More one<li>More two</ul></div>"
+    rows = [
+        (i, f"https://a.example.org/{i}", f"<body><article><h1>Title {i}</h1><p>Story number {i} it is{box}<p>End of {i}</article>")
+        for i in range(40)
+    ]
+    # one story at many addresses, and a text beside teasers
+    rows += [(100 + i, f"https://a.example.org/c{i}", "<article><h1>Same</h1><p>One story, many addresses</article>") for i in range(9)]
+    cards = "".join(f"<article class=card><p>Teaser {i}</p></article>" for i in range(3))
+    rows += [(200, "https://b.example.org/", f"<body><div><p>The real text of the page</p></div>{cards}")]
+    out = html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = {r.page_id: r.text for r in out.collect()}
+    assert got[7] == "Title 7\n\nStory number 7 it is\n\nEnd of 7"
+    assert got[104] == "Same\n\nOne story, many addresses"
+    assert got[200].startswith("The real text of the page")

@@ -7,17 +7,21 @@ deleted. Elements whose tag, or whose whole class name, id or role says what the
 (menus, forms, scripts, adverts, comments and so on) go too; a name never drops what holds
 the main element, the page's article or most of its text.
 
-A subtree is template if at least ``least`` pages of the host, and ``share`` of them, have
-it; an article, what lies in it and what holds it never are, so that text which a site
-quotes often stays. Per host that is at most elements per
-page / share hashes, so the list each page is given is bounded. A host with very many pages
-is counted by partial aggregates, and the join is skewed on the side AQE splits.
+A subtree is template if at least ``least`` different pages of the host, and ``share`` of
+them, have it, inside an article as well as outside; the page's largest article and what
+holds it or an h1 never are. Pages are different if the least hash of three words in a row
+is, taken from their article or, where none holds most of the text, from all of it: copies
+and near copies of a page count as one and do not make its text template. Per host that is at most elements per page / share hashes, so the list each page is
+given is bounded. A host with very many pages is counted by partial aggregates, and the join
+is skewed on the side AQE splits.
+
+What is left is cut down to the article or main element that holds most of it; where none
+does, to all of them, unless an element beside them holds more than twice the text of the largest.
 
 Pages are parsed twice, before and after the counts.
 
 Defined cases: null html is empty, with empty text; a null url, or one without a host, has
-no site to compare with; equal pages count as pages of their own; unclosed, unknown and
-stray tags are tolerated; an empty table gives an empty result. Other columns are passed by.
+no site to compare with; unclosed, unknown and stray tags are tolerated; an empty table gives an empty result. Other columns are passed by.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import few_at_once, materialize
 
 #: Pages of a host that make a subtree template: this many, and this share.
-LEAST_PAGES, SHARE = 5, 0.5
+LEAST_PAGES, SHARE = 5, 0.02
 
 #: Elements without an end tag, and those whose content is not markup (fixed values).
 VOID = frozenset(
@@ -85,12 +89,12 @@ def says_drop(name: str) -> bool:
 
 
 class Node:
-    __slots__ = ("tag", "seen", "first", "drop", "article", "inside", "named", "main")
+    __slots__ = ("tag", "seen", "first", "drop", "heading", "inside", "named", "main")
 
-    def __init__(self, tag: str, first: int, drop: bool, article: bool, inside: bool) -> None:
+    def __init__(self, tag: str, first: int, drop: bool, inside: bool) -> None:
         self.tag, self.seen, self.first = tag, [], first
-        self.drop, self.article, self.inside = drop, article, inside
-        self.named = self.main = False
+        self.drop, self.inside = drop, inside
+        self.heading = self.named = self.main = False
 
 
 class Page:
@@ -106,12 +110,14 @@ class Page:
         self.keep: list[bool] = []
         self.inside: list[bool] = []
         self.subtrees: list[tuple[int, int, int]] = []
+        self.holding: set[int] = set()
         self.mains: list[tuple[int, int, bool]] = []
         self.named: list[tuple[int, int]] = []
-        self.stack = [Node("", 0, False, False, False)]
+        self.stack = [Node("", 0, False, False)]
         self.text: list[str] = []
         self.read(html)
         self.drop_named()
+        self.count_for()
 
     def flush(self) -> None:
         if self.text:
@@ -133,10 +139,12 @@ class Page:
         if node.seen:
             value = xxhash.xxh64_intdigest("\x1f".join([node.tag, *node.seen]))
             parent.seen.append(f"{value:x}")
-            outside = not node.inside and not node.article
-            if outside and node.tag in BLOCK and node.first < len(self.blocks):
+            if node.tag in BLOCK and node.first < len(self.blocks):
+                holds = node.tag == "h1" or node.heading
                 self.subtrees.append((value - (1 << 63), node.first, len(self.blocks)))
-        parent.article |= node.article
+                if holds:
+                    self.holding.add(len(self.subtrees) - 1)
+        parent.heading |= node.heading or node.tag == "h1"
         if node.first < len(self.blocks):
             if node.main:
                 self.mains.append((node.first, len(self.blocks), node.tag != "article"))
@@ -159,7 +167,7 @@ class Page:
         outer = not (above.inside or main)
         drop = above.drop or tag in DROP or tag == "header" and outer
         inside = above.inside or main and not drop
-        node = Node(tag, len(self.blocks), drop, tag in ("article", "main", "h1") or main, inside)
+        node = Node(tag, len(self.blocks), drop, inside)
         node.main = main and not drop
         node.named = not (main or drop or tag in ("html", "body")) and any(map(says_drop, names))
         self.stack.append(node)
@@ -232,13 +240,51 @@ class Page:
             if not most and not any(first <= a and b <= end for a, b, _ in spare):
                 self.keep[first:end] = [False] * (end - first)
 
+    def count_for(self) -> None:
+        """The text by which pages differ (own); leave out subtrees that hold the main text."""
+        upto = self.sizes()
+        best = max(self.mains, key=lambda x: upto[x[1]] - upto[x[0]], default=None)
+        first, end = 0, len(self.blocks)
+        if best and 2 * (upto[best[1]] - upto[best[0]]) > upto[-1]:
+            first, end = best[:2]
+        self.own = [b for b, k in zip(self.blocks[first:end], self.keep[first:end]) if k]
+        self.subtrees = [
+            (value, a, b)
+            for i, (value, a, b) in enumerate(self.subtrees)
+            if i not in self.holding and not (best and a <= best[0] and best[1] <= b)
+        ]
+
+    def signature(self) -> int:
+        """Least hash of three words in a row: near copies of a text mostly share it."""
+        words = " ".join(self.own).split()
+        three = (" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2)))
+        return min(map(xxhash.xxh64_intdigest, three)) - (1 << 63)
+
     def main_text(self, template: frozenset[int]) -> str:
-        keep = list(self.keep)
-        if any(i and k for i, k in zip(self.inside, keep)):
-            keep = [k and i for k, i in zip(keep, self.inside)]
+        keep = self.keep = list(self.keep)
         for value, first, end in self.subtrees:
             if value in template:
                 keep[first:end] = [False] * (end - first)
+        upto = self.sizes()
+
+        def size(part: tuple) -> int:
+            return upto[part[-1]] - upto[part[-2]]
+
+        mains = [(a, b) for a, b, _ in self.mains]
+        best = max(mains, key=lambda x: (size(x), x[1] - x[0]), default=(0, 0))
+        if 2 * size(best) > upto[-1]:
+            mains = [best]
+        else:
+            for value, first, end in self.subtrees:
+                beside = not any(first < b and a < end for a, b in mains)
+                if beside and size((first, end)) > 2 * size(best):
+                    mains = []
+                    break
+        if size(best) and mains:
+            inside = [False] * len(keep)
+            for first, end in mains:
+                inside[first:end] = [True] * (end - first)
+            keep = [k and i for k, i in zip(keep, inside)]
         return "\n\n".join(b for b, k in zip(self.blocks, keep) if k)
 
 
@@ -250,25 +296,31 @@ def host_of(url: Column) -> Column:
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in few_at_once(batches):
-        hosts, values = [], []
+        hosts, values, pages = [], [], []
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html")):
-            own = {value for value, _, _ in Page(html.as_py() or "").subtrees}
-            hosts += [host] * len(own)
-            values += own
+            page = Page(html.as_py() or "")
+            own = {value for value, _, _ in page.subtrees}
+            # a null subtree stands for the page itself
+            hosts += [host] * (len(own) + 1)
+            values += [None, *own]
+            pages += [page.signature()] * (len(own) + 1)
         yield pa.record_batch(
-            [pa.array(hosts, pa.string()), pa.array(values, pa.int64())], ["host", "subtree"]
+            [pa.array(hosts, pa.string()), pa.array(values, pa.int64()), pa.array(pages, pa.int64())],
+            ["host", "subtree", "page"],
         )
 
 
 def templates(pages: DataFrame, least: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
-    """(host, template): the hashes of subtrees on many pages of each host."""
+    """(host, template): the hashes of subtrees on many different pages of each host."""
     on = pages.select(host_of(F.col("url")).alias("host"), "html").filter("host != ''")
-    sizes = on.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(
-        F.col("pages") >= least
-    )
-    found = on.mapInArrow(_subtrees, "host string, subtree long")
-    counts = found.groupBy("host", "subtree").count().filter(F.col("count") >= least)
-    many = counts.join(sizes, "host").filter(F.col("count") >= share * F.col("pages"))
+    found = on.mapInArrow(_subtrees, "host string, subtree long, page long")
+    # two steps of partial aggregates; the second is on what the first left of a page
+    counts = found.groupBy("host", "subtree", "page").agg(F.lit(1).alias("one"))
+    counts = counts.groupBy("host", "subtree").count().filter(F.col("count") >= least)
+    counts = materialize(counts, "html-counts")
+    sizes = counts.filter("subtree IS NULL").select("host", F.col("count").alias("pages"))
+    many = counts.filter("subtree IS NOT NULL").join(sizes, "host")
+    many = many.filter(F.col("count") >= share * F.col("pages"))
     return many.groupBy("host").agg(F.collect_list("subtree").alias("template"))
 
 
