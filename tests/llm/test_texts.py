@@ -199,6 +199,60 @@ def test_licence_rules():
     assert found(grant) == [] and len(licenses.sentences(grant)) == 1
 
 
+BSD = """Copyright (c) 2020, Example Org
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the Example Organisation, Ltd. nor the names of its
+   contributors may be used to endorse or promote products derived from this
+   software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS".
+"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+"""
+LGPL = """ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version.
+"""
+
+
+def test_usual_licences_and_spdx_expressions():
+    def found(text):
+        return [x for x, _, _ in licenses.matched(licenses.sentences(text))]
+
+    assert found(BSD) == ["BSD-3-Clause"] and found(ZLIB) == ["Zlib"]
+    assert found(LGPL) == ["LGPL-2.1-or-later"]
+    assert found(LGPL.replace("Lesser", "Affero").replace("2.1", "3")) == ["AGPL-3.0-or-later"]
+    assert found("This is free and unencumbered software released into the public domain.\n") == ["Unlicense"]
+    assert found("Eclipse Public License - v 2.0\n") == ["EPL-2.0"]
+    assert found("COMMON DEVELOPMENT AND DISTRIBUTION LICENSE (CDDL) Version 1.0\n") == ["CDDL-1.0"]
+    assert found("Boost Software License - Version 1.0 - August 17th, 2003\n") == ["BSL-1.0"]
+
+    def tag(text):
+        return found("# SPDX-License-Identifier: " + text + "\ncode MIT")
+
+    assert tag("MIT OR Apache-2.0") == ["MIT", "Apache-2.0"]
+    assert tag("(LGPL-2.1-or-later AND CC-BY-SA-4.0) or mit */") == ["LGPL-2.1-or-later", "CC-BY-SA-4.0", "MIT"]
+    assert tag("GPL-2.0-only WITH Classpath-exception-2.0") == ["GPL-2.0-only WITH Classpath-exception-2.0"]
+    assert tag("GPL-2.0") == ["GPL-2.0-only"] and tag("GPL-3.0+") == ["GPL-3.0-or-later"]
+    assert tag("BSD-2-Clause.") == ["BSD-2-Clause"] and tag("see the file") == []
+
+
 def test_licence_scan(some_docs, edge_docs, no_docs):
     names = {"GNU General Public License, version 3": "GPL-3.0-only", "MIT License": "MIT", "Apache License": "Apache-2.0", "CC BY-NC 4.0": "CC-BY-NC-4.0"}
     docs = some_docs.union(edge_docs.select(some_docs.columns))
