@@ -3,8 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet
 and reads it again as the next one's docs. All but the last return the columns of documents.
 
-A document is rejected in the first stage only where its text has no language at all or
-letters of several in equal parts. Exact copies keep the largest doc_id, near copies the
+A document is rejected in the first stage where its text has no language, letters of several
+in equal parts, or letters that no learned language would have. Exact copies keep the largest doc_id, near copies the
 least one of each linked group; the mix repeats a document as often as it takes it.
 """
 

@@ -156,6 +156,22 @@ def test_language_of_edge_rows(edge_docs, no_docs):
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
 
 
+def test_score_of_what_was_never_learned(some_docs):
+    model = langid.fit(some_docs)
+    noise = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    foreign = [
+        "这是一个完全用中文写成的文本，没有其他语言。",
+        "Это текст, написанный только по-русски, без других языков.",
+        "Talo on hyvin suuri ja puutarha on täynnä kukkia jotka kasvavat joka vuosi",
+        " ".join("".join(noise.choices(letters, k=noise.randint(2, 9))) for _ in range(80)),
+    ]
+    assert all(score < 0.4 for _, score, _ in langid.label(foreign, model, False))
+    rows = [r.text for r in some_docs.filter("lang IS NOT NULL").collect() if r.text]
+    scores = [score for name, score, _ in langid.label(rows, model, False) if name != "und"]
+    assert sum(score >= 0.4 for score in scores) >= 0.98 * len(scores)
+
+
 def test_long_text_in_parts(monkeypatch):
     text = "ein langes Wort und noch eines, " * 40
     whole = [len(langid.Words(text).start), langid.Words(text).letters.sum()]

@@ -6,7 +6,11 @@ and three-letter sequences (word edges included), a naive Bayes model over hashe
 Viterbi then labels the words of a text so that the sum of scores less a penalty per change
 of language is greatest, so single odd words follow their surroundings while longer
 passages get a label of their own. The language of the text is the one most of its letters
-are labelled with; the score is their share.
+are labelled with. The score is the share of those letters whose script the language
+uses, times how far they lie, in mean score per letter, between a background (0) and the
+language's own text (1): the background is even chances, or what texts of the other
+languages score on average if that is more. So texts in a script or language never learned,
+and letter noise, score near 0, the nearer the more was learned.
 
 The model is fitted on a bounded sample: about ``per_language`` documents of each language,
 chosen by a hash of the id, whole texts. Its size depends on the number of hash buckets and
@@ -176,6 +180,23 @@ class Model:
         self.log = np.log((counts + 0.1) / (total + 0.1 * len(counts))).astype(np.float32)
         share = scripts / np.maximum(1, scripts.sum(axis=0, keepdims=True))
         self.uses = share >= SCRIPT_SHARE
+        # mean score per letter (a pair and a triple) of a language's texts in another: from, in
+        part = counts / np.maximum(1, total)
+        mean = 2 * (part.T @ self.log.astype(np.float64))
+        self.own = np.diag(mean).copy()
+        learned = total[0] > 0
+        # where less was learned than there are buckets, new sequences say little
+        self.weight = total[0] / (total[0] + len(counts))
+        others = mean[learned].sum(axis=0) - np.where(learned, self.own, 0)
+        others = others / np.maximum(1, learned.sum() - learned)
+        even = -2 * np.log(len(counts))
+        self.base = np.where(learned.sum() - learned > 0, np.maximum(others, even), even)
+
+    def nearness(self, mean: float, language: int) -> float:
+        """Where a mean score per letter lies between background and own text, 0 to 1."""
+        room = self.own[language] - self.base[language]
+        near = float(np.clip((mean - self.base[language]) / room, 0, 1)) if room > 0 else 0.0
+        return 1 - self.weight[language] * (1 - near)
 
     def scores(self, words: Words) -> np.ndarray:
         """Score of every word (row) in every language."""
@@ -245,14 +266,17 @@ def label(texts: list[str | None], model: Model, spans: bool) -> list[tuple]:
             empty = np.zeros((0, len(model.languages)), dtype=np.float32)
             scores.append(np.concatenate([empty, *(model.scores(w) for _, w in pieces)]))
             starts = np.concatenate([np.zeros(0, int), *(at + w.start for at, w in pieces)])
+            script = np.concatenate([np.zeros(0, int), *(w.script for _, w in pieces)])
             ends = np.concatenate([np.zeros(0, int), *(at + w.end for at, w in pieces)])
-            where.append((starts, ends))
+            where.append((starts, ends, script))
         paths = viterbi(scores) if model.languages else [None] * len(own)
-        for path, (starts, ends) in zip(paths, where):
+        for found, path, (starts, ends, script) in zip(scores, paths, where):
             if path is None or not len(path):
                 out.append(("und", 0.0, []))
                 continue
-            letters = np.bincount(path, weights=ends - starts, minlength=len(model.languages))
+            # no letters for words in a script that their language does not use
+            sizes = np.where(model.uses[script, path], ends - starts, 0)
+            letters = np.bincount(path, weights=sizes, minlength=len(model.languages))
             winner = int(letters.argmax())
             runs = []
             if spans:
@@ -262,8 +286,12 @@ def label(texts: list[str | None], model: Model, spans: bool) -> list[tuple]:
                     {"start": int(starts[a]), "end": int(ends[b]), "lang": model.languages[path[a]]}
                     for a, b in zip(new, last)
                 ]
-            share = min(1.0, float(letters[winner] / letters.sum()))
-            out.append((model.languages[winner], share, runs))
+            score = min(1.0, float(letters[winner] / (ends - starts).sum()))
+            if score:
+                own = (path == winner) & (sizes > 0)
+                mean = found[own, winner].sum(dtype=np.float64) / letters[winner]
+                score *= model.nearness(mean, winner)
+            out.append((model.languages[winner], score, runs))
     return out
 
 
