@@ -5,7 +5,7 @@ and reads it again as the next one's docs. All but the last return the columns o
 
 A document is rejected in the first stage where its text has no language, letters of several
 in equal parts, or letters that no learned language would have. Exact copies keep the largest doc_id, near copies the
-least one of each linked group; the mix repeats a document as often as it takes it.
+least one of each linked group, and one row of each where ids repeat or are null; the mix repeats a document as often as it takes it.
 """
 
 from __future__ import annotations
@@ -23,12 +23,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    return exact.without_exact_duplicates(docs)
+    return exact.one_of_each_text(docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints."""
-    return simhash.one_of_each(docs)
+    return simhash.one_of_each_component(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

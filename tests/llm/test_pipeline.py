@@ -57,3 +57,22 @@ def test_stages_keep_the_columns(spark, edge_docs, no_docs):
             assert stage(spark, docs, "").columns == docs.columns
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, docs, "").collect()
+
+
+def test_one_row_of_each_where_ids_repeat(spark):
+    texts = ["a b c d e f", "quite another text of seven words here", "and one more of them now"]
+    rows = [(1, texts[0], "x"), (5, texts[0], "x"), (5, texts[0], "x"), (5, texts[0], "y")]
+    rows += [(None, texts[1], "x"), (None, texts[1], "y"), (7, texts[2], "x"), (8, "", "x"), (8, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = corpus_pipeline.exact_dedup(spark, docs, "").collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in out) == sorted(
+        [(0, texts[1]), (5, texts[0]), (7, texts[2]), (8, "")]
+    )
+    # near copies: the same words in other cases
+    rows += [(5, texts[0].upper(), "x"), (1, texts[0].upper(), "x"), (1, texts[0], "x")]
+    rows += [(None, texts[1].upper(), "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").filter("text != ''")
+    out = corpus_pipeline.simhash_dedup(spark, docs, "").collect()
+    assert sorted((r.doc_id or 0, r.text.lower()) for r in out) == sorted(
+        [(0, texts[1]), (1, texts[0]), (7, texts[2])]
+    )

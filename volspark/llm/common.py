@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from volspark.sinks import materialize
 
-__all__ = ["WORD", "few_at_once", "free_name", "materialize", "word_count"]
+__all__ = ["WORD", "few_at_once", "free_name", "materialize", "one_row", "word_count"]
 
 #: A word: no blank, tab, line feed, vertical tab, form feed or carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,6 +29,15 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def one_row(rows: DataFrame, row: str, by: list[str]) -> DataFrame:
+    """One struct ``row`` for every value of ``by``: the greatest by a hash of all its columns.
+
+    Rows that agree in all columns are alike, so whichever is taken, the result is the same.
+    """
+    order = F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)
+    return rows.groupBy(*by).agg(F.max_by(row, order).alias(row)).select(row)
+
+
 def few_at_once(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that a worker holds few results at a time."""
     for batch in batches:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, materialize
+from .common import free_name, materialize, one_row
 
 #: Keys of a bucket that a filter is built for, about; buckets there are at least.
 BUCKET_KEYS, LEAST_BUCKETS = 65_536, 64
@@ -259,6 +259,11 @@ def without_exact_duplicates(docs: DataFrame, batches: int = 2) -> DataFrame:
     """The rows of ``docs`` that stay, all columns."""
     _, checked = classes_of(docs, batches)
     row = free_name(docs, "row")
+    return staying(docs, checked, row).select(f"{row}.*")
+
+
+def staying(docs: DataFrame, checked: DataFrame, row: str) -> DataFrame:
+    """The rows whose id is the greatest of their class, packed, with the columns of classes."""
     text = F.coalesce(F.col(f"{row}.text"), F.lit(""))
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
     packed = packed.select(
@@ -269,4 +274,24 @@ def without_exact_duplicates(docs: DataFrame, batches: int = 2) -> DataFrame:
     )
     joined = packed.join(checked.hint("merge"), CLASS, "left")
     stays = F.col("group_size").isNull() | F.col(f"{row}.doc_id").eqNullSafe(F.col("keep_id"))
-    return joined.filter(stays).select(f"{row}.*")
+    return joined.filter(stays)
+
+
+def one_of_each_text(docs: DataFrame, batches: int = 2) -> DataFrame:
+    """One row of ``docs`` for every text, all columns, also where ids repeat or are null.
+
+    Only the rows of classes whose greatest id several rows have, or none, are compared.
+    """
+    ids, checked = classes_of(docs, batches)
+    same = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    many = ids.join(checked.hint("merge"), CLASS).filter(same).groupBy(*CLASS).count()
+    many = materialize(
+        many.filter(F.col("count") > 1).select(*CLASS, F.lit(True).alias("several")), "exact-several"
+    )
+    row = free_name(docs, "row")
+    if many.isEmpty():
+        return staying(docs, checked, row).select(f"{row}.*")
+    rows = staying(docs, checked.join(many, CLASS, "left"), row)
+    alone = rows.filter(F.col("several").isNull()).select(row)
+    picked = one_row(rows.filter("several"), row, CLASS)
+    return alone.unionByName(picked).select(f"{row}.*")

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import few_at_once, free_name, materialize
+from .common import few_at_once, free_name, materialize, one_row
 from .links import components
 
 #: Words of a shingle, seed of its hash, greatest number of differing bits.
@@ -257,6 +257,18 @@ def near_duplicates(
 
     ``keep`` includes doc_id.
     """
+    found = with_roots(docs, shingle, seed, bits, keep)
+    return found.select(*keep, "fp", "component_id")
+
+
+def with_roots(
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    seed: int = SEED,
+    bits: int = BITS,
+    keep: tuple[str, ...] = ("doc_id",),
+) -> DataFrame:
+    """``near_duplicates`` with root, the least fingerprint of the component, beside."""
     if not 0 <= bits <= BITS:
         raise ValueError(f"the blocks cover up to {BITS} differing bits")
     ids = materialize(fingerprints(docs, shingle, seed, keep), "simhash-fingerprints")
@@ -268,8 +280,8 @@ def near_duplicates(
         "fp", F.coalesce("root", "fp").alias("root"), "least"
     )
     named = members.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = members.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return ids.join(of, "fp", "left").select(*keep, "fp", "component_id")
+    of = members.select("fp", "root").join(named, "root").select("fp", "root", "component_id")
+    return ids.join(of, "fp", "left").select(*keep, "fp", "root", "component_id")
 
 
 def hexadecimal(fp: str) -> Column:
@@ -293,3 +305,40 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         F.xxhash64(F.col(f"{row}.text")) == F.col("gone_key")
     )
     return packed.join(drop.hint("merge"), same, "left_anti").select(f"{row}.*")
+
+
+def one_of_each_component(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for every component, all columns, also where ids repeat or are null.
+
+    Of the rows with the component's least id, those with the least hash of the text stay; of
+    rows that repeat id and text, one.
+    """
+    row = free_name(docs, "row")
+    slim = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    found = materialize(with_roots(slim, keep=("doc_id", "text_key")), "simhash-found")
+    least = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    chosen = found.filter(least).groupBy("root").agg(
+        F.min("text_key").alias("chosen_key"), F.count(F.lit(1)).alias("n")
+    )
+    # by root and key: what stays, and how often
+    found = found.join(chosen, "root").withColumn(
+        "stays", least & (F.col("text_key") == F.col("chosen_key"))
+    )
+    pairs = found.filter(~F.col("stays") | (F.col("n") > 1)).groupBy("doc_id", "text_key").agg(
+        F.first("stays").alias("stays"), F.count(F.lit(1)).alias("n")
+    )
+    pairs = pairs.filter(~F.col("stays") | (F.col("n") > 1))
+    pairs = materialize(
+        pairs.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "stays"),
+        "simhash-pairs",
+    )
+    key = free_name(docs, "key")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
+    packed = packed.withColumn(key, F.xxhash64(F.col(f"{row}.text")))
+    same = F.col(f"{row}.doc_id").eqNullSafe(F.col("of_id")) & (F.col(key) == F.col("of_key"))
+    left = packed.join(pairs.hint("merge"), same, "left_anti").select(row)
+    again = pairs.filter("stays")
+    if not again.isEmpty():
+        rows = packed.join(again.hint("merge"), same)
+        left = left.unionByName(one_row(rows, row, ["of_id", "of_key"]))
+    return left.select(f"{row}.*")
