@@ -319,6 +319,27 @@ def test_pseudonyms(spark):
     assert other[0] != out[0]
 
 
+def test_pseudonyms_of_other_layouts(spark):
+    phones = "+1 555 1234567|+49 151 12345678|+44 7700 900123|+33 1 23 45 67 89|+91 98765 43210|(555) 123-4567|555-123-4567|555.123.4567|020 7946 0958"
+    days = "2024/03/05|05/03/2024|5/3/2024|5 March 2024|March 5, 2024|5. März 2024|5 de marzo de 2024|5-3-2024"
+    texts = [*phones.split("|"), *days.split("|"), "+1 555 1234567 4111111111111111", "version 1.2.3 of 30/2/2024, 5 Maybe 2024"]
+    docs = spark.createDataFrame([(i, f"see {t}, please") for i, t in enumerate(texts)], "doc_id long, text string")
+    out = [(r.text[4:-8], r) for r in pii.pseudonyms(docs, "k").orderBy("doc_id").collect()]
+    for text, (new, r) in zip(texts[:9], out):
+        assert r.n_phone == r.n_found == 1 and new != text
+        assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", text)
+    digits = [re.sub(r"\D", "", new) for new, _ in out]
+    assert digits[0] == "1" + digits[5] and digits[5] == digits[6] == digits[7]
+    assert all(r.n_date == r.n_found == 1 for _, r in out[9:17])
+    day = date.fromisoformat("-".join(f"{int(x):02}" for x in out[9][0].split("/")))
+    assert out[10][0] == day.strftime("%d/%m/%Y") and out[11][0] == f"{day.day}/{day.month}/{day.year}"
+    names = [pii.MONTHS[i][day.month - 1] for i in (0, 2, 3)]
+    assert out[12][0] == f"{day.day} {names[0]} {day.year}" and out[13][0] == f"{names[0]} {day.day}, {day.year}"
+    assert out[14][0] == f"{day.day}. {names[1]} {day.year}" and out[15][0] == f"{day.day} de {names[2]} de {day.year}"
+    assert out[16][0] == f"{day.day}-{day.month}-{day.year}"
+    assert (out[17][1].n_phone, out[17][1].n_card) == (1, 1) and out[18][0] == texts[18]
+
+
 def test_permutations_are_bijections(spark):
     for first, second in ((3, 7), (10, 100), (1, 5), (16, 16)):
         rows = spark.range(first * second).select(

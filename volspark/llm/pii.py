@@ -26,14 +26,46 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 
+#: Names of months as texts write them, by language (fixed values).
+MONTHS = tuple(
+    tuple(names.split())
+    for names in (
+        "January February March April May June July August September October November December",
+        "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec",
+        "Januar Februar März April Mai Juni Juli August September Oktober November Dezember",
+        "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+        "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    )
+)
+#: Every name in lower case: its place in the list above, of the first language that has it.
+MONTH_AT = {
+    names[i].lower(): 12 * j + i for j, names in reversed([*enumerate(MONTHS)]) for i in range(12)
+}
+MONTH = "(?i:" + "|".join(sorted(MONTH_AT, key=lambda x: (-len(x), x))) + ")"
+DAY = "[0-9]{1,2}(?:st|nd|rd|th|\\.)?"
+
+#: Digits of a phone number in all, and of a national one that begins with 0, with few marks
+#: between: they end where a group does.
+LONG = r"[0-9](?:[ ./()-]{0,3}[0-9]){6,14}"
+NATIONAL = (
+    r"\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}\.[0-9]{3}\.[0-9]{4}"
+    r"|[0-9]{3} [0-9]{3} [0-9]{4}|\(0[0-9]{1,4}\)[ -]?[0-9]{3,8}(?:[ -][0-9]{2,5}){0,2}"
+    r"|0[0-9]{1,4}(?:[ /-][0-9]{2,4}){2,4}"
+)
+
 #: What is looked for, in this order; a find has the kind of the first pattern it fits. The
 #: groups of a phone number may have a few marks between them.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
-    "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{4})(?![0-9])",
+    "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}"
+    r"|[0-9]{4}\.[0-9]{2}\.[0-9]{2}|[0-9]{1,2}[/.-][0-9]{1,2}[/.-][0-9]{4})(?![0-9])"
+    rf"|(?<![0-9./-]){DAY} (?:of |de )?{MONTH}\.?,? (?:de |del )?[0-9]{{4}}(?![0-9])"
+    rf"|(?<![\p{{L}}\p{{N}}])(?=[JFMASONDjfmasonde]){MONTH}\.? {DAY},? [0-9]{{4}}(?![0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "phone": r"(?<![0-9+])\+(?:[0-9]{7,15}|[0-9]{1,3}(?:[^\p{L}\p{N}\n+]{1,6}[0-9]{2,4}){2,4})(?![0-9])",
+    "phone": r"(?<![0-9+])\+(?:1[^\p{L}\p{N}\n+]{0,6}[0-9]{3}[^\p{L}\p{N}\n+]{0,6}[0-9]{3}"
+    r"[^\p{L}\p{N}\n+]{0,6}[0-9]{4}|" + LONG + r"|[0-9]{1,3}(?:[^\p{L}\p{N}\n+]{1,6}[0-9]{2,4}){2,4})"
+    r"(?![0-9])|(?<![0-9+]|[0-9][ ./-])(?:" + NATIONAL + r")(?![0-9]|[./-][0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
 }
 FIND = "|".join(PATTERNS.values())
@@ -131,11 +163,19 @@ def card(match: Column, key: str) -> Column:
     return F.when(luhn_sum(number) % 10 == 0, layout(match, F.concat(new, check)))
 
 
+#: Country codes of one and two digits; all others have three.
+COUNTRY = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+
+
 def phone(match: Column, key: str) -> Column:
-    """All digits after the country code; null unless 7 to 15 digits in all."""
-    country = F.regexp_extract(match, r"^\+([0-9]{1,3})(?![0-9])", 1)
-    country = F.when(country == "", F.substr(digits(match), F.lit(1), F.lit(1))).otherwise(country)
+    """All digits after the country code; null unless 7 to 15 digits in all.
+
+    National numbers keep the 0 they begin with, or have ten digits: these are permuted like
+    those after +1.
+    """
     number = digits(match)
+    country = F.when(match.startswith("+"), F.regexp_extract(number, COUNTRY, 1))
+    country = country.otherwise(F.regexp_extract(number, "^(0?)", 1))
     rest = F.substr(number, F.length(country) + 1, F.length(number))
     new = F.concat(country, permuted_digits(rest, key, F.lit("phone")))
     return F.when(F.length(number).between(7, 15) & (F.length(rest) > 1), layout(match, new))
@@ -186,26 +226,59 @@ def ip(match: Column, key: str) -> Column:
 def date(match: Column, key: str) -> Column:
     """A day of 1800 to 2199, permuted among those, written in the same order.
 
-    Day before month is tried first where the year stands last.
+    Day before month is tried first where the year stands last; a month's name stays in its
+    language.
     """
     first = F.lit(CYCLE_START).cast("date")
     size = CYCLE[0] * CYCLE[1]
+    parts = F.split(match, "[-/.]")
+    name = F.lower(F.regexp_extract(match, MONTH, 0))
+    at = F.element_at(F.create_map(*[F.lit(x) for pair in MONTH_AT.items() for x in pair]), name)
+    day_of = r"(?<![0-9])[0-9]{1,2}(?![0-9])"
+    named, year_first = name != "", match.rlike("^[0-9]{4}")
+
+    def day(year: Column, month: Column, day: Column) -> Column:
+        iso = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
+        return F.to_date(F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")))
+
+    def part(i: int) -> Column:
+        return F.get(parts, F.lit(i))
+
+    day_first = day(part(2), part(1), part(0))
+    month = (F.pmod(at, F.lit(12)) + 1).cast("string")
+    in_name = day(
+        F.regexp_extract(match, "[0-9]{4}", 0), month, F.regexp_extract(match, day_of, 0)
+    )
+    found = (
+        F.when(named, in_name)
+        .when(year_first, day(part(0), part(1), part(2)))
+        .otherwise(F.coalesce(day_first, day(part(2), part(0), part(1))))
+    )
+    padded = F.length(match) == 10
+
+    def written(moved: Column) -> Column:
+        year, short = F.date_format(moved, "yyyy"), F.date_format(moved, "d")
+        days = F.when(padded, F.date_format(moved, "dd")).otherwise(short)
+        months = F.date_format(moved, "MM")
+        months = F.when(padded, months).otherwise(F.date_format(moved, "M"))
+        mark = F.regexp_extract(match, "[-/.]", 0)
+        names = F.array(*[F.lit(x) for names in MONTHS for x in names])
+        other = F.element_at(names, at - F.pmod(at, F.lit(12)) + F.month(moved))
+        text = F.regexp_replace(match, F.lit(day_of), short)
+        text = F.regexp_replace(text, F.lit("[0-9]{4}"), year)
+        return (
+            F.when(named, F.regexp_replace(text, F.lit(MONTH), other))
+            .when(year_first, F.concat(year, mark, months, mark, days))
+            .when(day_first.isNotNull(), F.concat(days, mark, months, mark, year))
+            .otherwise(F.concat(months, mark, days, mark, year))
+        )
 
-    def new(pattern: str) -> Column:
-        day = F.to_date(F.try_to_timestamp(match, F.lit(pattern)))
-        rank = F.datediff(day, first).cast("long")
+    def moved(rank: Column) -> Column:
         other = permuted(rank, F.lit(CYCLE[0]), F.lit(CYCLE[1]), key, F.lit("date"))
-        moved = F.date_add(first, F.coalesce(other, F.lit(0)).cast("int"))
-        return F.when(rank.between(0, size - 1), F.date_format(moved, pattern))
-
-    def by_mark(mark: str) -> Column:
-        return F.coalesce(new(f"dd{mark}MM{mark}yyyy"), new(f"MM{mark}dd{mark}yyyy"))
+        new = F.date_add(first, other.cast("int"))
+        return F.when(rank.between(0, size - 1), with_value(new, written))
 
-    return (
-        F.when(match.contains("-"), new("yyyy-MM-dd"))
-        .when(match.contains("/"), by_mark("/"))
-        .otherwise(by_mark("."))
-    )
+    return with_value(F.datediff(found, first).cast("long"), moved)
 
 
 def email(match: Column, key: str) -> Column:
