@@ -172,6 +172,14 @@ def test_score_of_what_was_never_learned(some_docs):
     assert sum(score >= 0.4 for score in scores) >= 0.98 * len(scores)
 
 
+def test_every_label_is_learned(spark):
+    rows = [(i, f"wort{chr(97 + i // 26 % 26)}{chr(97 + i % 26)} " * 5, f"l{i // 2:03}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    wanted = {r.lang for r in docs.filter(~langid.held_out(F.col("doc_id"))).collect()}
+    assert set(model.languages) == wanted and len(wanted) > 256
+
+
 def test_long_text_in_parts(monkeypatch):
     text = "ein langes Wort und noch eines, " * 40
     whole = [len(langid.Words(text).start), langid.Words(text).letters.sum()]

@@ -33,9 +33,12 @@ from pyspark.sql import functions as F
 
 from .common import few_at_once, free_name
 
-#: Documents learned from per language (expected), hash buckets, and languages at most:
-#: the most frequent ones.
-PER_LANGUAGE, BUCKETS, LANGUAGES = 2_000, 1 << 15, 256
+#: Documents learned from per language (expected), and hash buckets.
+PER_LANGUAGE, BUCKETS = 2_000, 1 << 15
+
+#: Texts labelled together with up to 16 languages, fewer with more; languages whose counts a
+#: task holds before it hands them on.
+TOGETHER, HELD = 512, 64
 
 #: Cost of a change of language, and what a script a language does not use costs a word.
 PENALTY, STRANGE = 15.0, 50.0
@@ -159,11 +162,15 @@ class Words:
         return self.end - self.start
 
 
-def parts(text: str) -> Iterator[tuple[int, str]]:
-    """A text in parts of about PART characters, cut where no word is; with their offsets."""
+def parts(text: str, languages: int = 4) -> Iterator[tuple[int, str]]:
+    """A text in parts of about PART characters, cut where no word is; with their offsets.
+
+    Less than PART where more than four languages are scored.
+    """
     at = 0
+    size = max(1, PART * 4 // max(4, languages))
     while at < len(text):
-        end = min(at + PART, len(text))
+        end = min(at + size, len(text))
         while end < len(text) and text[end - 1].isalpha() and text[end].isalpha():
             end += 1
         yield at, text[at:end]
@@ -258,11 +265,12 @@ def viterbi(scores: list[np.ndarray], penalty: float = PENALTY) -> list[np.ndarr
 def label(texts: list[str | None], model: Model, spans: bool) -> list[tuple]:
     """(language, score, spans) of each text; spans are (start, end, language)."""
     out: list[tuple] = []
-    for first in range(0, len(texts), 512):
-        own = texts[first : first + 512]
+    few = max(1, TOGETHER * 16 // max(16, len(model.languages)))
+    for first in range(0, len(texts), few):
+        own = texts[first : first + few]
         scores, where = [], []
         for text in own:
-            pieces = [(at, Words(part)) for at, part in parts(text or "")]
+            pieces = [(at, Words(part)) for at, part in parts(text or "", len(model.languages))]
             empty = np.zeros((0, len(model.languages)), dtype=np.float32)
             scores.append(np.concatenate([empty, *(model.scores(w) for _, w in pieces)]))
             starts = np.concatenate([np.zeros(0, int), *(at + w.start for at, w in pieces)])
@@ -301,26 +309,27 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(crc, F.lit(5)) == 0
 
 
-def fit(
-    docs: DataFrame, per_language: int = PER_LANGUAGE, most: int = LANGUAGES
-) -> Model:
-    """A model of the languages of ``docs`` (doc_id, text, lang), held-out rows left aside."""
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+    """A model of all languages of ``docs`` (doc_id, text, lang), held-out rows left aside."""
     known = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     known = known.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    numbers = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most).collect()
+    numbers = known.groupBy("lang").count().collect()
     languages = sorted(r["lang"] for r in numbers)
     # a language's rows whose hash falls in its share of all hashes
     span = 1 << 31
-    limit = F.lit(0)
-    for r in numbers:
-        share = min(span, span * per_language // r["count"] + 1)
-        limit = F.when(F.col("lang") == r["lang"], F.lit(share)).otherwise(limit)
-    chosen = known.filter(F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(span)) < limit)
+    shares = [(r["lang"], min(span, span * per_language // r["count"] + 1)) for r in numbers]
+    shares = docs.sparkSession.createDataFrame(shares, "lang string, below long")
+    # one row per label, as many as the model has columns
+    known = known.join(F.broadcast(shares), "lang")
+    chosen = known.filter(F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(span)) < F.col("below"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
         for batch in few_at_once(batches):
             for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist()):
+                if lang not in counts and len(counts) == HELD:
+                    yield from handed_on(counts)
+                    counts = {}
                 total = counts.setdefault(lang, np.zeros(BUCKETS + len(NAMES), dtype=np.int64))
                 for _, part in parts(text.as_py() or ""):
                     words = Words(part)
@@ -329,6 +338,9 @@ def fit(
                     total[BUCKETS:] += np.bincount(
                         words.script, weights=words.letters, minlength=len(NAMES)
                     ).astype(np.int64)
+        yield from handed_on(counts)
+
+    def handed_on(counts: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for lang, total in counts.items():
             place = np.flatnonzero(total)
             yield pa.record_batch(
