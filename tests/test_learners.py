@@ -1,4 +1,6 @@
+import hashlib
 import json
+from contextlib import nullcontext
 from datetime import date, timedelta
 
 import brute
@@ -13,10 +15,16 @@ from volspark.learners import boosting, spread
 from volspark.learners.baseline import train_mean
 from volspark.learners.boosting import BoostParams, Model
 from volspark.learners.grouped import fit_grouped
-from volspark.learners.pooled import pooled, pooled_rows
+from volspark.learners.pooled import POOL, fit_pooled
 from volspark.learners.scoring import score
 from volspark.learners.spread import fit_spread
-from volspark.operators.backtest import holdout, holdout_rows, walk_forward, walk_forward_rows
+from volspark.operators.backtest import (
+    holdout,
+    holdout_rows,
+    pooled_rows,
+    walk_forward,
+    walk_forward_rows,
+)
 from volspark.operators.reports import importances, rounded_importances
 from volspark.operators.series import SeriesLayout
 from volspark.schemas import MODELS, PREDICTIONS, feature_columns
@@ -187,10 +195,50 @@ def test_spread_has_the_same_borders(spark):
     wide = np.concatenate([rng.normal(0, 0.01, 600), [0.0] * 80, [0.5] * 40, [1e9, -1e9, -0.25]])
     even = 100 + np.arange(len(wide)) * 1e-7
     x = np.column_stack([wide, even, np.ones(len(wide))])
-    rows = [("A", 0, float(i), v.tolist()) for i, v in enumerate(x)]
-    train = spark.createDataFrame(rows, "symbol string, refit_id int, y double, x array<double>")
-    edges = spread._start(train, BoostParams(max_bins=32)).first().edges
-    assert edges == [boosting.bin_edges(x[:, f], 32).tolist() for f in range(3)]
+    segment = rng.integers(0, 4, len(wide))
+    rows = [("A", int(s), float(i), v.tolist()) for i, (s, v) in enumerate(zip(segment, x))]
+    train = spark.createDataFrame(rows, "series string, segment int, y double, x array<double>")
+    growths = spread._starts(train, 4)
+    spread._place_borders(train, growths, 3, BoostParams(max_bins=32))
+    for refit, edges in enumerate(growths["A"].edges):
+        own = x[segment <= refit]
+        assert growths["A"].n[refit] == len(own)
+        for f in range(3):
+            assert edges[f].tolist() == boosting.bin_edges(own[:, f], 32).tolist()
+
+
+def test_spread_stores_a_row_once_for_all_refits(features, monkeypatch):
+    stored = []
+
+    def kept(train, growths, refits):
+        stored.append((first_state(train, growths, refits), refits))
+        return stored[-1][0]
+
+    first_state = spread._first_state
+    monkeypatch.setattr(spread, "_first_state", kept)
+    # what the fit stored stays, to be looked at
+    monkeypatch.setattr(spread, "clearing_scratch", lambda _: nullcontext())
+    rows = walk_forward_rows(features)
+    fit_spread(rows, COLUMNS, BoostParams(trees=1, depth=1))
+    (state, refits), = stored
+    assert refits == 2
+    assert state.count() == rows.filter("segment < refits").count()
+
+
+def test_spread_adds_up_by_a_shuffle_as_well(features, monkeypatch):
+    rows, params = holdout_rows(features).repartition(5), BoostParams(trees=2)
+    few, _ = fit_spread(rows, COLUMNS, params)
+    monkeypatch.setattr(spread, "TASKS_GATHERED", 0)
+    many, _ = fit_spread(rows, COLUMNS, params)
+    assert model_texts(few) == model_texts(many)
+
+
+def test_series_are_worked_on_in_shares(features, monkeypatch):
+    rows, params = holdout_rows(features), BoostParams(trees=1, depth=1)
+    together, _ = fit_spread(rows, COLUMNS, params)
+    monkeypatch.setattr(spread, "MODELS_AT_ONCE", 1)
+    apart, _ = fit_spread(rows, COLUMNS, params)
+    assert model_texts(together) == model_texts(apart)
 
 
 def test_long_series_take_the_spread_way(features):
@@ -235,12 +283,29 @@ def test_importances_are_sorted(features):
 
 def test_pooled_learns_from_all_symbols(features):
     rows = pooled_rows(features)
-    predictions, models = pooled(rows, BoostParams(trees=5, learning_rate=0.3))
+    predictions, models = fit_pooled(rows, params=BoostParams(trees=5, learning_rate=0.3))
     # the last 60 of 300 dates; the shorter series ended before
-    assert predictions.count() == 60 and len(models) == 1
-    shares = models[0].stages[-1].featureImportances.toArray()
-    assert COLUMNS[shares.argmax()] == COLUMNS[0]
-    assert shares.sum() == pytest.approx(1)
+    assert predictions.count() == 60
+    model, = models.collect()
+    assert model.symbol == POOL and model.n_train == 240 + 220
+    assert max(model.importances, key=model.importances.get) == COLUMNS[0]
+    assert sum(model.importances.values()) == pytest.approx(1)
+
+
+def test_pooled_equals_one_fit_of_all_rows(features):
+    params = BoostParams(trees=4)
+    rows = pooled_rows(features)
+    _, models = fit_pooled(rows.repartition(7), params=params)
+    train = [r for r in rows.collect() if r.segment == 0]
+    x = np.array([[r[c] for c in COLUMNS] for r in train])
+    code = {s: int(hashlib.md5(s.encode()).hexdigest()[:7], 16) * 2**21 for s in "AB"}
+    number = np.array([code[r.symbol] + r.row_idx for r in train])
+    plain = boosting.fit(x, np.array([r.target_vol for r in train]), number, COLUMNS, params)
+    stored = boosting.Model.from_json(models.first().model)
+    assert stored.base == plain.base
+    for ours, theirs in zip(stored.trees, plain.trees, strict=True):
+        for name in ("feature", "threshold", "value", "gain"):
+            assert getattr(ours, name).tolist() == getattr(theirs, name).tolist()
 
 
 def test_pooled_never_trains_on_a_later_date(features):
@@ -249,7 +314,15 @@ def test_pooled_never_trains_on_a_later_date(features):
         first = min(r.date for r in rows if r.refit_id == refit)
         assert max(r.date for r in rows if r.segment <= refit) < first
     none = pooled_rows(features.filter(F.col("date") < "2020-01-10"), WalkForward())
-    assert pooled(none)[0].count() == 0
+    assert fit_pooled(none)[0].count() == 0
+
+
+def test_pooled_models_score_every_symbol(features):
+    run = holdout(features, learner="pooled", params=BoostParams(trees=3))
+    again = {(r.symbol, r.date): r.predicted for r in score(features, run.models, of=POOL).collect()}
+    assert len(again) == 520
+    known = {(r.symbol, r.date): r.predicted for r in run.predictions.collect()}
+    assert {k: again[k] for k in known} == known
 
 
 def test_stored_models_score_later(features, tmp_path, spark):

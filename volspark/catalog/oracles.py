@@ -6,7 +6,7 @@ import re
 
 from dataclasses import dataclass
 
-from volspark.catalog.queries import CUT, HIGH, LABELS, LOW, RANGE
+from volspark.catalog.queries import CUT, HIGH, LABELS, LOW, RANGE, RANGE_CUT
 from volspark.schemas import feature_columns
 
 # The SQL states its own numbers: a changed default in the library must show as a difference.
@@ -224,6 +224,7 @@ def regimes(where: str = "TRUE") -> str:
 
 METRIC_NAMES = "mae rmse directional_accuracy correlation".split()
 IN_RANGE = f"date >= DATE '{START}' AND date <= DATE '{END}'"
+IN_CUT = f"date >= DATE '{RANGE_CUT[0]}' AND date <= DATE '{RANGE_CUT[1]}'"
 PREDICTION = ["symbol", "date", "row_idx", "fold_id", "refit_id", "actual", "predicted"]
 
 
@@ -312,6 +313,13 @@ def finals() -> dict[str, str]:
             FROM persistence WHERE {IN_RANGE}""",
         "regime_intervals": regimes(),
         "regime_intervals_in_range": regimes(IN_RANGE),
+        "backtest_metrics_from_states": run_metrics,
+        "metrics_in_range_from_states": f"""SELECT {all_metrics}
+            FROM ({metrics('persistence', IN_CUT)}) m""",
+        "regimes_from_parts": regimes(),
+        "regimes_in_range_from_parts": regimes(IN_CUT),
+        "appended_features": f"SELECT {featured} FROM features",
+        "appended_processed": f"SELECT {rs([*INPUTS, 'vix'])} FROM processed",
         "residuals": f"""SELECT {keys}, {r('predicted - actual', 'residual')},
             CASE WHEN predicted - actual > 0 THEN 'over' ELSE 'under' END AS side
             FROM persistence WHERE {IN_RANGE}""",
@@ -514,6 +522,49 @@ POOLED_PLAN = """SELECT r.refit_id, r.first_scored, r.n_scored,
     JOIN features f ON f.date < r.first_scored GROUP BY 1, 2, 3"""
 
 
+#: A symbol's rows are numbered apart from those of others.
+NUMBER = """CAST('0x' || substr(md5(f.symbol), 1, 7) AS BIGINT) * 2097152 + day"""
+
+CALENDAR = """SELECT date, ROW_NUMBER() OVER (ORDER BY date) - 1 AS day, COUNT(*) OVER () AS days
+    FROM (SELECT DISTINCT date FROM features) a"""
+
+
+def pooled(fit: Fit, walk: bool) -> list[tuple[str, str]]:
+    """Fits on the rows of all symbols, as series named by the refit.
+
+    Training rows are those below a cut, which is therefore put beside each row's number.
+    """
+    first = "CAST(FLOOR(days * 0.6e0) AS BIGINT)"
+    stop = f"{first} + 21 * CAST(GREATEST(0, CEIL((days - {first} - 21) / 21e0)) AS BIGINT)"
+    if walk:
+        cuts = f"""SELECT CAST(k AS INTEGER) AS refit_id, first + k * 63 AS cut,
+            LEAST(first + k * 63 + 63, stop) AS upto
+            FROM (SELECT first, stop, UNNEST(RANGE(CAST(CEIL((stop - first) / 63e0) AS BIGINT)))
+                  AS k FROM (SELECT DISTINCT {first} AS first, {stop} AS stop FROM p_days) b) c"""
+    else:
+        cuts = """SELECT DISTINCT 0 AS refit_id, days AS upto,
+            CAST(FLOOR(days * CAST(0.8 AS DOUBLE)) AS BIGINT) AS cut FROM p_days"""
+    return [
+        ("p_days", CALENDAR),
+        ("p_cuts", cuts),
+        (
+            "p_rows",
+            f"""SELECT '*' || refit_id AS symbol, f.symbol AS own, f.date, refit_id, day, cut AS day_cut,
+                {NUMBER} AS row_idx, {NUMBER} + CASE WHEN day < cut THEN 1 ELSE 0 END AS train_cut,
+                target_vol, {', '.join(FEATURES)}
+                FROM features f JOIN p_days USING (date) JOIN p_cuts ON day < upto""",
+        ),
+        *boosted(fit, FEATURES, "p_rows", "train_cut"),
+        (
+            "p_scored",
+            """SELECT r.own AS symbol, r.date, r.day AS row_idx, r.refit_id,
+               CAST((r.day - c.cut0) // 21 AS INTEGER) AS fold_id, t.actual, t.predicted
+               FROM t_scored t JOIN p_rows r ON t.symbol = r.symbol AND t.row_idx = r.row_idx
+               CROSS JOIN (SELECT MIN(cut) AS cut0 FROM p_cuts) c""",
+        ),
+    ]
+
+
 def statement(steps: list[tuple[str, str]], final: str) -> str:
     """One statement with the CTEs that the final SELECT needs, directly or not."""
     used, words = [], set(re.findall(r"\w+", final))
@@ -531,8 +582,7 @@ def oracle_sql() -> dict[str, str]:
     predicted = f"""SELECT symbol, date, row_idx, {rs(['actual', 'predicted'], 4)}
         FROM t_scored """
     small = flags + boosted(SMALL_FIT, FEATURES, "positioned")
-    for name in ("boosted_holdout_small", "boosted_holdout_spread"):
-        texts[name] = statement(small, predicted)
+    texts["boosted_holdout_small"] = statement(small, predicted)
     plain = flags + boosted(Fit(), NO_INDEX, "bare_positioned")
     texts["boosted_holdout_without_index"] = statement(plain, predicted)
     for name, fit in (("walk_forward_boosted_small", SMALL_FIT), ("walk_forward_boosted", Fit())):
@@ -550,7 +600,7 @@ def oracle_sql() -> dict[str, str]:
         walked, f"SELECT symbol, n, {rs(METRIC_NAMES, 4)} FROM ({metrics('t_walked')}) m"
     )
     full = flags + boosted(Fit(), FEATURES, "positioned")
-    texts["score_stored_models"] = statement(full, predicted)
+    texts["score_stored_models"] = texts["boosted_holdout_spread"] = statement(full, predicted)
     shares = f"SELECT symbol, refit_id, feature, {r('importance', digits=4)} FROM t_importance "
     texts["holdout_boosted"] = statement(
         full, f"SELECT symbol, n, {rs(METRIC_NAMES[:3], 4)} FROM ({metrics('t_scored')}) m"
@@ -570,6 +620,16 @@ def oracle_sql() -> dict[str, str]:
     texts["results_csv_round_trip"] = statement(
         flags, f"SELECT symbol, date, actual, predicted FROM ({final['results_table']}) x"
     )
+    held = flags + pooled(Fit(), walk=False)
+    texts["pooled_boosted"] = statement(
+        held, f"SELECT symbol, n, {rs(METRIC_NAMES[:3], 4)} FROM ({metrics('p_scored')}) m"
+    )
+    walked = flags + pooled(Fit(), walk=True)
+    texts["pooled_walk_forward"] = statement(walked, f"SELECT {rs(PREDICTION, 4)} FROM p_scored")
+    short = flags + pooled(SMALL_FIT, walk=False)
+    texts["run_pooled_small"] = statement(
+        short, f"SELECT symbol, date, {r('predicted', digits=4)} FROM p_scored"
+    )
     texts["suppliers_rerun"] = statement(suppliers, final["run_metrics"])
     texts["suppliers_pooled_plan"] = statement(suppliers, POOLED_PLAN)
     for name in (
@@ -588,6 +648,9 @@ def oracle_sql() -> dict[str, str]:
         "backtest_metrics",
         "regime_intervals",
         "run_metrics",
+        "appended_features",
+        "backtest_metrics_from_states",
+        "regimes_from_parts",
     ):
         texts[f"suppliers_{name}"] = statement(suppliers, final[name])
     many = suppliers + boosted(SMALL_FIT, FEATURES, "positioned")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import date, timedelta
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from volspark.functions import symbol_label
 from volspark.learners.baseline import BASELINES
 from volspark.learners.boosting import BoostParams
 from volspark.learners.grouped import LANE_ROWS, balanced_lane_rows
-from volspark.learners.pooled import pooled, pooled_rows
+from volspark.learners.pooled import POOL, fit_pooled
 from volspark.learners.scoring import score
 from volspark.learners.spread import fit_spread
 from volspark.operators import features as feature_columns_of
@@ -23,6 +24,7 @@ from volspark.operators.backtest import (
     Backtest,
     holdout,
     holdout_rows,
+    pooled_rows,
     walk_forward,
     walk_forward_rows,
 )
@@ -36,6 +38,14 @@ from volspark.operators.metrics import (
     format_metrics,
     in_date_range,
 )
+from volspark.operators.parts import (
+    merge_metric_states,
+    metric_states,
+    metrics_in_range,
+    metrics_of,
+    regimes_in_range,
+    run_states,
+)
 from volspark.operators.returns import log_returns, realized_volatility
 from volspark.operators.series import (
     SeriesLayout,
@@ -49,6 +59,7 @@ from volspark.operators.split import (
     split_bounds,
     with_position,
 )
+from volspark.plans.append import SeriesStore
 from volspark.plans.pipeline import run_pipeline
 from volspark.schemas import BARS, TARGET, feature_columns
 from volspark.sinks import materialize, scratch_path, write_table
@@ -69,6 +80,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The unit prices of the test tables swing far more than markets do.
 HIGH, LOW = 8.0, 7.0
 RANGE = ("1997-01-01", "2000-06-30")
+# Both ends within a month.
+RANGE_CUT = ("1997-02-11", "2000-05-17")
 LABELS = {"A": "Returned", "N": "Not returned", "R": "Refused"}
 # Short chunks, to send the test series down the path of very long ones.
 CHUNKED = SeriesLayout(256)
@@ -280,6 +293,22 @@ def _regimes(panel: Panel, start: str | None = None, end: str | None = None) ->
     return reports.regimes(panel.predictions(), start, end, HIGH, LOW, panel.layout)
 
 
+def _metrics_from_states(panel: Panel) -> DataFrame:
+    """Months merge into years, years into all."""
+    years = merge_metric_states(metric_states(panel.predictions(), "month"), "year")
+    return rounded(metrics_of(merge_metric_states(years)))
+
+
+def _metrics_in_range_from_states(panel: Panel) -> DataFrame:
+    predictions = panel.predictions()
+    return rounded(metrics_in_range(metric_states(predictions), predictions, *RANGE_CUT))
+
+
+def _regimes_from_parts(panel: Panel, *dates: str) -> DataFrame:
+    predictions = panel.predictions()
+    return regimes_in_range(run_states(predictions, HIGH, LOW), predictions, *dates, HIGH, LOW)
+
+
 def _labels(panel: Panel) -> DataFrame:
     return panel.bars.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
         "label", symbol_label(F.col("symbol"), LABELS)
@@ -323,8 +352,8 @@ def _results_table(panel: Panel) -> DataFrame:
     return rounded(read_results(panel.spark, path, symbol="A"))
 
 
-def _pipeline(panel: Panel, table: str, learner: str, params: BoostParams = SMALL_FIT):
-    paths = run_pipeline(
+def _pipeline_paths(panel: Panel, learner: str, params: BoostParams) -> dict[str, str]:
+    return run_pipeline(
         panel.spark,
         panel.bars,
         panel.index,
@@ -335,6 +364,10 @@ def _pipeline(panel: Panel, table: str, learner: str, params: BoostParams = SMAL
         low=LOW,
         layout=panel.layout,
     )
+
+
+def _pipeline(panel: Panel, table: str, learner: str, params: BoostParams = SMALL_FIT):
+    paths = _pipeline_paths(panel, learner, params)
     return panel.spark.read.parquet(paths[table]).drop("bucket")
 
 
@@ -346,7 +379,7 @@ def _boosted_holdout(panel: Panel) -> DataFrame:
 def _spread_holdout(panel: Panel) -> DataFrame:
     """The same fit as Spark aggregates, the way of series too long for a task."""
     rows = materialize(holdout_rows(panel.features, layout=panel.layout), "learning-rows")
-    _, predictions = fit_spread(rows, feature_columns(), SMALL_FIT)
+    _, predictions = fit_spread(rows, feature_columns())
     return rounded(predictions.drop("fold_id", "refit_id"), 4)
 
 
@@ -467,6 +500,31 @@ def _results_csv(panel: Panel) -> DataFrame:
     return rounded(read_results(panel.spark, folder, "csv", symbol="A"))
 
 
+#: Last days of the parts in which the series are appended; what follows is the last part.
+PARTS = ("1996-12-31", "1999-06-30", "1999-07-02")
+
+
+def _appended(panel: Panel, table: str) -> DataFrame:
+    """A table of a store that got the days in parts, one of them folded into the others."""
+    store = SeriesStore(panel.spark, scratch_path(panel.spark, "store"), layout=panel.layout)
+    after = "0001-01-01"
+    for last in (*PARTS, "9999-12-31"):
+        of_part = F.col("date").between(F.lit(after).cast("date"), F.lit(last).cast("date"))
+        store.append(panel.bars.filter(of_part), panel.index.filter(of_part), panel.index_span)
+        after = str(date.fromisoformat(last) + timedelta(days=1)) if last < "9999" else last
+        if last == PARTS[1]:
+            store.compact()
+    return store.read(table)
+
+
+def _appended_features(panel: Panel) -> DataFrame:
+    return rounded(_appended(panel, "features"))
+
+
+def _appended_processed(panel: Panel) -> DataFrame:
+    return rounded(_appended(panel, "processed"))
+
+
 def _pooled_plan(panel: Panel) -> DataFrame:
     """Per refit of the pooled learner: what it trains on and what it scores."""
     rows = materialize(pooled_rows(panel.features, panel.plan), "pooled-rows")
@@ -484,9 +542,22 @@ def _pooled_plan(panel: Panel) -> DataFrame:
 
 
 def _pooled(panel: Panel) -> DataFrame:
-    rows = pooled_rows(panel.features)
-    predictions, _ = pooled(rows, BoostParams(trees=20))
-    return evaluate(predictions, layout=panel.layout)
+    predictions, _ = fit_pooled(pooled_rows(panel.features))
+    return rounded(evaluate(predictions, layout=panel.layout).drop("correlation"), 4)
+
+
+def _pooled_walk(panel: Panel) -> DataFrame:
+    run = walk_forward(panel.features, panel.plan, "pooled")
+    return rounded(run.predictions, 4)
+
+
+def _pooled_run(panel: Panel) -> DataFrame:
+    """The whole run with one model for all symbols, and its stored model scored again."""
+    paths = _pipeline_paths(panel, "pooled", SMALL_FIT)
+    models = read_models(panel.spark, paths["models"])
+    held_out = pooled_rows(panel.features).filter(F.col("refit_id").isNotNull())
+    scored = score(held_out.select(*panel.features.columns), models, of=POOL)
+    return rounded(scored.select("symbol", "date", "predicted"), 4)
 
 
 def queries() -> dict[str, Query]:
@@ -568,6 +639,14 @@ def queries() -> dict[str, Query]:
         "scatter_bounds": lambda p: rounded(reports.scatter_bounds(p.predictions())),
         "date_bounds": lambda p: reports.date_bounds(p.predictions()),
         "symbol_labels": _labels,
+        # states of date parts
+        "backtest_metrics_from_states": _metrics_from_states,
+        "metrics_in_range_from_states": _metrics_in_range_from_states,
+        "regimes_from_parts": lambda p: _regimes_from_parts(p, None, None),
+        "regimes_in_range_from_parts": lambda p: _regimes_from_parts(p, *RANGE_CUT),
+        # days added to stored series
+        "appended_features": _appended_features,
+        "appended_processed": _appended_processed,
         # whole runs
         "run_metrics": lambda p: rounded(_pipeline(p, "metrics", "persistence")),
         "run_regimes": lambda p: _pipeline(p, "report_regimes", "persistence"),
@@ -591,6 +670,8 @@ def queries() -> dict[str, Query]:
         "results_csv_round_trip": _results_csv,
         "feature_importance_printed": _importance_printed,
         "pooled_boosted": _pooled,
+        "pooled_walk_forward": _pooled_walk,
+        "run_pooled_small": _pooled_run,
     }
     found = {name: on_panel(build) for name, build in made.items()}
 
@@ -617,6 +698,9 @@ def queries() -> dict[str, Query]:
         "regime_intervals",
         "run_metrics",
         "boosted_holdout_small",
+        "appended_features",
+        "backtest_metrics_from_states",
+        "regimes_from_parts",
     ):
         found[f"suppliers_{name}"] = on_panel(made[name], symbol="l_suppkey")
     return found

@@ -139,7 +139,7 @@ class Model:
         return cls(stored["columns"], stored["base"], trees)
 
 
-def _best_splits(grads, rows, unit, params):
+def best_splits(grads, rows, unit, params):
     """For each node the best (gain, feature, bin) over histograms (node, feature, bin)."""
     lam = params.reg_lambda
     left, left_rows = np.cumsum(grads, axis=2), np.cumsum(rows, axis=2)
@@ -173,6 +173,27 @@ def _histograms(codes, grad, node, count, size):
     return sums, rows
 
 
+def _by_smaller_child(codes, at, grads, place, rows, above, size):
+    """The same from the histograms of the level above: only smaller children are counted.
+
+    The larger one is its parent less the smaller, exactly, as gradients are whole numbers.
+    """
+    count = len(rows)
+    small = np.arange(0, count, 2) + (rows[1::2] < rows[::2])
+    slot = np.full(count, -1)
+    slot[small] = np.arange(count // 2)
+    taken = slot[place] >= 0
+    own = _histograms(codes[:, at[taken]], grads[taken], slot[place[taken]], count // 2, size)
+    # a node that was not split has no children: it leaves no rows to subtract from
+    split = (rows[::2] + rows[1::2] > 0)[:, None, None]
+    found = []
+    for mine, parent in zip(own, above):
+        whole = np.empty((count, *mine.shape[1:]))
+        whole[small], whole[small ^ 1] = mine, np.where(split, parent - mine, 0.0)
+        found.append(whole)
+    return tuple(found)
+
+
 def fit(
     x: np.ndarray, y: np.ndarray, row_idx: np.ndarray, columns: list[str], params: BoostParams
 ) -> Model:
@@ -195,6 +216,7 @@ def fit(
         tree = Tree.empty(params.depth)
         split_bin = np.zeros(len(tree.feature), int)
         node, at = np.zeros(len(keep), int), np.arange(len(keep))
+        above = None
         for level in range(params.depth + 1):
             # ``at`` are the rows still on their way down, ``place`` their node in the level.
             first, count = 2**level - 1, 2**level
@@ -206,9 +228,13 @@ def fit(
             )
             if level == params.depth or not len(at):
                 break
-            down = kept_codes if len(at) == len(keep) else kept_codes[:, at]
-            found = _histograms(down, grads, place, count, size)
-            gain, feature, cut = _best_splits(*found, unit, params)
+            if above is None:
+                down = kept_codes if len(at) == len(keep) else kept_codes[:, at]
+                found = _histograms(down, grads, place, count, size)
+            else:
+                found = _by_smaller_child(kept_codes, at, grads, place, rows, above, size)
+            above = found
+            gain, feature, cut = best_splits(*found, unit, params)
             for i in np.flatnonzero(gain > params.min_gain):
                 f = feature[i]
                 tree.feature[first + i], split_bin[first + i] = f, cut[i]

@@ -1,86 +1,52 @@
-"""One model for all symbols together, with Spark's own boosted trees.
-
-MLlib samples rows by partition, so unlike the other learners its models change
-with the layout of the input.
-"""
+"""One model for all symbols together, per refit date."""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
-
-from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from volspark.learners.boosting import BoostParams
-from volspark.operators.backtest import holdout_rows, walk_forward_rows
-from volspark.operators.folds import WalkForward
+from volspark.learners.spread import fit_models, predictions_and_models
 from volspark.operators.split import require_model_columns
-from volspark.schemas import PREDICTIONS, TARGET
+from volspark.schemas import MODELS, PREDICTIONS, TARGET
 from volspark.sinks import materialize
 
-#: Models fitted side by side; each is many small jobs over the whole panel.
-FITS_AT_ONCE = 4
-
-
-def fit_pooled(train: DataFrame, columns: list[str], params: BoostParams) -> PipelineModel:
-    trees = GBTRegressor(
-        featuresCol="features",
-        labelCol=TARGET,
-        predictionCol="predicted",
-        maxIter=params.trees,
-        maxDepth=params.depth,
-        stepSize=params.learning_rate,
-        subsamplingRate=params.subsample,
-        seed=params.seed,
-        maxBins=params.max_bins,
-    )
-    inputs = VectorAssembler(inputCols=columns, outputCol="features")
-    return Pipeline(stages=[inputs, trees]).fit(train)
+#: The symbol that models of all symbols are stored under.
+POOL = "*"
 
+#: Days of a calendar, at most; a symbol's rows are numbered from a multiple of it.
+DAYS = 1 << 21
 
-def by_calendar(features: DataFrame, plan: WalkForward | None, test_size: float) -> DataFrame:
-    """(date, segment, fold_id, refit_id, train_cut, row_idx, refits): one cut date per refit.
 
-    The dates of all symbols together are split like one series, so no row that a model
-    trains on is dated after its first scored one. A calendar has one row per day.
-    """
-    days = features.select(F.lit("all").alias("symbol"), "date").distinct()
-    marked = holdout_rows(days, test_size) if plan is None else walk_forward_rows(days, plan)
-    return marked.drop("symbol", "n")
+def _number() -> Column:
+    """What sampling goes by: the symbol and the day, however the rows lie."""
+    of_symbol = F.conv(F.substring(F.md5(F.col("symbol").cast("binary")), 1, 7), 16, 10)
+    return of_symbol.cast("long") * DAYS + F.col("row_idx")
 
 
-def pooled_rows(
-    features: DataFrame, plan: WalkForward | None = None, test_size: float = 0.2
-) -> DataFrame:
-    """The rows of every symbol, marked by date: a holdout, or a walk forward by ``plan``."""
-    return features.join(by_calendar(features, plan, test_size), "date")
+def fit_pooled(
+    rows: DataFrame, columns: list[str] | None = None, params: BoostParams = BoostParams()
+) -> tuple[DataFrame, DataFrame]:
+    """Predictions and models for the rows of ``pooled_rows``.
 
-
-def pooled(
-    rows: DataFrame, params: BoostParams = BoostParams()
-) -> tuple[DataFrame, list[PipelineModel]]:
-    """Predictions and one model per refit for the rows of ``pooled_rows``.
-
-    Refit g trains on the rows of every symbol dated before its cut.
+    Refit g trains on the rows of every symbol dated before its cut. Which rows a tree is
+    grown on follows from symbol and day, so a model does not depend on the layout of its
+    input. Fitting runs when this is called; rows stay spread over tasks at any size.
     """
-    columns = require_model_columns(rows)
+    columns = require_model_columns(rows, columns)
     needed = [c for c in PREDICTIONS.names if c not in ("actual", "predicted")]
-    rows = materialize(rows.select(*needed, "segment", "refits", TARGET, *columns), "pooled-rows")
-    refits = rows.agg(F.max("refits")).first()[0] or 0
-
-    def run(refit: int) -> tuple[PipelineModel, DataFrame]:
-        model = fit_pooled(rows.filter(F.col("segment") <= refit), columns, params)
-        scored = model.transform(rows.filter(F.col("refit_id") == refit))
-        return model, scored.withColumn("actual", F.col(TARGET)).select(*PREDICTIONS.names)
-
-    if not refits:
-        none = rows.withColumns({"actual": F.col(TARGET), "predicted": F.lit(0.0)})
-        return none.select(*PREDICTIONS.names).limit(0), []
-    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
-        done = list(pool.map(inheritable_thread_target(run), range(refits)))
-    return reduce(DataFrame.unionByName, [scored for _, scored in done]), [m for m, _ in done]
+    rows = rows.select(*needed, "train_cut", "segment", "refits", TARGET, *columns)
+    rows = materialize(rows, "pooled-rows")
+    if rows.filter(F.col("refits") > 0).isEmpty():
+        spark = rows.sparkSession
+        return spark.createDataFrame([], PREDICTIONS), spark.createDataFrame([], MODELS)
+    state = rows.select(
+        F.lit(POOL).alias("series"),
+        _number().alias("number"),
+        F.col("segment").cast("int").alias("segment"),
+        F.col("refits").cast("int").alias("refits"),
+        F.col(TARGET).alias("y"),
+        F.array(*columns).alias("x"),
+    )
+    fitted = fit_models(state, len(columns), params)
+    return predictions_and_models(rows, fitted, columns, F.lit(POOL))

@@ -36,22 +36,28 @@ def leaf_by_value(tree: Column) -> Column:
     )
 
 
-def score(features: DataFrame, models: DataFrame) -> DataFrame:
-    """``symbol, date, refit_id, predicted`` by the latest stored model of each symbol."""
-    latest = models.groupBy("symbol").agg(
+def score(features: DataFrame, models: DataFrame, of: str | None = None) -> DataFrame:
+    """``symbol, date, refit_id, predicted`` by the latest stored model of each symbol.
+
+    With ``of``, all symbols are scored by the models stored under that one.
+    """
+    if of is not None:
+        models = models.filter(F.col("symbol") == of)
+    latest = models.groupBy(F.col("symbol").alias("model_of")).agg(
         F.max_by(F.struct("refit_id", "model"), "refit_id").alias("latest")
     )
     inputs = [c for c, kind in features.dtypes if kind == "double"]
     names = F.array(*[F.lit(c) for c in inputs])
     # where each input lies is looked up once per model, not per row
     parsed = latest.select(
-        "symbol", "latest.refit_id", F.from_json("latest.model", MODEL_JSON).alias("model")
+        "model_of", "latest.refit_id", F.from_json("latest.model", MODEL_JSON).alias("model")
     ).withColumn(
         "places",
         F.transform("model.columns", lambda c: F.array_position(names, c).cast("int") - 1),
     )
     rows = features.select("symbol", "date", F.array(*inputs).alias("inputs"))
-    joined = rows.join(parsed, "symbol")
+    key = F.col("symbol") if of is None else F.lit(of)
+    joined = rows.withColumn("model_of", key).join(parsed, "model_of")
     x = F.transform("places", lambda at: F.get("inputs", at))
     return joined.withColumn("x", x).select(
         "symbol",

@@ -11,6 +11,7 @@ from volspark.functions import truncated_share
 from volspark.learners.baseline import BASELINES
 from volspark.learners.boosting import BoostParams
 from volspark.learners.grouped import FITTERS, LANE_ROWS, fit_grouped
+from volspark.learners.pooled import fit_pooled
 from volspark.learners.spread import fit_spread
 from volspark.operators.folds import WalkForward
 from volspark.operators.series import MAX_TASK_ROWS, WHOLE, SeriesLayout
@@ -65,6 +66,35 @@ def holdout_rows(
     )
 
 
+def by_calendar(features: DataFrame, plan: WalkForward | None, test_size: float) -> DataFrame:
+    """(date, segment, fold_id, refit_id, train_cut, row_idx, refits): one cut date per refit.
+
+    The dates of all symbols together are split like one series, so no row that a model
+    trains on is dated after its first scored one. A calendar has one row per day.
+    """
+    days = features.select(F.lit("all").alias("symbol"), "date").distinct()
+    marked = holdout_rows(days, test_size) if plan is None else walk_forward_rows(days, plan)
+    return marked.drop("symbol", "n")
+
+
+def pooled_rows(
+    features: DataFrame, plan: WalkForward | None = None, test_size: float = 0.2
+) -> DataFrame:
+    """The rows of every symbol, marked by date: a holdout, or a walk forward by ``plan``."""
+    return features.join(by_calendar(features, plan, test_size), "date")
+
+
+def _run_pooled(
+    features: DataFrame,
+    plan: WalkForward | None,
+    test_size: float,
+    params: BoostParams,
+    columns: list[str] | None,
+) -> Backtest:
+    rows = pooled_rows(features, plan, test_size)
+    return Backtest(*fit_pooled(rows, columns, params))
+
+
 def _run(
     rows: DataFrame,
     learner: str,
@@ -77,7 +107,8 @@ def _run(
     if learner in BASELINES:
         return Backtest(BASELINES[learner](rows))
     if learner not in FITTERS:
-        raise ValueError(f"unknown learner {learner!r}; one of {[*BASELINES, *FITTERS]}")
+        known = [*BASELINES, *FITTERS, "pooled"]
+        raise ValueError(f"unknown learner {learner!r}; one of {known}")
     columns = require_model_columns(rows, columns)
 
     # By length, whatever the layout: long series are fitted as Spark aggregates.
@@ -114,8 +145,11 @@ def walk_forward(
     ``store`` writes the fits to the shared folder once, so that reading both the
     predictions and the models does not fit twice. ``columns`` are the inputs, all
     sixteen features unless given. With few series, less ``lane_rows`` spread their
-    refits over more tasks; ``balanced_lane_rows`` finds how many.
+    refits over more tasks; ``balanced_lane_rows`` finds how many. The ``pooled`` learner
+    takes the plan by the calendar of all symbols.
     """
+    if learner == "pooled":
+        return _run_pooled(features, plan, 0.0, params, columns)
     rows = walk_forward_rows(features, plan, layout)
     return _run(rows, learner, params, store, max_fit_rows, columns, lane_rows)
 
@@ -130,6 +164,8 @@ def holdout(
     max_fit_rows: int = MAX_TASK_ROWS,
     columns: list[str] | None = None,
 ) -> Backtest:
-    """Fit each series on its earliest rows and score the rest."""
+    """Fit each series on its earliest rows and score the rest; ``pooled``, all by date."""
+    if learner == "pooled":
+        return _run_pooled(features, None, test_size, params, columns)
     rows = holdout_rows(features, test_size, layout)
     return _run(rows, learner, params, store, max_fit_rows, columns)

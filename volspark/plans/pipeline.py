@@ -9,9 +9,9 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.learners.baseline import BASELINES
 from volspark.learners.boosting import BoostParams
-from volspark.learners.grouped import LANE_ROWS, balanced_lane_rows
+from volspark.learners.grouped import FITTERS, LANE_ROWS, balanced_lane_rows
+from volspark.learners.pooled import POOL
 from volspark.operators import reports
 from volspark.operators.align import attach_series
 from volspark.operators.backtest import holdout, walk_forward
@@ -47,6 +47,13 @@ def _of_run(df: DataFrame, symbols: DataFrame | None) -> DataFrame:
     return df if symbols is None else df.join(symbols, "symbol", "left_semi")
 
 
+def _model_symbols(
+    spark: SparkSession, learner: str, symbols: DataFrame | None
+) -> DataFrame | None:
+    """The symbols that a run's models are stored under."""
+    return spark.createDataFrame([(POOL,)], "symbol string") if learner == "pooled" else symbols
+
+
 def store_processed(
     processed: DataFrame, out_dir: str, symbols: DataFrame | None = None
 ) -> DataFrame:
@@ -81,7 +88,8 @@ def store_holdout(
     metrics = evaluate(run.predictions, layout=layout).drop("correlation")
     paths = {"holdout_metrics": write_table(metrics, f"{out_dir}/holdout_metrics", symbols)}
     if run.models is not None:
-        paths["models"] = write_table(run.models, f"{out_dir}/models", symbols)
+        under = _model_symbols(features.sparkSession, learner, symbols)
+        paths["models"] = write_table(run.models, f"{out_dir}/models", under)
     return paths
 
 
@@ -95,12 +103,13 @@ def store_backtest(
     layout: SeriesLayout = WHOLE,
 ) -> dict[str, str]:
     """Walk forward, store predictions, the refitted models and the metrics."""
-    lane_rows = LANE_ROWS if learner in BASELINES else balanced_lane_rows(features, plan)
+    lane_rows = balanced_lane_rows(features, plan) if learner in FITTERS else LANE_ROWS
     run = walk_forward(features, plan, learner, params, layout, store=True, lane_rows=lane_rows)
     paths = {"results": write_table(run.predictions, f"{out_dir}/results", symbols)}
     if run.models is not None:
         path = f"{out_dir}/backtest_models"
-        paths["backtest_models"] = write_table(run.models, path, symbols)
+        under = _model_symbols(features.sparkSession, learner, symbols)
+        paths["backtest_models"] = write_table(run.models, path, under)
     results = _of_run(read_results(features.sparkSession, paths["results"]), symbols)
     metrics = evaluate(results, layout=layout)
     paths["metrics"] = write_table(metrics, f"{out_dir}/metrics", symbols)
@@ -110,18 +119,23 @@ def store_backtest(
 def store_reports(
     spark: SparkSession,
     out_dir: str,
-    has_models: bool,
+    learner: str | None,
     layout: SeriesLayout = WHOLE,
     symbols: DataFrame | None = None,
     **options,
 ) -> dict[str, str]:
-    """Write the report tables of the stored results, as ``options`` ask for them."""
-    models = _of_run(read_models(spark, f"{out_dir}/models"), symbols) if has_models else None
+    """Write the report tables of the stored results, as ``options`` ask for them.
+
+    ``learner`` is the one that stored models, None where there are none.
+    """
+    under = _model_symbols(spark, learner, symbols) if learner else None
+    models = _of_run(read_models(spark, f"{out_dir}/models"), under) if learner else None
     results = _of_run(read_results(spark, f"{out_dir}/results"), symbols)
     tables = reports.bundle(results, models, layout=layout, **options)
 
     def store(name: str) -> str:
-        return write_table(tables[name], f"{out_dir}/reports/{name}", symbols)
+        own = under if name == "importances" else symbols
+        return write_table(tables[name], f"{out_dir}/reports/{name}", own)
 
     # small tables of one source: their jobs fill the cluster better side by side
     with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
@@ -176,6 +190,6 @@ def run_pipeline(
         paths = {"processed": f"{out_dir}/processed", "features": f"{out_dir}/features"}
         paths |= store_holdout(features, out_dir, own, test_size, learner, params, layout)
         paths |= store_backtest(features, out_dir, own, plan, learner, params, layout)
-        has_models = "models" in paths
-        paths |= store_reports(spark, out_dir, has_models, layout, own, high=high, low=low)
+        fitted = learner if "models" in paths else None
+        paths |= store_reports(spark, out_dir, fitted, layout, own, high=high, low=low)
         return paths

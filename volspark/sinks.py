@@ -31,6 +31,19 @@ def _file_system(spark: SparkSession, path: str):
     return name, name.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    name, files = _file_system(spark, path)
+    return files.exists(name)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where there is no such folder."""
+    name, files = _file_system(spark, path)
+    if not files.exists(name):
+        return []
+    return [f.getPath().getName() for f in files.listStatus(name) if f.isDirectory()]
+
+
 def _save(df: DataFrame, path: str) -> None:
     """Rows by bucket, sorted by symbol; a large bucket is split over tasks, small ones share one."""
     order = ["bucket", "symbol", *[c for c in ("date", "refit_id") if c in df.columns]]
