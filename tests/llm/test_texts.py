@@ -371,3 +371,13 @@ def test_pseudonyms_of_tables(some_docs, edge_docs, no_docs):
                 assert mail not in new.text
     plan = pii.pseudonyms(some_docs, "k")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_vocabularies_of_one_session_are_kept_apart(spark):
+    """They agree in length and in the first thousand tokens."""
+    common = [f"<{i}>".encode() for i in range(1000)]
+    docs = spark.createDataFrame([(1, "abab")], "doc_id long, text string").coalesce(1)
+    for token, tokens in ((b"abab", 1), (b"ab", 2), (b"aba", 2), (b"zz", 4)):
+        vocabulary = [*common, b"a", b"b", token]
+        found = wordpiece.token_counts(docs, vocabulary, start=b"")
+        assert found.first().n_tokens == tokens

@@ -16,6 +16,7 @@ being remembered.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections import Counter, deque
 from collections.abc import Iterable, Iterator
@@ -113,7 +114,10 @@ _ready: dict = {}
 
 
 def _matcher(key: tuple, vocabulary: list[bytes]) -> tuple[Matcher, dict[bytes, int]]:
-    """The automaton of a worker and its remembered words, built once per worker."""
+    """The automaton of a worker and its remembered words, built once per worker and vocabulary.
+
+    ``key`` tells vocabularies apart by all their tokens.
+    """
     if key not in _ready:
         _ready[key] = Matcher(vocabulary, *key[1:]), {}
     return _ready[key]
@@ -145,7 +149,10 @@ def token_counts(
     """doc_id, n_words, n_tokens of every row. The vocabulary is sent along once: its size
     does not grow with the documents."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    key = (hash(tuple(vocabulary[:1000])) ^ len(vocabulary), start, joint, end)
+    told = hashlib.sha256()
+    for string in vocabulary:
+        told.update(len(string).to_bytes(4, "big") + string)
+    key = (told.digest(), start, joint, end)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher, known = _matcher(key, shared.value)
