@@ -244,13 +244,13 @@ def links(words: DataFrame) -> DataFrame:
         "(r.last < s.last OR (r.last = s.last AND r.word < s.word))"
         " AND levenshtein(r.word, s.word, 1) = 1"
     )
-    met = met.select(
-        F.col("r.word").alias("word"),
-        F.col("r.n").alias("n"),
-        F.col("s.word").alias("other"),
-        F.col("s.n").alias("other_n"),
-    ).distinct()
-    return met.union(met.select("other", "other_n", "word", "n"))
+    met = met.select("r.word", "r.n", F.col("s.word").alias("other"), F.col("s.n").alias("other_n"))
+    ways = [
+        F.struct(*[F.col(c).alias(name) for c, name in zip(way, met.columns)])
+        for way in (met.columns, ["other", "other_n", "word", "n"])
+    ]
+    # both ways from one join
+    return met.distinct().select(F.inline(F.array(*ways)))
 
 
 def forms(words: DataFrame, times: int = 10) -> DataFrame:
