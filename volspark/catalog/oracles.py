@@ -222,6 +222,39 @@ def regimes(where: str = "TRUE") -> str:
     return f"{one('high', f'> {HIGH}e0')} UNION ALL {one('low', f'< {LOW}e0')}"
 
 
+def adjusted() -> str:
+    """Every bar next to all later actions, multiplied up."""
+    rounds = ", ".join(r(f"{c} * price", c) for c in ("open", "high", "low", "close"))
+    return f"""SELECT b.symbol, b.date, {rounds}, CAST(ROUND(volume * share) AS BIGINT) AS volume
+        FROM (SELECT b.*, COALESCE(PRODUCT(a.price), 1) AS price,
+                     COALESCE(PRODUCT(a.split), 1) AS share
+              FROM bars b LEFT JOIN a_factors a ON a.symbol = b.symbol AND a.date > b.date
+              GROUP BY ALL) b"""
+
+
+ACTIONS = [
+    (
+        "a_made",
+        """SELECT symbol, MIN(date) AS date, NULL::DOUBLE AS split,
+           0.125e0 * (1 + ARG_MIN(volume, date) % 5) AS dividend
+           FROM bars GROUP BY symbol, date_trunc('quarter', date)
+           UNION ALL SELECT symbol, MIN(date), CASE YEAR(MIN(date)) WHEN 1995 THEN 2e0 ELSE 0.25e0 END,
+           NULL FROM bars WHERE YEAR(date) IN (1995, 1999) GROUP BY symbol, YEAR(date)""",
+    ),
+    (
+        "a_dated",
+        """SELECT symbol, date, COALESCE(PRODUCT(split), 1) AS split,
+           COALESCE(SUM(dividend), 0) AS dividend FROM a_made GROUP BY 1, 2""",
+    ),
+    (
+        "a_factors",
+        """SELECT a.symbol, a.date, a.split,
+           COALESCE(1 - a.dividend * a.split / ARG_MAX(b.close, b.date), 1) / a.split AS price
+           FROM a_dated a LEFT JOIN bars b ON b.symbol = a.symbol AND b.date < a.date
+           GROUP BY a.symbol, a.date, a.split, a.dividend""",
+    ),
+]
+
 METRIC_NAMES = "mae rmse directional_accuracy correlation".split()
 IN_RANGE = f"date >= DATE '{START}' AND date <= DATE '{END}'"
 IN_CUT = f"date >= DATE '{RANGE_CUT[0]}' AND date <= DATE '{RANGE_CUT[1]}'"
@@ -621,6 +654,12 @@ def oracle_sql() -> dict[str, str]:
         flags, f"SELECT symbol, date, actual, predicted FROM ({final['results_table']}) x"
     )
     held = flags + pooled(Fit(), walk=False)
+    texts["booster_file_round_trip"] = statement(
+        full,
+        f"""SELECT symbol, date, row_idx, {rs(['actual', 'predicted'], 4)} FROM t_scored """,
+    )
+    texts["adjusted_bars"] = statement(flags + ACTIONS, adjusted())
+    texts["suppliers_adjusted_bars"] = statement(suppliers + ACTIONS, adjusted())
     texts["pooled_boosted"] = statement(
         held, f"SELECT symbol, n, {rs(METRIC_NAMES[:3], 4)} FROM ({metrics('p_scored')}) m"
     )

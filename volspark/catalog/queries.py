@@ -19,6 +19,7 @@ from volspark.learners.scoring import score
 from volspark.learners.spread import fit_spread
 from volspark.operators import features as feature_columns_of
 from volspark.operators import reports
+from volspark.operators.adjust import adjust_prices
 from volspark.operators.align import attach_series
 from volspark.operators.backtest import (
     Backtest,
@@ -64,6 +65,7 @@ from volspark.plans.pipeline import run_pipeline
 from volspark.schemas import BARS, TARGET, feature_columns
 from volspark.sinks import materialize, scratch_path, write_table
 from volspark.sources.bars import read_bars, read_implied_vol
+from volspark.sources.boosters import read_booster_files, write_booster_files
 from volspark.sources.fixtures import bars_from_lineitem, index_from_orders
 from volspark.sources.tables import (
     load_featured,
@@ -525,6 +527,43 @@ def _appended_processed(panel: Panel) -> DataFrame:
     return rounded(_appended(panel, "processed"))
 
 
+def _actions(panel: Panel) -> DataFrame:
+    """Actions made from the bars: dividends on the first bar of a quarter, splits of a year."""
+
+    def first_bar(unit: str) -> DataFrame:
+        by = F.trunc("date", unit)
+        return panel.bars.groupBy("symbol", by.alias("part")).agg(
+            F.min("date").alias("date"), F.min_by("volume", "date").alias("volume")
+        )
+
+    dividends = first_bar("quarter").select(
+        "symbol",
+        "date",
+        F.lit(None).cast("double").alias("split"),
+        (F.lit(0.125) * (1 + F.col("volume") % 5)).alias("dividend"),
+    )
+    ratio = F.when(F.year("date") == 1995, 2.0).when(F.year("date") == 1999, 0.25)
+    splits = first_bar("year").select(
+        "symbol", "date", ratio.alias("split"), F.lit(None).cast("double").alias("dividend")
+    )
+    return dividends.union(splits.filter("split IS NOT NULL"))
+
+
+def _adjusted(panel: Panel) -> DataFrame:
+    return rounded(adjust_prices(panel.bars, _actions(panel)))
+
+
+def _booster_files(panel: Panel) -> DataFrame:
+    """Models written as files of the published layout, read again and scored."""
+    run = holdout(panel.features, layout=panel.layout, store=True)
+    folder = write_booster_files(run.models, scratch_path(panel.spark, "model-files"))
+    scored = score(panel.features, read_booster_files(panel.spark, folder))
+    held_out = run.predictions.select("symbol", "date", "row_idx", "actual")
+    return rounded(
+        held_out.join(scored, ["symbol", "date"]).drop("refit_id"), 4
+    )
+
+
 def _pooled_plan(panel: Panel) -> DataFrame:
     """Per refit of the pooled learner: what it trains on and what it scores."""
     rows = materialize(pooled_rows(panel.features, panel.plan), "pooled-rows")
@@ -568,6 +607,8 @@ def queries() -> dict[str, Query]:
         "read_bars": _read_bars,
         "read_implied_vol": _read_implied_vol,
         "processed_table": _processed_table,
+        "adjusted_bars": _adjusted,
+        "booster_file_round_trip": _booster_files,
         "load_featured": _featured_from_table,
         "results_table": _results_table,
         # returns, volatility, alignment
@@ -701,6 +742,7 @@ def queries() -> dict[str, Query]:
         "appended_features",
         "backtest_metrics_from_states",
         "regimes_from_parts",
+        "adjusted_bars",
     ):
         found[f"suppliers_{name}"] = on_panel(made[name], symbol="l_suppkey")
     return found

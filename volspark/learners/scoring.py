@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MODEL_JSON = (
-    "struct<columns: array<string>, base: double, trees: array<struct<"
-    "feature: array<int>, threshold: array<double>, value: array<double>, gain: array<double>>>>"
+    "struct<columns: array<string>, base: double, single: boolean, trees: array<struct<"
+    "feature: array<int>, threshold: array<double>, value: array<double>, gain: array<double>, "
+    "left: array<int>, right: array<int>, missing_left: array<boolean>, steps: int>>>"
 )
 
 
@@ -36,6 +37,26 @@ def leaf_by_value(tree: Column) -> Column:
     )
 
 
+def leaf_by_children(tree: Column) -> Column:
+    """The same for a tree that lists its children, and which of them missing inputs go to."""
+
+    def below(node: Column) -> Column:
+        x = F.nullif(F.get("x", F.get(tree["feature"], node)), F.lit(float("nan")))
+        left = F.coalesce(x < F.get(tree["threshold"], node), F.get(tree["missing_left"], node))
+        return F.when(left, F.get(tree["left"], node)).otherwise(F.get(tree["right"], node))
+
+    # a leaf stays where it is, so a step too many is none
+    return F.aggregate(
+        F.sequence(F.lit(1), F.greatest(tree["steps"], F.lit(1))),
+        F.lit(0),
+        lambda node, _: F.when(F.get(tree["feature"], node) >= 0, below(node)).otherwise(node),
+    )
+
+
+def leaf_of(tree: Column) -> Column:
+    return F.when(tree["left"].isNull(), leaf_by_value(tree)).otherwise(leaf_by_children(tree))
+
+
 def score(features: DataFrame, models: DataFrame, of: str | None = None) -> DataFrame:
     """``symbol, date, refit_id, predicted`` by the latest stored model of each symbol.
 
@@ -59,9 +80,11 @@ def score(features: DataFrame, models: DataFrame, of: str | None = None) -> Data
     key = F.col("symbol") if of is None else F.lit(of)
     joined = rows.withColumn("model_of", key).join(parsed, "model_of")
     x = F.transform("places", lambda at: F.get("inputs", at))
+    rounded = F.transform(x, lambda value: value.cast("float").cast("double"))
+    x = F.when(F.col("model.single"), rounded).otherwise(x)
     return joined.withColumn("x", x).select(
         "symbol",
         "date",
         "refit_id",
-        sum_of_trees(F.col("model.base"), F.col("model.trees"), leaf_by_value).alias("predicted"),
+        sum_of_trees(F.col("model.base"), F.col("model.trees"), leaf_of).alias("predicted"),
     )

@@ -8,6 +8,7 @@ import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,12 +119,18 @@ def write_exchange(df: DataFrame, folder: str, suffix: str, header: list[str]) -
     )
     body = df.select("symbol", "date", F.lit(len(header)).alias("place"), lines.alias("line"))
     head = df.select("symbol").distinct().select("symbol", F.inline(tops))
+    both = body.unionByName(head.select(*body.columns))
+    return write_lines(both, folder, suffix, "place", "date")
+
+
+def write_lines(lines: DataFrame, folder: str, suffix: str, *order: str) -> str:
+    """A file ``{symbol}{suffix}`` in ``folder`` of each symbol's ``line`` values, in ``order``."""
+    spark = lines.sparkSession
     with clearing_scratch(spark):
         scratch = scratch_path(spark, "exchange")
         (
-            body.unionByName(head.select(*body.columns))
-            .repartition("symbol")
-            .sortWithinPartitions("symbol", "place", "date")
+            lines.repartition("symbol")
+            .sortWithinPartitions("symbol", *order)
             .select("symbol", "line")
             .write.partitionBy("symbol")
             .text(scratch)
@@ -135,7 +142,9 @@ def write_exchange(df: DataFrame, folder: str, suffix: str, header: list[str]) -
             name = part.getPath().getName()
             if not name.startswith("symbol="):
                 continue
-            new = of(folder, name.removeprefix("symbol=") + suffix)
+            # Spark escapes some characters in folder names; a file may have all but a slash
+            symbol = unquote(name.removeprefix("symbol="))
+            new = of(folder, symbol.replace("/", "%2F") + suffix)
             files.delete(new, False)
             for file in files.listStatus(part.getPath()):
                 if file.getPath().getName().startswith("part-"):
