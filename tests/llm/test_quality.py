@@ -1,0 +1,172 @@
+"""Quality scores: held-out labels, defined cases, and the model's parts by brute force."""
+
+import random
+from itertools import product
+from zlib import crc32
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from volspark.llm import quality, queries
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return [spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels")]
+
+
+@pytest.fixture(scope="module")
+def model(tables):
+    return quality.fit(*tables)
+
+
+def auc(scores, labels):
+    good, bad = scores[labels == 1], scores[labels == 0]
+    return np.mean([(g > b) + 0.5 * (g == b) for g, b in product(good, bad)])
+
+
+def test_held_out_labels(spark, tables):
+    found = queries.op11_pairwise_additive_quality(spark, SF)
+    rows = found.join(tables[1], "doc_id").collect()
+    for r in rows:
+        assert r.held_out == (crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7)
+    held = [r for r in rows if r.held_out]
+    scores, labels = (np.array([r[c] for r in held]) for c in ("score", "quality"))
+    assert len(held) > 50 and auc(scores, labels) > 0.97
+    assert np.mean([r.predicted == r.quality for r in held]) > 0.95
+    assert found.count() == tables[0].count()
+
+
+def test_reruns_agree(tables, model):
+    docs, labels = tables
+    again = quality.fit(docs.repartition(7), labels.repartition(3))
+    first, second = (
+        quality.scores(docs, m).orderBy("doc_id", "score").collect() for m in (model, again)
+    )
+    assert first == second
+
+
+def test_nothing_but_the_text_is_scored(spark, tables, model):
+    texts = [r.text for r in tables[0].select("text").limit(30).collect()]
+    shape = "doc_id long, text string, lang string, source string"
+    a = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], shape)
+    b = spark.createDataFrame([(-i, t, None, None) for i, t in enumerate(texts)], shape)
+    scores = [sorted(r.score for r in quality.scores(df, model).collect()) for df in (a, b)]
+    assert scores[0] == scores[1]
+
+
+def test_held_out_labels_teach_nothing(spark, tables):
+    docs, labels = tables
+    turned = labels.withColumn(
+        "quality",
+        F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")),
+    )
+    one, other = quality.fit(docs, labels), quality.fit(docs, turned)
+    assert all(np.array_equal(a, b) for a, b in zip(one.tables, other.tables))
+
+
+def test_edge_rows(spark, edge_docs, no_docs, model):
+    rows = quality.scores(edge_docs, model).collect()
+    assert len(rows) == edge_docs.count()
+    assert all(0 <= r.score <= 1 for r in rows)
+    known = {}
+    for text, r in zip([r.text for r in edge_docs.select("text").collect()], rows):
+        assert known.setdefault(text or "", r.score) == r.score
+    assert quality.scores(no_docs, model).count() == 0
+
+
+def test_labels_that_teach_nothing(spark, some_docs):
+    shape = "doc_id long, quality int, toxic int"
+    ids = [r.doc_id for r in some_docs.select("doc_id").limit(40).collect()]
+    taught = [i for i in ids if crc32(str(i).encode()) % 4 != 2]
+    cases = {
+        "none": ([], 0.5),
+        "both kinds": ([(i, q, 0) for i in ids for q in (0, 1)], 0.5),
+        "no id, no label": ([(None, 1, 0), (ids[0], None, 0)], 0.5),
+        "one kind": ([(i, 1, 0) for i in ids], (len(taught) + 0.5) / (len(taught) + 1)),
+    }
+    for rows, score in cases.values():
+        model = quality.fit(some_docs, spark.createDataFrame(rows, shape))
+        found = [r.score for r in quality.scores(some_docs.limit(5), model).collect()]
+        assert found == pytest.approx([score] * 5)
+
+
+def test_ids_that_repeat_teach_once(spark):
+    shape = "doc_id long, text string"
+    docs = spark.createDataFrame([(i, f"text {i} " * (i + 1)) for i in range(20)], shape)
+    labels = spark.createDataFrame([(i, int(i > 9)) for i in range(20)], "doc_id long, quality int")
+    once = quality.fit(docs, labels)
+    many = quality.fit(docs.union(docs).union(docs), labels.union(labels))
+    assert all(np.array_equal(a, b) for a, b in zip(once.tables, many.tables))
+
+
+def test_the_sample_is_bounded(spark):
+    rows = [(i, f"w{i} " * (1 + i % 9)) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    seen = []
+    learned = quality.Model._learn
+    try:
+        quality.Model._learn = lambda self, rows, y: seen.append(len(y))
+        quality.fit(docs, labels, learn=100)
+        quality.fit(docs, labels, learn=10**6)
+    finally:
+        quality.Model._learn = learned
+    assert 50 < seen[0] < 160 and seen[1] == sum(crc32(str(i).encode()) % 4 != 2 for i, _ in rows)
+
+
+def test_scores_are_sums_of_lookups(model):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["a", "Bb", "c!!", "d", "|"]) for _ in range(rng.randint(0, 80))) for _ in range(50)]
+    rows = np.array([quality.numbers(t) for t in texts])
+    for row, score in zip(rows, model.score(rows)):
+        total = model.base
+        for value, cuts, table in zip(row, model.cuts, model.tables):
+            total += table[sum(value >= c for c in cuts)]
+        for (a, b), table in model.pairs.items():
+            at = [sum(row[k] >= c for c in model.pair_cuts[k]) for k in (a, b)]
+            total += table[at[0], at[1]]
+        assert score == pytest.approx(1 / (1 + np.exp(-total)))
+    assert len(model.pairs) == quality.PAIRS
+
+
+def test_pairs_catch_what_single_numbers_miss():
+    """The label is whether two numbers lie on the same side: neither alone says anything."""
+    rng = np.random.default_rng(1)
+    rows = rng.uniform(size=(3000, 4))
+    labels = ((rows[:, 1] > 0.5) == (rows[:, 3] > 0.5)).astype(int)
+    model = quality.Model(rows[:2000], labels[:2000])
+    assert (1, 3) in model.pairs
+    assert auc(model.score(rows[2000:2400]), labels[2000:2400]) > 0.97
+
+
+def test_quadrants_equal_all_cuts():
+    rng = np.random.default_rng(2)
+    g, h = rng.normal(size=(5, 7)), rng.uniform(0.5, 2, (5, 7))
+    gain, value = quality._quadrants(g, h)
+    best = -np.inf
+    for i, j in product(range(1, 5), range(1, 7)):
+        parts = [(slice(0, i), slice(0, j)), (slice(0, i), slice(j, 7)), (slice(i, 5), slice(0, j)), (slice(i, 5), slice(j, 7))]
+        here = sum(g[p].sum() ** 2 / (h[p].sum() + 1) for p in parts) - g.sum() ** 2 / (h.sum() + 1)
+        if here > best:
+            best, wanted = here, np.empty_like(g)
+            for p in parts:
+                wanted[p] = g[p].sum() / (h[p].sum() + 1)
+    assert gain == pytest.approx(best) and value == pytest.approx(wanted)
+
+
+def test_very_long_texts():
+    """A part at a time gives the same numbers as the whole."""
+    text = "The the THE été 日本 12 !!! | |\n" * 60_000
+    small = quality.PART
+    try:
+        whole = quality.numbers(text)
+        quality.PART = 1000
+        assert quality.numbers(text) == whole
+    finally:
+        quality.PART = small
+    assert quality.numbers("") == [0.0] * len(quality.NAMES)
