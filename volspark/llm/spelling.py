@@ -32,6 +32,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from hashlib import sha256
 from zlib import crc32
 
 import pyarrow as pa
@@ -49,8 +50,15 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Letters taken from the far edge, the most that stay; and the look-up's gain per letter.
 EDGES, GAIN = (4, 2, 0), math.log(8)
 
-#: Distinct words a task counts before it hands them on.
-HELD = 200_000
+#: Distinct words a task counts before it hands them on, and words it makes the keys of.
+HELD, KEYED = 200_000, 25_000
+
+#: Letters of words that go along with their keys (longer ones send a digest, as their keys may
+#: be as many as their letters), and keys that a task holds.
+LONG, KEYS = 64, 50_000
+
+#: What digests begin with; no word has it.
+DIGEST = "#"
 
 
 def runs_of(text: str, least: int) -> list[str]:
@@ -196,6 +204,11 @@ def prefix_keys(word: str, places: list[int]) -> Iterator[int]:
                 yield key("end", side, word[:k], size)
 
 
+def sent_as(word: str) -> str:
+    """A word, or the digest of a long one."""
+    return word if len(word) <= LONG else DIGEST + sha256(word.encode()).hexdigest()
+
+
 def near(r: str, s: str) -> bool:
     """Whether exactly one inserted, deleted or replaced code point leads from r to s."""
     if len(r) > len(s):
@@ -206,18 +219,39 @@ def near(r: str, s: str) -> bool:
     return len(s) - len(r) == 1 and r[at:] == s[at + 1 :]
 
 
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = zip(batch.column("word"), batch.column("other"))
+        yield batch.filter(pa.array([near(r.as_py(), s.as_py()) for r, s in pairs], pa.bool_()))
+
+
 def links(words: DataFrame) -> DataFrame:
     """word, n, other, other_n for each pair of near words of ``words`` (word, n), both ways.
 
     ``words`` has each word once, of three bigrams or more, and is read several times.
     """
-    shared = words.sparkSession.sparkContext.broadcast(Order(bigram_counts(words)))
+    context = words.sparkSession.sparkContext
+    shared = context.broadcast(Order(bigram_counts(words)))
+    # a word is a few bytes and much work
+    words = words.select("word", "n").repartition(
+        max(context.defaultParallelism, words.count() // KEYED)
+    )
 
     def keyed(pivotal: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = shared.value
             for batch in batches:
+                sent = pa.array([sent_as(w) for w in batch.column("word").to_pylist()], pa.string())
                 keys, rows, last = [], [], []
+
+                def handed_on(keys=keys, rows=rows, last=last, sent=sent, batch=batch):
+                    at = pa.array(rows, pa.int32())
+                    columns = [pa.array(keys, pa.int64()), pa.array(last, pa.int32())]
+                    columns += [sent.take(at), batch.column("n").take(at)]
+                    for held in (keys, rows, last):
+                        held.clear()
+                    return pa.RecordBatch.from_arrays(columns, ["key", "last", "word", "n"])
+
                 for row, word in enumerate(batch.column("word").to_pylist()):
                     end, places = order.prefix(word)
                     found = (
@@ -225,32 +259,45 @@ def links(words: DataFrame) -> DataFrame:
                         if pivotal
                         else prefix_keys(word, places)
                     )
-                    before = len(keys)
-                    keys.extend(found)
-                    rows.extend([row] * (len(keys) - before))
-                    last.extend([end] * (len(keys) - before))
-                taken = batch.take(pa.array(rows, pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(last, pa.int32()), *taken.columns],
-                    ["key", "last", "word", "n"],
-                )
-
-        return words.select("word", "n").mapInArrow(run, "key long, last int, word string, n long")
+                    for key in found:
+                        keys.append(key)
+                        rows.append(row)
+                        last.append(end)
+                        if len(keys) >= KEYS:
+                            yield handed_on()
+                yield handed_on()
+
+        return words.mapInArrow(run, "key long, last int, word string, n long")
 
     pivots = keyed(True).alias("r")
     index = keyed(False).alias("s")
     # levenshtein with a bound stops early; -1 where it lies beyond
+    one_edit = "levenshtein({}, {}, 1) = 1"
     met = pivots.join(index, "key").filter(
-        "(r.last < s.last OR (r.last = s.last AND r.word < s.word))"
-        " AND levenshtein(r.word, s.word, 1) = 1"
+        "(r.last < s.last OR (r.last = s.last AND r.word < s.word)) AND"
+        f" (startswith(r.word, '{DIGEST}') OR startswith(s.word, '{DIGEST}')"
+        f" OR {one_edit.format('r.word', 's.word')})"
     )
     met = met.select("r.word", "r.n", F.col("s.word").alias("other"), F.col("s.n").alias("other_n"))
+    met = met.distinct()
+    long = words.filter(F.length("word") > LONG)
+    if not long.isEmpty():
+        told = F.concat(F.lit(DIGEST), F.sha2(F.col("word").cast("binary"), 256))
+        for name in ("word", "other"):
+            whole = long.select(told.alias(name), F.col("word").alias("whole"))
+            met = met.join(whole, name, "left").withColumn(name, F.coalesce("whole", name))
+            met = met.drop("whole")
+        met = met.select("word", "n", "other", "other_n")
+        # the bounded levenshtein of the JVM is quadratic in long words
+        either = F.greatest(F.length("word"), F.length("other")) > LONG
+        met = materialize(met, "links")
+        met = met.filter(~either).union(met.filter(either).mapInArrow(_near, met.schema))
     ways = [
         F.struct(*[F.col(c).alias(name) for c, name in zip(way, met.columns)])
         for way in (met.columns, ["other", "other_n", "word", "n"])
     ]
     # both ways from one join
-    return met.distinct().select(F.inline(F.array(*ways)))
+    return met.select(F.inline(F.array(*ways)))
 
 
 def forms(words: DataFrame, times: int = 10) -> DataFrame:
