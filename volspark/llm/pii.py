@@ -1,13 +1,15 @@
 """Format-preserving pseudonyms of numbers and dates, in DataFrame expressions only.
 
-What looks like a card number, a phone or social security number, an IPv4 address or a date
-and passes its check (Luhn, number of digits, valid ranges, calendar) is turned into its
-rank among all values of that format. A keyed Feistel network of eight rounds permutes the
+What looks like a card number, an account number (IBAN), a phone or social security number, an
+IPv4 or IPv6 address or a date and passes its check (Luhn, check digits, number of digits,
+valid ranges, calendar) is turned into its rank among all values of that format. A keyed Feistel network of eight rounds permutes the
 ranks: the rank is cut in two, and in turn each part is shifted, modulo its own size, by a
 keyed hash of the other. That is a bijection on the format's values, whatever the sizes, so
 equal values get equal pseudonyms in every document, different values different ones, and a
 pseudonym has its original's layout and passes the same check. E-mail addresses have no
-finite format; their local part becomes a keyed hash, the domain stays.
+finite format; their local part becomes a keyed hash, the domain stays. A date that can only
+be read month first is permuted among those. The key is a value of a one-row table, not of the
+plan: ``explain`` and event logs do not show it.
 
 A text is split at what was found and joined again around the pseudonyms, all inside its
 row: no shuffle, no Python.
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,9 @@ MONTHS = tuple(
 MONTH_AT = {
     names[i].lower(): 12 * j + i for j, names in reversed([*enumerate(MONTHS)]) for i in range(12)
 }
+#: What follows a day of the month as an ordinal, by its last digit (fixed values).
+ORDINALS = "th st nd rd th th th th th th".split()
+
 MONTH = "(?i:" + "|".join(sorted(MONTH_AT, key=lambda x: (-len(x), x))) + ")"
 DAY = "[0-9]{1,2}(?:st|nd|rd|th|\\.)?"
 
@@ -61,6 +67,9 @@ PATTERNS = {
     r"|[0-9]{4}\.[0-9]{2}\.[0-9]{2}|[0-9]{1,2}[/.-][0-9]{1,2}[/.-][0-9]{4})(?![0-9])"
     rf"|(?<![0-9./-]){DAY} (?:of |de )?{MONTH}\.?,? (?:de |del )?[0-9]{{4}}(?![0-9])"
     rf"|(?<![\p{{L}}\p{{N}}])(?=[JFMASONDjfmasonde]){MONTH}\.? {DAY},? [0-9]{{4}}(?![0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}|(?: [0-9A-Z]{4}){2,7}(?: [0-9A-Z]{1,3})?)"
+    r"(?![A-Za-z0-9])",
+    "ipv6": r"(?<![\w:.])(?=[0-9A-Fa-f:]{0,38}[0-9])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "phone": r"(?<![0-9+])\+(?:1[^\p{L}\p{N}\n+]{0,6}[0-9]{3}[^\p{L}\p{N}\n+]{0,6}[0-9]{3}"
@@ -73,6 +82,9 @@ KINDS = tuple(PATTERNS)
 
 #: Days of the Gregorian cycle of 400 years from 1800 on, as two factors (fixed values).
 CYCLE_START, CYCLE = "1800-01-01", (189, 773)
+#: Those after the 12th of a month, which alone are told from their months when written month
+#: first: as two factors, and the months they lie in (fixed values).
+LATE, LATE_FROM, CYCLE_MONTHS = (9, 9_833), 13, 4_800
 
 #: Areas of social security numbers (001 to 899 but 666), and groups times serials.
 AREAS, REST = 898, 99 * 9_999
@@ -87,11 +99,11 @@ def whole(text: Column) -> Column:
     return F.coalesce(F.try_to_number(F.lpad(text, 18, "0"), F.lit("9" * 18)).cast("long"), F.lit(0))
 
 
-def permuted(rank: Column, first: Column, second: Column, key: str, kind: Column) -> Column:
-    """The Feistel network on 0 .. first * second - 1; ``kind`` keeps formats apart."""
+def turned(a: Column, b: Column, m: Column, n: Column, key: Column, kind: Column) -> Column:
+    """The Feistel network on a below m and b below n; ``kind`` keeps formats apart."""
 
     def turn(state: Column, number: Column) -> Column:
-        name = F.concat_ws(":", F.lit(key), kind, number.cast("string"), state["b"].cast("string"))
+        name = F.concat_ws(":", key, kind, number.cast("string"), state["b"].cast("string"))
         shift = F.conv(F.substring(F.sha2(name, 256), 1, 12), 16, 10).cast("long")
         return F.struct(
             state["b"].alias("a"),
@@ -101,11 +113,15 @@ def permuted(rank: Column, first: Column, second: Column, key: str, kind: Column
         )
 
     start = F.struct(
-        rank_div(rank, second).alias("a"), F.pmod(rank, second).alias("b"),
-        first.cast("long").alias("m"), second.cast("long").alias("n"),
+        a.alias("a"), b.alias("b"), m.cast("long").alias("m"), n.cast("long").alias("n")
     )
-    rounds = F.sequence(F.lit(1), F.lit(ROUNDS))
-    return F.aggregate(rounds, start, turn, lambda s: s["a"] * s["n"] + s["b"])
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn)
+
+
+def permuted(rank: Column, first: Column, second: Column, key: Column, kind: Column) -> Column:
+    """A permutation of 0 .. first * second - 1."""
+    state = turned(rank_div(rank, second), F.pmod(rank, second), first, second, key, kind)
+    return with_value(state, lambda s: s["a"] * s["n"] + s["b"])
 
 
 def rank_div(rank: Column, by: Column) -> Column:
@@ -118,7 +134,7 @@ def power(n: Column) -> Column:
     return F.element_at(F.array(*[F.lit(10**i).cast("long") for i in range(19)]), n + 1)
 
 
-def permuted_digits(number: Column, key: str, kind: Column) -> Column:
+def permuted_digits(number: Column, key: Column, kind: Column) -> Column:
     """A text of up to 18 digits permuted among those of its length."""
     n = F.length(number)
     half = F.floor(n / 2).cast("int")
@@ -154,7 +170,7 @@ def layout(original: Column, new: Column) -> Column:
     return F.aggregate(F.split(original, ""), start, put, lambda s: s["out"])
 
 
-def card(match: Column, key: str) -> Column:
+def card(match: Column, key: Column) -> Column:
     """Payload permuted, check digit anew; null unless the Luhn sum holds."""
     number = digits(match)
     body = F.substr(number, F.lit(1), F.length(number) - 1)
@@ -167,7 +183,7 @@ def card(match: Column, key: str) -> Column:
 COUNTRY = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 
 
-def phone(match: Column, key: str) -> Column:
+def phone(match: Column, key: Column) -> Column:
     """All digits after the country code; null unless 7 to 15 digits in all.
 
     National numbers keep the 0 they begin with, or have ten digits: these are permuted like
@@ -181,7 +197,7 @@ def phone(match: Column, key: str) -> Column:
     return F.when(F.length(number).between(7, 15) & (F.length(rest) > 1), layout(match, new))
 
 
-def ssn(match: Column, key: str) -> Column:
+def ssn(match: Column, key: Column) -> Column:
     """Area 001 to 899 but 666, group and serial not zero, permuted among those."""
     area, group, serial = (
         whole(F.regexp_extract(match, r"^([0-9]+)-([0-9]+)-([0-9]+)$", i)) for i in (1, 2, 3)
@@ -209,7 +225,7 @@ def with_value(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def ip(match: Column, key: str) -> Column:
+def ip(match: Column, key: Column) -> Column:
     """Four numbers up to 255, permuted among all addresses."""
     parts = F.transform(F.split(match, r"\."), whole)
     rank = F.aggregate(parts, F.lit(0).cast("long"), lambda total, x: total * 256 + x)
@@ -223,11 +239,13 @@ def ip(match: Column, key: str) -> Column:
     return F.when(F.forall(parts, lambda x: x <= 255), with_value(new, written))
 
 
-def date(match: Column, key: str) -> Column:
+def date(match: Column, key: Column) -> Column:
     """A day of 1800 to 2199, permuted among those, written in the same order.
 
-    Day before month is tried first where the year stands last; a month's name stays in its
-    language.
+    Day before month is tried first where the year stands last, so what is read month first
+    has a day after the 12th, and is permuted among such days: otherwise its pseudonym could be
+    that of another day read day first. A month's name stays in its language, the letters after
+    an ordinal follow the day.
     """
     first = F.lit(CYCLE_START).cast("date")
     size = CYCLE[0] * CYCLE[1]
@@ -249,10 +267,12 @@ def date(match: Column, key: str) -> Column:
     in_name = day(
         F.regexp_extract(match, "[0-9]{4}", 0), month, F.regexp_extract(match, day_of, 0)
     )
+    month_first = day(part(2), part(0), part(1))
+    late = ~named & ~year_first & day_first.isNull()
     found = (
         F.when(named, in_name)
         .when(year_first, day(part(0), part(1), part(2)))
-        .otherwise(F.coalesce(day_first, day(part(2), part(0), part(1))))
+        .otherwise(F.coalesce(day_first, month_first))
     )
     padded = F.length(match) == 10
 
@@ -264,7 +284,14 @@ def date(match: Column, key: str) -> Column:
         mark = F.regexp_extract(match, "[-/.]", 0)
         names = F.array(*[F.lit(x) for names in MONTHS for x in names])
         other = F.element_at(names, at - F.pmod(at, F.lit(12)) + F.month(moved))
-        text = F.regexp_replace(match, F.lit(day_of), short)
+        number = F.dayofmonth(moved)
+        ending = F.when(number.between(11, 13), "th").otherwise(
+            F.element_at(F.array(*[F.lit(x) for x in ORDINALS]), F.pmod(number, F.lit(10)) + 1)
+        )
+        text = F.regexp_replace(match, F.lit(day_of + "(?:st|nd|rd|th)"), F.concat(short, ending))
+        text = F.when(match.rlike("[0-9](?:st|nd|rd|th)"), text).otherwise(
+            F.regexp_replace(match, F.lit(day_of), short)
+        )
         text = F.regexp_replace(text, F.lit("[0-9]{4}"), year)
         return (
             F.when(named, F.regexp_replace(text, F.lit(MONTH), other))
@@ -273,17 +300,117 @@ def date(match: Column, key: str) -> Column:
             .otherwise(F.concat(months, mark, days, mark, year))
         )
 
+    def months(day: Column) -> Column:
+        return (F.year(day) - F.year(first)) * 12 + F.month(day) - 1
+
+    def late_day(rank: Column) -> Column:
+        """The day after the 12th of that rank: its month is next to the one by the average."""
+        guess = F.floor(rank * CYCLE_MONTHS / (LATE[0] * LATE[1])).cast("int")
+
+        def of_month(month: Column) -> Column:
+            begin = F.add_months(first, month)
+            place = rank - (F.datediff(begin, first) - (LATE_FROM - 1) * month)
+            size = F.dayofmonth(F.last_day(begin)) - (LATE_FROM - 1)
+            return F.when(
+                (place >= 0) & (place < size), F.date_add(begin, (place + LATE_FROM - 1).cast("int"))
+            )
+
+        return F.coalesce(*[of_month(guess + k) for k in (0, -1, 1)])
+
     def moved(rank: Column) -> Column:
         other = permuted(rank, F.lit(CYCLE[0]), F.lit(CYCLE[1]), key, F.lit("date"))
         new = F.date_add(first, other.cast("int"))
+        late_rank = rank - (LATE_FROM - 1) * (months(found) + 1)
+        other = permuted(late_rank, F.lit(LATE[0]), F.lit(LATE[1]), key, F.lit("late date"))
+        new = F.when(late, with_value(other, late_day)).otherwise(new)
         return F.when(rank.between(0, size - 1), with_value(new, written))
 
     return with_value(F.datediff(found, first).cast("long"), moved)
 
 
-def email(match: Column, key: str) -> Column:
+def two_halves(text: Column, base: int, key: Column, kind: str) -> Column:
+    """A text of up to 30 digits (base 10) or 28 (base 16) permuted among those of its length."""
+    n = F.length(text)
+    half = F.floor(n / 2).cast("int")
+    other = (n - half).cast("int")
+    sizes = F.array(*[F.lit(base**i).cast("long") for i in range(16 if base == 10 else 15)])
+
+    def value(part: Column) -> Column:
+        return F.coalesce(F.conv(part, base, 10).cast("long"), F.lit(0).cast("long"))
+
+    parts = value(F.substr(text, F.lit(1), half)), value(F.substr(text, half + 1, other))
+    size = F.element_at(sizes, half + 1), F.element_at(sizes, other + 1)
+    state = turned(*parts, *size, key, F.concat_ws("", F.lit(kind), n.cast("string")))
+
+    def written(s: Column) -> Column:
+        return F.concat(
+            *[
+                F.lpad(F.lower(F.conv(s[name].cast("string"), 10, base)), width, "0")
+                for name, width in (("a", half), ("b", other))
+            ]
+        )
+
+    return with_value(state, written)
+
+
+def rest_97(text: Column) -> Column:
+    """A text of digits and capitals, these as 10 to 35, as a number modulo 97."""
+
+    def add(total: Column, char: Column) -> Column:
+        code = F.ascii(char)
+        return F.when(code >= 65, (total * 100 + code - 55) % 97).otherwise(
+            (total * 10 + code - 48) % 97
+        )
+
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0), add)
+
+
+def iban(match: Column, key: Column) -> Column:
+    """Digits of the account permuted, check digits anew; country and letters stay."""
+    whole_text = F.regexp_replace(match, " ", "")
+    country, account = F.substring(whole_text, 1, 2), F.substring(whole_text, 5, 30)
+    new = layout(account, two_halves(digits(account), 10, key, "iban"))
+    check = 98 - rest_97(F.concat(new, country, F.lit("00")))
+    text = F.concat(F.lpad(check.cast("string"), 2, "0"), new)
+    # its letters stay where they are, so only digits are put in
+    valid = rest_97(F.concat(account, F.substring(whole_text, 1, 4))) == 1
+    enough = F.length(digits(account)) > 1
+    return F.when(valid & enough, layout(match, digits(text)))
+
+
+def ipv6(match: Column, key: Column) -> Column:
+    """The groups behind the first, permuted; however it is written, an address is one value.
+
+    What has no digit is taken for a name, as in ``cafe::add``.
+    """
+    halves = F.split(F.lower(match), "::")
+
+    def groups(i: int) -> Column:
+        half = F.coalesce(F.get(halves, F.lit(i)), F.lit(""))
+        return F.filter(F.split(half, ":"), lambda g: g != "")
+
+    known = F.size(groups(0)) + F.size(groups(1))
+    short = F.size(halves) == 2
+    filled = F.concat(
+        groups(0), F.array_repeat(F.lit("0"), F.greatest(8 - known, F.lit(0))), groups(1)
+    )
+    text = F.array_join(F.transform(filled, lambda g: F.lpad(g, 4, "0")), "")
+    new = F.concat(F.substring(text, 1, 4), two_halves(F.substring(text, 5, 28), 16, key, "ipv6"))
+
+    def written(value: Column) -> Column:
+        places = F.sequence(F.lit(1), F.lit(29), F.lit(4))
+        group = F.transform(places, lambda at: F.substr(value, at, F.lit(4)))
+        return F.array_join(F.transform(group, lambda g: F.regexp_replace(g, "^0{1,3}", "")), ":")
+
+    # a colon alone at either end is none of an address
+    ends = match.rlike("^:(?!:)|(?<!:):$")
+    valid = (short & (known < 8) | ~short & (known == 8)) & (F.size(halves) < 3) & ~ends
+    return F.when(valid, with_value(new, written))
+
+
+def email(match: Column, key: Column) -> Column:
     local = F.substring_index(match, "@", 1)
-    name = F.sha2(F.concat_ws(":", F.lit(key), F.lit("email"), F.lower(match)), 256)
+    name = F.sha2(F.concat_ws(":", key, F.lit("email"), F.lower(match)), 256)
     return F.concat(
         F.substr(name, F.lit(1), F.greatest(F.length(local), F.lit(12))),
         F.lit("@"),
@@ -291,10 +418,19 @@ def email(match: Column, key: str) -> Column:
     )
 
 
-REPLACE = {"email": email, "date": date, "ip": ip, "ssn": ssn, "phone": phone, "card": card}
+REPLACE = {
+    "email": email,
+    "date": date,
+    "iban": iban,
+    "ipv6": ipv6,
+    "ip": ip,
+    "ssn": ssn,
+    "phone": phone,
+    "card": card,
+}
 
 
-def replaced(match: Column, key: str) -> Column:
+def replaced(match: Column, key: Column) -> Column:
     """(kind, text) of a find: its pseudonym, or null kind and itself if it is not valid."""
     out = F.lit(None).cast("struct<kind:string,text:string>")
     for kind in reversed(KINDS):
@@ -307,13 +443,14 @@ def replaced(match: Column, key: str) -> Column:
 
 def pseudonyms(docs: DataFrame, key: str) -> DataFrame:
     """doc_id, text with pseudonyms, n_<kind> and n_found of every row."""
+    secret = docs.sparkSession.createDataFrame(pa.table({"key": [key]}))
     has = F.coalesce(F.col("text").rlike("[0-9@]"), F.lit(False))
-    found = docs.select("doc_id", "text").withColumn(
+    found = docs.select("doc_id", "text", secret.scalar().alias("key")).withColumn(
         "found",
         F.when(
             has,
             F.transform(
-                F.regexp_extract_all("text", F.lit(FIND), F.lit(0)), lambda m: replaced(m, key)
+                F.regexp_extract_all("text", F.lit(FIND), F.lit(0)), lambda m: replaced(m, F.col("key"))
             ),
         ).otherwise(F.array().cast("array<struct<kind:string,text:string>>")),
     )
