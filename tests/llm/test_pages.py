@@ -1,3 +1,8 @@
+import re
+from html import unescape
+
+import pytest
+
 from volspark.llm import html
 
 PAGE = """<!DOCTYPE html><html><head><title>Top</title><style>p{{}}</style>
@@ -60,18 +65,17 @@ def test_quoted_text_in_articles_stays(spark):
         assert r.text.startswith(f"Title {r.page_id % 2}") and r.text.endswith("one\n\ntwo")
 
 
-def test_planted_articles(spark):
-    """Article paragraphs of the test pages, by a plain cut at tags."""
-    import re
-    from html import unescape
-
-    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
-    for r in html.main_text(pages).collect():
-        page = pages.filter(f"page_id = {r.page_id}").first().html if r.page_id < 5 else None
-        if page:
-            article = re.search(r"<article>(.*?)(</article>|$)", page, re.S)[1]
-            blocks = [" ".join(unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1|li|ul|div)\b[^>]*>", article)]
-            assert r.text.split() == " ".join(b for b in blocks if b).split()
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_planted_articles(spark, sf):
+    """The article of every test page, whole, by a plain cut at tags."""
+    pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet")
+    texts = {r.page_id: r.text for r in html.main_text(pages).collect()}
+    for r in pages.select("page_id", "html").collect():
+        article = re.search(r"<article>(.*?)(</article>|$)", r.html, re.S)[1]
+        article = re.sub(r"<(script|style)\b.*?</\1>", " ", article, flags=re.S)
+        blocks = re.split(r"</?(?:p|h1|li|ul|div)\b[^>]*>", article)
+        words = " ".join(unescape(re.sub("<[^>]*>", " ", b)) for b in blocks).split()
+        assert texts[r.page_id].split() == words, r.page_id
 
 
 def test_names_drop_only_what_they_name():
@@ -103,3 +107,47 @@ def test_counts_decide_inside_articles(spark):
     assert got[7] == "Title 7\n\nStory number 7 it is\n\nEnd of 7"
     assert got[104] == "Same\n\nOne story, many addresses"
     assert got[200].startswith("The real text of the page")
+
+
+def test_names_of_chrome():
+    """By their last word, or as parts of such a thing."""
+    dropped = "main-menu top-nav page-footer related-posts ad-slot user-comments post-comments comment-body cookie_notice siteFooter".lower().split()
+    for name in dropped[:-1]:
+        assert html.says_drop(name), name
+    for name in "has-sidebar no-footer article-header entry-header related-work story main content before-footer download header-image-caption".split():
+        assert not html.says_drop(name), name
+    story = "<h1>Title</h1><p>Body of the page, longer than what stands beside it</p>"
+    for name in dropped[:-1]:
+        page = f"<main>{story}<div class='{name}'><p>Beside</p></div></main>"
+        assert html.Page(page).main_text(frozenset()) == "Title\n\nBody of the page, longer than what stands beside it"
+    page = f"<article>{story}<section><article class='comment by-reader'><p>I say</p></article></section></article>"
+    assert "I say" not in html.Page(page).main_text(frozenset())
+    page = f"<article><div class='page-header'>{story}</div></article>"
+    assert html.Page(page).main_text(frozenset()).startswith("Title")
+
+
+def test_what_an_article_says_stays(spark):
+    """A line that many articles of a host quote, beside a box that all of them carry."""
+    box = "<div><p>Read our letter</p></div>"
+    rows = [
+        (i, f"https://a.example.org/{i}", f"<article><h1>Title {i}</h1><p>Often quoted line.</p><p>Story {i} of its own</p>{box}</article>")
+        for i in range(30)
+    ]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in html.main_text(table).collect():
+        assert r.text == f"Title {r.page_id}\n\nOften quoted line.\n\nStory {r.page_id} of its own"
+
+
+def test_work_grows_with_the_markup():
+    import time
+
+    def seconds(n):
+        pages = ("<div>" * n + "</span>" * n, "<p>" + "<table>" + "<b>" * n + "<div></div>" * n)
+        began = time.perf_counter()
+        for page in pages:
+            html.Page(page)
+        return time.perf_counter() - began
+
+    seconds(500)
+    # sixteen times the markup: quadratic work would be 256 times as much
+    assert seconds(16_000) < 60 * seconds(1_000)
