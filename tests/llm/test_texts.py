@@ -381,3 +381,61 @@ def test_vocabularies_of_one_session_are_kept_apart(spark):
         vocabulary = [*common, b"a", b"b", token]
         found = wordpiece.token_counts(docs, vocabulary, start=b"")
         assert found.first().n_tokens == tokens
+
+
+def test_references_to_licences():
+    def found(text):
+        return [x for x, _, _ in licenses.matched(licenses.sentences(text))]
+
+    assert found("Released under the BSD License.") == ["BSD"]
+    assert found("Licensed under the Apache License 2.0") == ["Apache-2.0"]
+    assert found("License: MIT") == ["MIT"] and found("## Licence: Apache-2.0\n") == ["Apache-2.0"]
+    assert found("Licensed under Apache-2.0.") == ["Apache-2.0"]
+    assert found("SIL OPEN FONT LICENSE Version 1.1 - 26 February 2007\n") == ["OFL-1.1"]
+    assert found("The Artistic License 2.0\n\nCopyright") == ["Artistic-2.0"]
+    assert found("EUROPEAN UNION PUBLIC LICENCE v. 1.2\n") == ["EUPL-1.2"]
+    assert found("This project is licensed under the terms of the PostgreSQL License.") == ["PostgreSQL"]
+    assert found("Released under the New BSD License.") == ["BSD-3-Clause"]
+    assert found("License: see the file") == [] and found("the license: mit and more words") == []
+
+
+def test_sentences_equal_a_search_for_every_wording():
+    """Known wordings without open names, among words, line ends and marks."""
+    wordings = {}
+    for name, own in licenses.SENTENCES.items():
+        for wording in own:
+            if licenses.OPEN not in wording:
+                wordings.setdefault(licenses.words_of(wording), name)
+    rng = random.Random(6)
+    texts = list(wordings)
+    for _ in range(300):
+        pieces = []
+        for _ in range(rng.randint(1, 6)):
+            words = rng.choice([rng.choice(texts), tuple(rng.choice(["some", "license", "the", "mit"]) for _ in range(3))])
+            pieces.append(rng.choice([" ", "\n", " * "]).join(words).title() + rng.choice([".", ".\n", "\n", " "]))
+        text = "".join(pieces) + "\nlicense"
+        spans = [m.span() for m in licenses.WORD.finditer(text)]
+        words = [text[a:b].lower() for a, b in spans]
+        wanted, at = [], 0
+        while at < len(words):
+            before = text[spans[at - 1][1] : spans[at][0]] if at else "\n"
+            best = 0
+            if licenses.END.search(text, spans[at - 1][1] if at else 0, spans[at][0]) or before.strip() or not at:
+                for size in range(len(words) - at, 1, -1):
+                    stop = at + size
+                    after = text[spans[stop - 1][1] : spans[stop][0]] if stop < len(words) else "\n"
+                    ends = stop == len(words) or licenses.END.search(text, spans[stop - 1][1], spans[stop][0])
+                    if tuple(words[at:stop]) in wordings and (ends or "(" in after):
+                        wanted.append((wordings[tuple(words[at:stop])], spans[at][0], spans[stop - 1][1]))
+                        best = size
+                        break
+            at += best or 1
+        assert licenses.sentences(text) == wanted
+
+
+def test_texts_that_repeat_are_encoded_once(spark, monkeypatch):
+    rows = [(1, "same text"), (1, "same text"), (2, "other"), (3, None), (4, None), (5, ""), (6, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = bpe.encoded(docs).collect()
+    alone = [bpe.encoded(docs.filter(F.col("doc_id") == r[0])).first() for r in rows]
+    assert [r.asDict() for r in found] == [r.asDict() for r in alone]

@@ -13,7 +13,8 @@ Every known sentence holds a marker word; a text without any is passed over afte
 search, and loses nothing by it.
 
 Defined cases: a null or empty text has no licence; a sentence that no rule uses is counted,
-not reported; equal rows give equal rows; an empty table gives an empty result.
+not reported; a reference that leaves open which of a family is meant gives the family's name
+(``BSD``); equal rows give equal rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,6 +31,16 @@ from .common import few_at_once
 #: Characters of other text allowed between the sentences of a rule.
 GAP = 400
 
+#: Every known sentence holds one of these, in any case.
+MARKER = re.compile(r"licen[sc]|permission|warrant|redistribut|unencumbered|may not be used|advertising materials", re.I)
+
+WORD = re.compile(r"[^\W_]+")
+
+
+def words_of(text: str) -> tuple[str, ...]:
+    return tuple(w.lower() for w in WORD.findall(text))
+
+
 #: Known sentences by identifier (fixed values: wording of the licences).
 SENTENCES = {
     "mit-name": ("The MIT License", "MIT License", "The MIT License (MIT)"),
@@ -89,7 +100,11 @@ SENTENCES = {
         "All advertising materials mentioning features or use of this software must display the "
         "following acknowledgement:",
     ),
-    "bsd-reference": ("Released under the BSD License.",),
+    "bsd-reference": (
+        "Released under the BSD License.",
+        "Licensed under the BSD License.",
+        "This project is licensed under the BSD License.",
+    ),
     "apache-grant": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\");",
@@ -194,6 +209,17 @@ SENTENCES = {
         "Software is furnished to do so, all subject to the following:",
     ),
     "business": ("Business Source License 1.1",),
+    "ofl-text": ("SIL Open Font License Version 1.1 - 26 February 2007",),
+    "artistic-text": ("The Artistic License 2.0", "Artistic License 2.0"),
+    "eupl-text": (
+        "European Union Public Licence v. 1.2",
+        "European Union Public Licence v. 1.2 EUPL",
+    ),
+    "postgresql-text": (
+        "PostgreSQL License",
+        "PostgreSQL is released under the PostgreSQL License, a liberal Open Source license, "
+        "similar to the BSD or MIT licenses.",
+    ),
     "unlicense": (
         "This is free and unencumbered software released into the public domain.",
         "Released under the Unlicense.",
@@ -210,6 +236,51 @@ SENTENCES = {
     ),
 }
 
+#: What references call a licence, beside its SPDX identifier.
+CALLED = {
+    "MIT": ("MIT License", "MIT licence"),
+    "ISC": ("ISC License",),
+    "Apache-2.0": (
+        "Apache License 2.0",
+        "Apache License, Version 2.0",
+        "Apache 2.0 License",
+        "Apache License v2.0",
+        "Apache Software License 2.0",
+        "Apache 2.0",
+    ),
+    "BSD-2-Clause": ("BSD 2-Clause License", "Simplified BSD License", "2-clause BSD license"),
+    "BSD-3-Clause": (
+        "BSD 3-Clause License",
+        "New BSD License",
+        "Modified BSD License",
+        "3-clause BSD license",
+    ),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "MPL 2.0"),
+    "EPL-2.0": ("Eclipse Public License 2.0", "Eclipse Public License v2.0"),
+    "BSL-1.0": ("Boost Software License 1.0", "Boost Software License, Version 1.0"),
+    "EUPL-1.2": ("European Union Public Licence 1.2", "EUPL 1.2", "EUPL v1.2"),
+    "OFL-1.1": ("SIL Open Font License 1.1", "SIL Open Font License, Version 1.1"),
+    "Artistic-2.0": ("Artistic License 2.0",),
+    "PostgreSQL": ("PostgreSQL License",),
+    "Zlib": ("zlib License",),
+    "Unlicense": ("The Unlicense",),
+    "CC0-1.0": ("CC0 1.0 Universal",),
+}
+#: How texts refer to a licence by name, or by name or identifier.
+BY_NAME = (
+    "Licensed under the {}.",
+    "Released under the {}.",
+    "Distributed under the {}.",
+    "Available under the {}.",
+    "This project is licensed under the {}.",
+    "This project is licensed under the terms of the {}.",
+    "This software is licensed under the {}.",
+    "This software is released under the {}.",
+    "This work is licensed under the {}.",
+    "This file is licensed under the {}.",
+)
+BY_EITHER = ("License: {}", "Licence: {}", "Licensed under {}.", "Released under {}.")
+
 #: Licences of the GNU family: their names, and the versions each has been given.
 GNU = {
     "GPL": ("GNU General Public License", ("1", "2", "3")),
@@ -267,7 +338,7 @@ RULES = (
     ("MIT", ("mit-reference",)),
     ("MIT", ("mit-name",)),
     ("ISC", ("isc-reference",)),
-    ("BSD-3-Clause", ("bsd-reference",)),
+    ("BSD", ("bsd-reference",)),
     ("GPL-3.0-only", ("gpl-reference-3",)),
     ("GPL-2.0-only", ("gpl-reference-2",)),
     ("MPL-2.0", ("mpl-reference",)),
@@ -297,7 +368,29 @@ RULES = (
     ("CC-BY-NC-SA-4.0", ("cc-by-nc-sa",)),
     ("CC-BY-NC-ND-4.0", ("cc-by-nc-nd",)),
 )
+
+
+def _references() -> tuple[tuple[str, tuple[str, ...]], ...]:
+    """References to licences by name or identifier, into SENTENCES; their rules."""
+    for licence, names in CALLED.items():
+        wordings = [told.format(name) for told in BY_NAME for name in names]
+        wordings += [told.format(name) for told in BY_EITHER for name in (licence, *names)]
+        known = {words_of(w) for own in SENTENCES.values() for w in own}
+        SENTENCES[f"called-{licence}"] = tuple(
+            w for w in wordings if MARKER.search(w) and words_of(w) not in known
+        )
+    return tuple((licence, (f"called-{licence}",)) for licence in CALLED)
+
+
 RULES += _gnu()
+RULES += (
+    ("OFL-1.1", ("ofl-text",)),
+    ("Artistic-2.0", ("artistic-text",)),
+    ("EUPL-1.2", ("eupl-text",)),
+    ("PostgreSQL", ("postgresql-text",)),
+)
+
+RULES += _references()
 
 #: SPDX identifiers without a digit or hyphen, and ones written in other ways (lower case).
 PLAIN = (
@@ -319,10 +412,6 @@ NAMED |= {
 TAG = re.compile(r"SPDX-License-Identifier\W*?:", re.I)
 PIECE = re.compile(r"[^\w\n()]*([A-Za-z0-9][\w.+:-]*|[()])")
 
-#: Every known sentence holds one of these, in any case.
-MARKER = re.compile(r"licen[sc]|permission|warrant|redistribut|unencumbered|may not be used|advertising materials", re.I)
-
-WORD = re.compile(r"[^\W_]+")
 #: Between two words: whether a line or sentence may end there.
 END = re.compile(r"[.!?;:](?=\s|[^\w\s]|$)|\n|[!?]")
 
@@ -331,10 +420,6 @@ END = re.compile(r"[.!?;:](?=\s|[^\w\s]|$)|\n|[!?]")
 NAME_WORDS, OPEN = 16, "<>"
 
 
-def words_of(text: str) -> tuple[str, ...]:
-    return tuple(w.lower() for w in WORD.findall(text))
-
-
 @lru_cache(maxsize=1)
 def index() -> dict[tuple[str, ...], list[tuple[list[tuple[str, ...]], str]]]:
     """Known sentences by their first two words, longest first: the parts around open names."""
