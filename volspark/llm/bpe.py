@@ -233,7 +233,8 @@ def encoded(docs: DataFrame, path: str | None = None, with_ids: bool = True) ->
     """doc_id, ids, n_tokens, ids_sha256, decoded_sha256 of every row.
 
     The vocabulary file is read by the driver and sent along once; its size does not grow
-    with the documents.
+    with the documents. Rows that follow one another with the same text, as a mix repeats
+    them, are encoded once.
     """
     with open(path or default_vocabulary(), encoding="utf-8") as file:
         definition = file.read()
@@ -245,14 +246,18 @@ def encoded(docs: DataFrame, path: str | None = None, with_ids: bool = True) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = _pairs(digest, shared.value)
+        last = done = None
         for batch in few_at_once(batches):
             ids, numbers, sums, texts = [], [], [], []
             for text in batch.column("text"):
-                own, line = pairs.encode(text.as_py())
-                ids.append(own if with_ids else None)
-                numbers.append(len(own))
-                sums.append(hashed(line))
-                texts.append(hashed(pairs.decode(own)))
+                text = text.as_py()
+                if done is None or text != last:
+                    own, line = pairs.encode(text)
+                    last, done = text, (own, hashed(line), hashed(pairs.decode(own)))
+                ids.append(done[0] if with_ids else None)
+                numbers.append(len(done[0]))
+                sums.append(done[1])
+                texts.append(done[2])
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),
