@@ -78,3 +78,39 @@ def test_search_stops_early():
     inside = (far[:, 0] >= 100) & (far[:, 0] <= 300)
     limit = topk.bounds(norm[:5], far[:5, 0], low, high, np.array([norm[inside].max()]))
     assert ((query @ rows[inside].T).max(axis=1) <= limit[:, 0]).all()
+
+
+def test_columns_of_the_same_names(spark):
+    from .conftest import CLASHING
+
+    rows = some(150, seed=9)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    for i, name in enumerate([*CLASHING, "v", "pivot", "shard", "block", "dist", "norm", "floor"]):
+        table = table.withColumn(name, F.lit(i))
+    found = topk.top_k(table, F.col("vec_id") % 100 == 0, pivots=3, shard=40, block=1)
+    assert sorted(map(tuple, found.collect())) == brute([r[:2] for r in rows])
+
+
+def test_vectors_go_only_where_queries_ask(spark, monkeypatch):
+    """Queries all lie at one end; vectors of pivots beyond their reach are not sent again."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in np.float32(rng.normal(size=4) * 0.01 + (50 if i % 100 else 60))], 0) for i in range(1000)]
+    rows += [(10_001 + i, [float(x) for x in np.float32(rng.normal(size=4) * 0.01 - 50)], 0) for i in range(98)]
+    sent = []
+    searching = topk._searching
+
+    def counted(dim, k):
+        run = searching(dim, k)
+        seen = spark.sparkContext.accumulator(0)
+        sent.append(seen)
+
+        def counts(part, asked):
+            seen.add(len(part))
+            return run(part, asked)
+
+        return counts
+
+    monkeypatch.setattr(topk, "_searching", counted)
+    assert ours(spark, rows, pivots=2, shard=2000, block=5) == brute([r[:2] for r in rows])
+    # ten queries in two blocks: the near end twice in either pass, the far end never
+    assert [s.value for s in sent] == [2000, 2000]

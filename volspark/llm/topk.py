@@ -216,16 +216,14 @@ def _searching(dim: int, k: int):
     return run
 
 
-def routed(
-    queries: DataFrame, pivots: np.ndarray, rings: dict, shards: dict, nearest: bool
-) -> DataFrame:
-    """Queries at the shards they need: (pivot, shard, query_id, v, to_pivot, floor).
+def routed(queries: DataFrame, pivots: np.ndarray, rings: dict, nearest: bool) -> DataFrame:
+    """Queries at the pivots they need: (pivot, query_id, v, to_pivot, floor).
 
-    ``nearest`` sends each to one shard of the pivot nearest to it that has any; else to
-    all shards of the pivots whose best annulus may reach the query's floor.
+    ``nearest`` sends each to the pivot nearest to it that has any vectors; else to those
+    whose best annulus may reach the query's floor.
     """
     dim = pivots.shape[1]
-    numbers = sorted(shards)
+    numbers = sorted(rings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,23 +241,29 @@ def routed(
                     low, high, top = rings[p]
                     limit = bounds(norm, far[:, p], low, high, top).max(axis=1)
                     to = np.flatnonzero(limit >= floor)
-                for shard in range(1 if nearest else shards[p]):
-                    yield pa.record_batch(
-                        [
-                            pa.array(np.full(len(to), p, dtype=np.int32)),
-                            pa.array(np.full(len(to), shard, dtype=np.int32)),
-                            pa.array(ids[to]),
-                            pa.array([raw[i] for i in to], pa.binary()),
-                            pa.array(far[to, p]),
-                            pa.array(floor[to]),
-                        ],
-                        ["pivot", "shard", "query_id", "v", "to_pivot", "floor"],
-                    )
-
-    schema = "pivot int, shard int, query_id long, v binary, to_pivot double, floor double"
+                yield pa.record_batch(
+                    [
+                        pa.array(np.full(len(to), p, dtype=np.int32)),
+                        pa.array(ids[to]),
+                        pa.array([raw[i] for i in to], pa.binary()),
+                        pa.array(far[to, p]),
+                        pa.array(floor[to]),
+                    ],
+                    ["pivot", "query_id", "v", "to_pivot", "floor"],
+                )
+
+    schema = "pivot int, query_id long, v binary, to_pivot double, floor double"
     return queries.select("vec_id", "v", "floor").mapInArrow(run, schema)
 
 
+def by_pivot(numbers: dict[int, int]) -> Column:
+    """A number of each pivot; NULL for others. At most as many as there are pivots."""
+    if not numbers:
+        return F.lit(None).cast("int")
+    pairs = [F.lit(x) for pair in numbers.items() for x in pair]
+    return F.try_element_at(F.create_map(*pairs), F.col("pivot"))
+
+
 def ranked(found: DataFrame, k: int) -> DataFrame:
     """The k best of each query, with ranks; at most k rows per query and shard come in."""
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -308,25 +312,27 @@ def top_k(
         for p, part in numbers.toPandas().groupby("pivot")
     }
     shards = {int(r.pivot): int(-(-r.n // shard)) for r in spans.itertuples()}
-    count = F.lit(1)
-    for p, n in shards.items():
-        if n > 1:
-            count = F.when(F.col("pivot") == p, F.lit(n)).otherwise(count)
-    place = F.pmod(F.xxhash64("vec_id", "v"), count).cast("int")
+    place = F.pmod(F.xxhash64("vec_id", "v"), by_pivot(shards)).cast("int")
     stored = index.withColumn("shard", place)
 
     # an id asks once: repeated rows would count a candidate twice towards the k-th best
     asked = index.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     asked = materialize(asked.withColumn("floor", F.lit(float("-inf"))), "topk-queries")
-    blocks = max(1, -(-asked.count() // block))
 
     def searched(queries: DataFrame, nearest: bool) -> DataFrame:
-        to = routed(queries, centres, rings, shards, nearest).withColumn(
-            "block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
-        )
-        every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+        to = materialize(routed(queries, centres, rings, nearest), "topk-routed")
+        # a pivot's vectors are sent once for so many queries of theirs, and not without any
+        numbers = {r["pivot"]: r["count"] for r in to.groupBy("pivot").count().collect()}
+        blocks = by_pivot({p: -(-n // block) for p, n in numbers.items()})
+
+        def every(count: Column) -> Column:
+            return F.explode(F.sequence(F.lit(0), (count - 1).cast("int")))
+
         rows = stored.filter("shard = 0") if nearest else stored
-        rows = rows.select("pivot", "shard", every, "vec_id", "dist", "norm", "v")
+        rows = rows.filter(blocks.isNotNull()).withColumn("block", every(blocks))
+        shard = F.lit(0) if nearest else every(by_pivot(shards))
+        to = to.withColumn("block", F.pmod(F.xxhash64("query_id"), blocks).cast("int"))
+        to = to.withColumn("shard", shard)
         key = ["pivot", "shard", "block"]
         return (
             rows.groupBy(*key)
