@@ -351,6 +351,8 @@ def finals() -> dict[str, str]:
             FROM ({metrics('persistence', IN_CUT)}) m""",
         "regimes_from_parts": regimes(),
         "regimes_in_range_from_parts": regimes(IN_CUT),
+        "running_realized_vol": f"SELECT {keys}, {rs(['log_return', 'realized_vol'])} FROM vol",
+        "running_features": f"SELECT {featured} FROM features",
         "appended_features": f"SELECT {featured} FROM features",
         "appended_processed": f"SELECT {rs([*INPUTS, 'vix'])} FROM processed",
         "residuals": f"""SELECT {keys}, {r('predicted - actual', 'residual')},
@@ -678,6 +680,7 @@ def oracle_sql() -> dict[str, str]:
         "walk_forward_train_mean",
         "backtest_metrics",
         "regime_intervals",
+        "running_features",
     ):
         texts[f"chunked_{name}"] = texts[name]
     for name in (

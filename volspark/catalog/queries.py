@@ -642,6 +642,14 @@ def queries() -> dict[str, Query]:
         "vix_features": _feature_group(_vix_features),
         "target_vol": _feature_group(lambda df, w: df.withColumns(feature_columns_of.target(w))),
         "features_full": lambda p: rounded(p.features),
+        "running_realized_vol": lambda p: rounded(
+            realized_volatility(p.bars, layout=p.layout, running=True).select(
+                "symbol", "date", "log_return", "realized_vol"
+            )
+        ),
+        "running_features": lambda p: rounded(
+            add_features(p.processed, layout=p.layout, running=True)
+        ),
         "features_without_index": lambda p: rounded(add_features(p.vol, layout=p.layout)),
         "feature_warmup_counts": _warmup_counts,
         "model_matrix": _model_matrix,
@@ -724,6 +732,7 @@ def queries() -> dict[str, Query]:
         "walk_forward_train_mean",
         "backtest_metrics",
         "regime_intervals",
+        "running_features",
     ):
         found[f"chunked_{name}"] = on_panel(made[name], chunked=True)
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from volspark.functions import PERIODS_PER_YEAR, annualize, rolling_mean, rolling_std
+from volspark.functions.prefix import Rolling, add_rolling
 from volspark.operators.clean import drop_incomplete
 from volspark.operators.series import WHOLE, SeriesLayout, over_series
 from volspark.schemas import TARGET
@@ -66,23 +67,40 @@ def target(w: WindowSpec, horizon: int = HORIZON) -> dict[str, Column]:
     return {TARGET: F.lead("realized_vol", horizon).over(w)}
 
 
+def running_features(with_vix: bool = True) -> dict[str, Rolling]:
+    """The means and deviations among the features, those of returns not yet annualized."""
+    found = {f"vol_of_vol_{n}": Rolling("realized_vol", n) for n in (SHORT, MONTH)}
+    found |= {f"mean_return_{n}": Rolling("log_return", n, False) for n in (SHORT, MONTH)}
+    found |= {f"vol_{n}d": Rolling("log_return", n) for n in (SHORT, QUARTER)}
+    if with_vix:
+        found["vix_rolling_5"] = Rolling("vix_normalized", SHORT, False)
+    return found
+
+
 def add_features(
     processed: DataFrame,
     horizon: int = HORIZON,
     lags: Sequence[int] = LAGS,
     periods_per_year: int = PERIODS_PER_YEAR,
     layout: SeriesLayout = WHOLE,
+    running: bool = False,
 ) -> DataFrame:
     """Add the features and ``target_vol`` and drop every incomplete row.
 
     The index features are added only where there is a ``vix`` column. All windows
-    share one partitioning and order, so they cost one sort.
+    share one partitioning and order, so they cost one sort. With ``running``, means and
+    deviations come from running sums, whatever the length of their windows.
     """
     with_vix = "vix" in processed.columns
 
     def compute(df: DataFrame, w: WindowSpec) -> DataFrame:
         if with_vix:
             df = df.withColumns(vix_level())
+        if running:
+            df = add_rolling(df, w, running_features(with_vix))
+            annual = {c: annualize(F.col(c), periods_per_year) for c in ("vol_5d", "vol_63d")}
+            index = {"vix_lag_1": F.lag("vix_normalized").over(w)} if with_vix else {}
+            return df.withColumns(vol_lags(w, lags) | annual | index | target(w, horizon))
         return df.withColumns(
             vol_lags(w, lags)
             | vol_of_vol(w)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from volspark.functions import PERIODS_PER_YEAR, annualize, rolling_std
+from volspark.functions.prefix import Rolling, add_rolling
 from volspark.operators.clean import drop_incomplete
 from volspark.operators.series import WHOLE, SeriesLayout, over_series
 
@@ -30,14 +31,19 @@ def realized_volatility(
     window: int = 21,
     periods_per_year: int = PERIODS_PER_YEAR,
     layout: SeriesLayout = WHOLE,
+    running: bool = False,
 ) -> DataFrame:
     """Add ``log_return`` and ``realized_vol`` and drop every incomplete row.
 
     ``realized_vol`` is the sample deviation of the last ``window`` returns,
-    annualized, so the first ``window`` rows of each symbol go.
+    annualized, so the first ``window`` rows of each symbol go. With ``running`` it comes
+    from running sums, whatever the window's length.
     """
 
     def compute(df: DataFrame, w: WindowSpec) -> DataFrame:
+        if running:
+            df = add_rolling(_add_returns(df, w), w, {"realized_vol": Rolling("log_return", window)})
+            return df.withColumn("realized_vol", annualize(F.col("realized_vol"), periods_per_year))
         vol = annualize(rolling_std("log_return", window, w), periods_per_year)
         return _add_returns(df, w).withColumn("realized_vol", vol)
 
