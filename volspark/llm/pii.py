@@ -7,8 +7,9 @@ ranks: the rank is cut in two, and in turn each part is shifted, modulo its own
 keyed hash of the other. That is a bijection on the format's values, whatever the sizes, so
 equal values get equal pseudonyms in every document, different values different ones, and a
 pseudonym has its original's layout and passes the same check. E-mail addresses have no
-finite format; their local part becomes a keyed hash, the domain stays. A date that can only
-be read month first is permuted among those. The key is a value of a one-row table, not of the
+finite format; their local part becomes a keyed hash, the domain stays. Days up to the 12th of
+a month are permuted among those, later ones among later ones: a date has one pseudonym in all
+layouts, and no text can stand for two. The key is a value of a one-row table, not of the
 plan: ``explain`` and event logs do not show it.
 
 A text is split at what was found and joined again around the pseudonyms, all inside its
@@ -80,11 +81,11 @@ PATTERNS = {
 FIND = "|".join(PATTERNS.values())
 KINDS = tuple(PATTERNS)
 
-#: Days of the Gregorian cycle of 400 years from 1800 on, as two factors (fixed values).
-CYCLE_START, CYCLE = "1800-01-01", (189, 773)
-#: Those after the 12th of a month, which alone are told from their months when written month
-#: first: as two factors, and the months they lie in (fixed values).
-LATE, LATE_FROM, CYCLE_MONTHS = (9, 9_833), 13, 4_800
+#: The Gregorian cycle of 400 years: its first day here, its days and months (fixed values).
+CYCLE_START, CYCLE_DAYS, CYCLE_MONTHS = "1800-01-01", 146_097, 4_800
+#: Days that could also be months, up to the 12th, and those that could not, as two factors
+#: each (fixed values).
+EARLY_DAYS, EARLY, LATE = 12, (240, 240), (9, 9_833)
 
 #: Areas of social security numbers (001 to 899 but 666), and groups times serials.
 AREAS, REST = 898, 99 * 9_999
@@ -118,8 +119,11 @@ def turned(a: Column, b: Column, m: Column, n: Column, key: Column, kind: Column
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn)
 
 
-def permuted(rank: Column, first: Column, second: Column, key: Column, kind: Column) -> Column:
-    """A permutation of 0 .. first * second - 1."""
+def permuted(
+    rank: Column, first: Column, second: Column, key: Column | str, kind: Column
+) -> Column:
+    """A permutation of 0 .. first * second - 1; ``key`` is a column or a text."""
+    key = F.lit(key) if isinstance(key, str) else key
     state = turned(rank_div(rank, second), F.pmod(rank, second), first, second, key, kind)
     return with_value(state, lambda s: s["a"] * s["n"] + s["b"])
 
@@ -243,12 +247,10 @@ def date(match: Column, key: Column) -> Column:
     """A day of 1800 to 2199, permuted among those, written in the same order.
 
     Day before month is tried first where the year stands last, so what is read month first
-    has a day after the 12th, and is permuted among such days: otherwise its pseudonym could be
-    that of another day read day first. A month's name stays in its language, the letters after
-    an ordinal follow the day.
+    has a day after the 12th; its pseudonym has one, too, and is read in the same way. A
+    month's name stays in its language, the letters after an ordinal follow the day.
     """
     first = F.lit(CYCLE_START).cast("date")
-    size = CYCLE[0] * CYCLE[1]
     parts = F.split(match, "[-/.]")
     name = F.lower(F.regexp_extract(match, MONTH, 0))
     at = F.element_at(F.create_map(*[F.lit(x) for pair in MONTH_AT.items() for x in pair]), name)
@@ -268,7 +270,6 @@ def date(match: Column, key: Column) -> Column:
         F.regexp_extract(match, "[0-9]{4}", 0), month, F.regexp_extract(match, day_of, 0)
     )
     month_first = day(part(2), part(0), part(1))
-    late = ~named & ~year_first & day_first.isNull()
     found = (
         F.when(named, in_name)
         .when(year_first, day(part(0), part(1), part(2)))
@@ -303,29 +304,36 @@ def date(match: Column, key: Column) -> Column:
     def months(day: Column) -> Column:
         return (F.year(day) - F.year(first)) * 12 + F.month(day) - 1
 
+    def early_day(rank: Column) -> Column:
+        month = rank_div(rank, F.lit(EARLY_DAYS)).cast("int")
+        return F.date_add(F.add_months(first, month), F.pmod(rank, F.lit(EARLY_DAYS)).cast("int"))
+
     def late_day(rank: Column) -> Column:
-        """The day after the 12th of that rank: its month is next to the one by the average."""
+        """The later day of that rank: its month is next to the one by the average."""
         guess = F.floor(rank * CYCLE_MONTHS / (LATE[0] * LATE[1])).cast("int")
 
         def of_month(month: Column) -> Column:
             begin = F.add_months(first, month)
-            place = rank - (F.datediff(begin, first) - (LATE_FROM - 1) * month)
-            size = F.dayofmonth(F.last_day(begin)) - (LATE_FROM - 1)
+            place = rank - (F.datediff(begin, first) - EARLY_DAYS * month)
+            size = F.dayofmonth(F.last_day(begin)) - EARLY_DAYS
             return F.when(
-                (place >= 0) & (place < size), F.date_add(begin, (place + LATE_FROM - 1).cast("int"))
+                (place >= 0) & (place < size), F.date_add(begin, (place + EARLY_DAYS).cast("int"))
             )
 
         return F.coalesce(*[of_month(guess + k) for k in (0, -1, 1)])
 
-    def moved(rank: Column) -> Column:
-        other = permuted(rank, F.lit(CYCLE[0]), F.lit(CYCLE[1]), key, F.lit("date"))
-        new = F.date_add(first, other.cast("int"))
-        late_rank = rank - (LATE_FROM - 1) * (months(found) + 1)
-        other = permuted(late_rank, F.lit(LATE[0]), F.lit(LATE[1]), key, F.lit("late date"))
-        new = F.when(late, with_value(other, late_day)).otherwise(new)
-        return F.when(rank.between(0, size - 1), with_value(new, written))
+    def moved(day: Column) -> Column:
+        number = F.datediff(day, first).cast("long")
+        early_rank = months(day) * F.lit(EARLY_DAYS).cast("long") + F.dayofmonth(day) - 1
+        late_rank = number - EARLY_DAYS * (months(day) + 1)
+        early = permuted(early_rank, F.lit(EARLY[0]), F.lit(EARLY[1]), key, F.lit("early date"))
+        late = permuted(late_rank, F.lit(LATE[0]), F.lit(LATE[1]), key, F.lit("late date"))
+        new = F.when(F.dayofmonth(day) <= EARLY_DAYS, with_value(early, early_day)).otherwise(
+            with_value(late, late_day)
+        )
+        return F.when(number.between(0, CYCLE_DAYS - 1), with_value(new, written))
 
-    return with_value(F.datediff(found, first).cast("long"), moved)
+    return with_value(found, moved)
 
 
 def two_halves(text: Column, base: int, key: Column, kind: str) -> Column:
