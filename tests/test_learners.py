@@ -228,7 +228,7 @@ def test_spread_stores_a_row_once_for_all_refits(features, monkeypatch):
 def test_spread_adds_up_by_a_shuffle_as_well(features, monkeypatch):
     rows, params = holdout_rows(features).repartition(5), BoostParams(trees=2)
     few, _ = fit_spread(rows, COLUMNS, params)
-    monkeypatch.setattr(spread, "TASKS_GATHERED", 0)
+    monkeypatch.setattr(spread, "GATHERED", 0)
     many, _ = fit_spread(rows, COLUMNS, params)
     assert model_texts(few) == model_texts(many)
 

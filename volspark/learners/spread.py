@@ -32,11 +32,12 @@ from volspark.sinks import clearing_scratch, materialize, scratch_path
 
 #: Refits whose predictions a row holds at once, and models worked on side by side: the driver
 #: holds the trees of these and a level's histograms.
-REFITS_AT_ONCE, MODELS_AT_ONCE = 64, 256
+REFITS_AT_ONCE, MODELS_AT_ONCE = 64, 128
 #: Trees a row is walked through before its predictions are stored again.
 TREES_PER_STATE = 10
-#: So few tasks hand their histograms to the driver as they are, without a shuffle.
-TASKS_GATHERED = 16
+#: So few tasks, times models, hand their histograms (some 400 kB of each) to the driver as they
+#: are, without a shuffle.
+GATHERED = 64
 #: Above any number of ranges on one side of zero.
 RANGES = 1 << 21
 
@@ -496,13 +497,14 @@ def _fit_batch(train: DataFrame, width: int, refits: int, params: BoostParams) -
     _place_borders(train, growths, width, params)
     state = _first_state(train, growths, refits)
     tasks = state.select(F.spark_partition_id().alias("task")).distinct().count()
+    gathered = tasks * refits * len(growths) <= GATHERED
     settled = 0
     for tree in range(params.trees):
         if tree - settled == TREES_PER_STATE:
             shared = train.sparkSession.sparkContext.broadcast(growths)
             state, settled = _settled(state, shared, settled, width, refits), tree
             shared.destroy()
-        _grow(state, growths, settled, tree, width, params, tasks <= TASKS_GATHERED)
+        _grow(state, growths, settled, tree, width, params, gathered)
     return growths
 
 
@@ -538,10 +540,13 @@ def fit_models(
         raise ValueError("no series has a row to score")
     at_once = min(most, refits_at_once)
     shares = max(1, -(-series * at_once // MODELS_AT_ONCE))
-    share = F.pmod(F.xxhash64("series"), F.lit(shares))
+    if shares > 1:
+        # a share is a folder, so that each is read without the others
+        share = F.pmod(F.xxhash64("series"), F.lit(shares)).cast("int")
+        rows = materialize(rows.withColumn("share", share), "fit-rows", ("share",))
     path = scratch_path(spark, "fitted")
     for part in range(shares):
-        own = rows.filter(share == part) if shares > 1 else rows
+        own = rows.filter(F.col("share") == part) if shares > 1 else rows
         for first in range(0, most, at_once):
             stop = F.least(F.col("refits"), F.lit(first + at_once))
             train = own.filter(F.greatest("segment", F.lit(first)) < stop).select(
