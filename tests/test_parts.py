@@ -91,3 +91,18 @@ def test_only_cut_parts_are_read_as_rows(scored):
     months = {(r.date.year, r.date.month) for r in _cut_parts(scored, "month", "2020-02-11", "2021-09-17").collect()}
     assert months == {(2020, 2), (2021, 9)}
     assert _cut_parts(scored, "month", "2020-02-01", "2020-02-29").count() == 0
+
+
+def test_scored_rows_are_read_once(spark, scored):
+    """However often the states are merged, each scored row is computed one time."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    rows = scored.count()
+    once = scored.mapInArrow(counted, scored.schema)
+    regimes_in_range(run_states(once), once).collect()
+    assert reads.value == rows
