@@ -12,7 +12,7 @@ from volspark.operators.backtest import walk_forward
 from volspark.operators.features import add_features
 from volspark.operators.series import SeriesLayout
 from volspark.sinks import clearing_scratch, materialize, shared_folder, write_table
-from volspark.plans.pipeline import store_reports
+from volspark.plans.pipeline import store_features, store_reports
 from volspark.sources import (
     load_featured,
     read_bars,
@@ -299,3 +299,21 @@ def test_job_runs_from_a_table_of_bars(spark, bars, implied_vol, tmp_path, capsy
     assert "directional_accuracy" in capsys.readouterr().out
     paths = run.main([*common, "--out", out + "2", "--symbols", "BBB"], spark)
     assert [r.symbol for r in spark.read.parquet(paths["metrics"]).collect()] == ["BBB"]
+
+
+def test_features_are_stored_by_the_shuffle_of_their_windows(spark, processed, tmp_path, monkeypatch):
+    """Few files, one folder a symbol, and no second shuffle of the wide rows."""
+
+    def rebalanced(*_, **__):
+        raise AssertionError("shuffled again")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(processed), "hint", rebalanced)
+        stored = store_features(processed, str(tmp_path))
+    assert stored.columns == add_features(processed).columns
+    assert rows_of(stored) == rows_of(add_features(processed))
+    files = [f for f in (tmp_path / "features").rglob("bucket=[0-9]*/*.parquet")]
+    assert len(files) == len({f.parent for f in files}) <= 3
+    # long series are cut into chunks, whatever their shard
+    cut = store_features(processed, str(tmp_path / "cut"), layout=SeriesLayout(80))
+    assert rows_of(cut) == rows_of(stored)
