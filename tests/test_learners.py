@@ -361,3 +361,19 @@ def test_unknown_learner_is_refused(features):
 def test_series_without_folds_yield_nothing(features):
     short = features.filter(F.col("date") < "2020-01-15")
     assert walk_forward(short, params=BoostParams(trees=1)).predictions.count() == 0
+
+
+def test_pooled_plan_makes_the_features_once(spark, features):
+    from volspark.catalog import queries as catalog
+
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    panel = catalog.Panel(spark, "none")
+    panel.features = features.mapInArrow(counted, features.schema)
+    plan = catalog._pooled_plan(panel).collect()
+    assert plan and made.value == features.count()
