@@ -377,3 +377,18 @@ def test_pooled_plan_makes_the_features_once(spark, features):
     panel.features = features.mapInArrow(counted, features.schema)
     plan = catalog._pooled_plan(panel).collect()
     assert plan and made.value == features.count()
+
+
+def test_learning_rows_hold_what_learners_use(features, monkeypatch):
+    import volspark.operators.backtest as module
+
+    kept = []
+
+    def watched(df, name, by=()):
+        kept.append(df.columns)
+        return df
+
+    monkeypatch.setattr(module, "materialize", watched)
+    module.holdout(features, params=BoostParams(trees=1, depth=1), columns=COLUMNS)
+    assert set(kept[0]) >= {"symbol", "date", "n", "target_vol", *COLUMNS}
+    assert "realized_vol" not in kept[0]
