@@ -317,3 +317,28 @@ def test_features_are_stored_by_the_shuffle_of_their_windows(spark, processed, t
     # long series are cut into chunks, whatever their shard
     cut = store_features(processed, str(tmp_path / "cut"), layout=SeriesLayout(80))
     assert rows_of(cut) == rows_of(stored)
+
+
+def test_replaced_buckets_are_written_once(spark, tmp_path, monkeypatch):
+    """Rows go to their folders straight, not by way of scratch tables."""
+    path = str(tmp_path / "t")
+    rows = [(f"S{i % 40}", date(2024, 1, 1) + timedelta(days=i), float(i)) for i in range(400)]
+    table = spark.createDataFrame(rows, "symbol string, date date, x double")
+    write_table(table, path)
+    stored = []
+
+    def watched(df, name, by=()):
+        stored.append(name)
+        return materialize(df, name, by)
+
+    monkeypatch.setattr("volspark.sinks.materialize", watched)
+    own = table.select("symbol").distinct().filter("symbol < 'S2'")
+    new = table.filter("symbol < 'S2' AND symbol != 'S11'").withColumn("x", -F.col("x"))
+    write_table(new, path, own)
+    assert stored == ["new-symbols"]
+    ours = rows_of(spark.read.parquet(path).select(*table.columns))
+    signs = {s: -1 if s < "S2" else 1 for s, _, _ in rows}
+    assert [tuple(r.values()) for r in ours] == sorted(
+        (s, day, signs[s] * x) for s, day, x in rows if s != "S11"
+    )
+    assert not list((tmp_path / "t").glob("_new*"))
