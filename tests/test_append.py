@@ -9,7 +9,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from volspark import schemas
+from volspark.catalog.queries import queries
 from volspark.operators.features import add_features
+from volspark.operators.series import SeriesLayout
 from volspark.plans.append import SeriesStore
 from volspark.plans.pipeline import build_processed
 
@@ -131,3 +133,81 @@ def test_nothing_appended(spark, tmp_path, panel, index):
     store.append(panel, index)
     whole = add_features(build_processed(panel, index))
     assert collect(store.read("features"), *KEYS) == collect(whole, *KEYS)
+
+
+def test_an_append_shuffles_its_bars_and_no_wider_rows(spark, tmp_path, panel, index, monkeypatch):
+    """The check, all windows and the folders of both tables go by one shuffle of the bars."""
+    first, rest = (date(2000, 1, 1), date(2022, 4, 1)), (date(2022, 4, 1), date(2030, 1, 1))
+    found, write = [], SeriesStore._write
+
+    def watched(store, rows, table, number):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        by_symbol = plan.count("hashpartitioning(symbol#")
+        found.append((table, plan.count("hashpartitioning(shard_#"), by_symbol))
+        write(store, rows, table, number)
+
+    def rebalanced(*_, **__):
+        raise AssertionError("shuffled again")
+
+    store = SeriesStore(spark, str(tmp_path))
+    with monkeypatch.context() as patch:
+        patch.setattr(SeriesStore, "_write", watched)
+        patch.setattr(type(panel), "hint", rebalanced)
+        store.append(between(panel, *first), between(index, *first))
+        store.append(between(panel, *rest), between(index, *rest))
+    # the features of a later append take the carried rows too, dealt out alike
+    assert found == [("processed", 1, 0), ("features", 1, 0), ("processed", 1, 0), ("features", 2, 0)]
+    whole = build_processed(panel, index)
+    assert collect(store.read("processed"), *KEYS) == collect(whole, *KEYS)
+    assert collect(store.read("features"), *KEYS) == collect(add_features(whole), *KEYS)
+
+
+def test_carried_rows_hold_what_windows_look_at(spark, tmp_path, panel, index):
+    store = appended(spark, tmp_path, panel, index, [date(2022, 4, 15)])
+    carried = spark.read.parquet(f"{tmp_path}/carried_processed/append=1")
+    past, still_open = carried.filter("mark = 0"), carried.filter("mark = 1")
+    assert past.filter("coalesce(open, high, low, close, volume) IS NOT NULL").count() == 0
+    assert past.count() == past.dropna(subset=["log_return", "realized_vol", "vix"]).count() > 0
+    assert still_open.count() == still_open.dropna().count() > 0
+    assert not {"bucket", "shard_"} & set(carried.columns + store.read("features").columns)
+
+
+def test_chunks_of_long_series_are_appended_alike(spark, tmp_path, panel, index):
+    cuts = [date(2022, 3, 15), date(2022, 5, 3)]
+    store = appended(spark, tmp_path, panel, index, cuts, layout=SeriesLayout(80))
+    whole = build_processed(panel, index)
+    assert collect(store.read("processed"), *KEYS) == collect(whole, *KEYS)
+    assert collect(store.read("features"), *KEYS) == collect(add_features(whole), *KEYS)
+
+
+def test_days_of_a_series_without_volatility_must_be_new_too(spark, tmp_path, panel, index):
+    """Rows that drop out for want of a full window are checked before they do."""
+    store = SeriesStore(spark, str(tmp_path))
+    young = panel.filter("symbol = 'DDD'").orderBy("date").limit(6).cache()
+    store.append(young, index)
+    with pytest.raises(PySparkException, match="day not after the stored ones"):
+        store.append(young.orderBy(F.desc("date")).limit(1), index)
+    assert store.committed == [0]
+
+
+def test_the_query_makes_its_bars_and_index_once(spark, tmp_path, monkeypatch):
+    """Each part reads stored rows, not the line items and orders again."""
+    days = [date(1996, 6, 1) + timedelta(days=i) for i in range(1_300)]
+    lines = [(i % 2, 900.0 + i % 37, 1.0 + i % 3, day) for i, day in enumerate(days)]
+    orders = [(day, 100.0 + i * k % 11) for i, day in enumerate(days) for k in (1, 2, 3)]
+    kinds = "l_suppkey long, l_extendedprice double, l_quantity double, l_shipdate date"
+    spark.createDataFrame(lines, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
+    kinds = "o_orderdate date, o_totalprice double"
+    spark.createDataFrame(orders, kinds).write.parquet(f"{tmp_path}/orders.parquet")
+    plans, append = [], SeriesStore.append
+
+    def watched(store, bars, implied_vol, span_days=None):
+        plans.extend(df._jdf.queryExecution().executedPlan().toString() for df in (bars, implied_vol))
+        return append(store, bars, implied_vol, span_days)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(SeriesStore, "append", watched)
+        ours = queries()["suppliers_appended_features"](spark, str(tmp_path))
+    assert len(plans) == 8 and not [plan for plan in plans if "Exchange" in plan]
+    whole = queries()["suppliers_features_full"](spark, str(tmp_path))
+    assert collect(ours, *KEYS) == collect(whole, *KEYS) != []
