@@ -1,4 +1,5 @@
 import os
+import time
 from datetime import date, timedelta
 
 import pytest
@@ -11,8 +12,16 @@ from volspark.learners.boosting import BoostParams
 from volspark.operators.backtest import walk_forward
 from volspark.operators.features import add_features
 from volspark.operators.series import SeriesLayout
-from volspark.sinks import clearing_scratch, materialize, shared_folder, write_table
-from volspark.plans.pipeline import store_features, store_reports
+from volspark.sinks import (
+    DROP_SHUFFLES,
+    by_shard,
+    clearing_scratch,
+    dropping_shuffles,
+    materialize,
+    shared_folder,
+    write_table,
+)
+from volspark.plans.pipeline import build_processed, store_features, store_reports
 from volspark.sources import (
     load_featured,
     read_bars,
@@ -342,3 +351,84 @@ def test_replaced_buckets_are_written_once(spark, tmp_path, monkeypatch):
         (s, day, signs[s] * x) for s, day, x in rows if s != "S11"
     )
     assert not list((tmp_path / "t").glob("_new*"))
+
+
+def test_files_of_other_symbols_are_not_written_again(spark, tmp_path, monkeypatch):
+    """Runs for some symbols, the others, some again: a file stays until one of its own is replaced."""
+    path = str(tmp_path / "t")
+    rows = [(f"S{i % 40}", date(2024, 1, 1) + timedelta(days=i), float(i)) for i in range(400)]
+    table = spark.createDataFrame(rows, "symbol string, date date, x double")
+    odd = F.substring("symbol", -1, 1).cast("int") % 2 == 1
+
+    def write(new):
+        write_table(new, path, new.select("symbol").distinct())
+        return {f for f in (tmp_path / "t").rglob("bucket=[0-9]*/*.parquet")}
+
+    first = write(table.filter(odd))
+    second = write(table.filter(~odd))
+    assert first < second
+    third = write(table.filter(odd).withColumn("x", -F.col("x")))
+    assert third & second == second - first and len(third) == len(second)
+    # a file that also holds a symbol that stays is written again without the replaced one
+    shared = write(by_shard(table.withColumn("x", F.col("x") * 2)))
+    assert not shared & third
+    write(table.filter("symbol = 'S3'"))
+
+    def stored():
+        return [tuple(r.values()) for r in rows_of(spark.read.parquet(path).select(*table.columns))]
+
+    now = sorted((s, day, x if s == "S3" else 2 * x) for s, day, x in rows)
+    assert stored() == now
+    # buckets of too many files become few files
+    write(table.filter("symbol = 'S3'"))
+    monkeypatch.setattr("volspark.sinks.FILES_A_SHARD", 0)
+    [mine] = {f.parent for f in write(table.filter("symbol = 'S3'")) if "S3" in set(
+        spark.read.parquet(str(f)).toPandas()["symbol"])}
+    assert len(list(mine.glob("*.parquet"))) == 1 and stored() == now
+    assert not list((tmp_path / "t").glob("_new*"))
+
+
+def test_a_run_shuffles_its_bars_once_for_the_processed_table(
+    spark, bars, implied_vol, tmp_path, monkeypatch
+):
+    """Windows and folders share a shuffle, row by row tables of the results need none."""
+    plans, lies = {}, {}
+
+    def watched(df, path, *args, **options):
+        name = path.rpartition("/")[2]
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        lies[name] = options.get("as_they_lie", False)
+        return write_table(df, path, *args, **options)
+
+    monkeypatch.setattr("volspark.plans.pipeline.write_table", watched)
+    paths = run_pipeline(spark, bars, implied_vol, str(tmp_path), learner="persistence")
+    assert plans["processed"].count("hashpartitioning(shard_#") == 1
+    assert "hashpartitioning(symbol#" not in plans["processed"]
+    for name in ("series", "residuals", "scatter"):
+        assert lies[name] and "hashpartitioning" not in plans[name]
+        files = list((tmp_path / "reports" / name).rglob("bucket=[0-9]*/*.parquet"))
+        results = list((tmp_path / "results").rglob("bucket=[0-9]*/*.parquet"))
+        assert 0 < len(files) <= len(results)
+    assert rows_of(spark.read.parquet(paths["processed"]).drop("bucket")) == rows_of(
+        build_processed(bars, implied_vol)
+    )
+
+
+def test_shuffle_files_go_with_the_action_that_made_them(spark, bars, implied_vol, tmp_path):
+    local = tmp_path / "seen"
+
+    def shuffles():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return sum(1 for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f)
+
+    setting = spark.conf.get(DROP_SHUFFLES)
+    before = shuffles()
+    run_pipeline(spark, bars, implied_vol, str(local), learner="persistence")
+    until = time.time() + 20
+    while shuffles() > before and time.time() < until:
+        time.sleep(0.5)
+    assert shuffles() <= before
+    assert spark.conf.get(DROP_SHUFFLES) == setting
+    with pytest.raises(RuntimeError), dropping_shuffles(spark), dropping_shuffles(spark):
+        raise RuntimeError
+    assert spark.conf.get(DROP_SHUFFLES) == setting
