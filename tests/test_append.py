@@ -211,3 +211,81 @@ def test_the_query_makes_its_bars_and_index_once(spark, tmp_path, monkeypatch):
     assert len(plans) == 8 and not [plan for plan in plans if "Exchange" in plan]
     whole = queries()["suppliers_features_full"](spark, str(tmp_path))
     assert collect(ours, *KEYS) == collect(whole, *KEYS) != []
+
+
+def test_folding_shuffles_no_row_and_leaves_few_files(spark, tmp_path, panel, index, monkeypatch):
+    store = appended(spark, tmp_path, panel, index, [date(2022, 4, 15), date(2022, 5, 20)])
+    before = {table: collect(store.read(table), *KEYS) for table in ("processed", "features")}
+    plans, spread, write = {}, {}, SeriesStore._write
+
+    def watched(store, rows, table, number, **options):
+        plans[table] = rows._jdf.queryExecution().executedPlan().toString()
+        spread[table] = {
+            task: {r.symbol for r in lines}
+            for task, lines in enumerate(rows.select("symbol").rdd.glom().collect()) if lines
+        }
+        write(store, rows, table, number, **options)
+
+    def rebalanced(*_, **__):
+        raise AssertionError("shuffled again")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(SeriesStore, "_write", watched)
+        patch.setattr(type(panel), "hint", rebalanced)
+        number = store.compact()
+    for table, rows in before.items():
+        assert len(spread[table]) > 1 and max(len(of) for of in spread[table].values()) == 1
+        assert "Exchange" not in plans[table]
+        assert collect(store.read(table), *KEYS) == rows != []
+        folder = tmp_path / table / f"append={number}"
+        files = list(folder.rglob("bucket=[0-9]*/*.parquet"))
+        assert len(files) <= 2 * len({f.parent for f in files})
+        for file in files:
+            lines = [(r.symbol, r.date) for r in spark.read.parquet(str(file)).collect()]
+            assert lines == sorted(lines)
+    # many tasks a bucket, and a store of no rows
+    monkeypatch.setattr("volspark.plans.append.FILE_BYTES", 1_000)
+    store.compact()
+    assert collect(store.read("features"), *KEYS) == before["features"]
+    bare = SeriesStore(spark, str(tmp_path / "bare"))
+    bare.append(panel.limit(0), index.limit(0))
+    bare.compact()
+    assert bare.read("features").columns == store.read("features").columns
+    assert bare.read("features").count() == 0
+
+
+def test_folded_folders_can_be_dropped(spark, tmp_path, panel, index):
+    cuts = [date(2022, 4, 15), date(2022, 5, 10)]
+    early, late = (date(2000, 1, 1), date(2022, 5, 20)), (date(2022, 5, 20), date(2030, 1, 1))
+    store = appended(spark, tmp_path, between(panel, *early), between(index, *early), cuts)
+    store.drop_folded()
+    whole = build_processed(between(panel, *early), index)
+    assert collect(store.read("processed"), *KEYS) == collect(whole, *KEYS)
+    number = store.compact()
+    store.drop_folded()
+    for table in ("processed", "features", "carried_bars", "carried_processed"):
+        assert [f.name for f in (tmp_path / table).glob("append=*")] == [f"append={number}"]
+    store.append(between(panel, *late), between(index, *late))
+    whole = build_processed(panel, index)
+    assert collect(store.read("processed"), *KEYS) == collect(whole, *KEYS)
+    assert collect(store.read("features"), *KEYS) == collect(add_features(whole), *KEYS)
+    SeriesStore(spark, str(tmp_path / "none")).drop_folded()
+
+
+def test_the_query_keeps_no_bars_and_nothing_folded(spark, tmp_path, monkeypatch):
+    days = [date(1996, 6, 1) + timedelta(days=i) for i in range(1_300)]
+    lines = [(i % 2, 900.0 + i % 37, 1.0 + i % 3, day) for i, day in enumerate(days)]
+    orders = [(day, 100.0 + i * k % 11) for i, day in enumerate(days) for k in (1, 2, 3)]
+    kinds = "l_suppkey long, l_extendedprice double, l_quantity double, l_shipdate date"
+    spark.createDataFrame(lines, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
+    kinds = "o_orderdate date, o_totalprice double"
+    spark.createDataFrame(orders, kinds).write.parquet(f"{tmp_path}/orders.parquet")
+    scratch = tmp_path / "scratch"
+    monkeypatch.setattr("volspark.sinks.shared_folder", lambda spark: str(scratch))
+    ours = queries()["suppliers_appended_features"](spark, str(tmp_path))
+    [store] = scratch.iterdir()
+    assert [f.name for f in sorted(store.glob("features/append=*"))] == [
+        "append=2", "append=3", "append=4"
+    ]
+    whole = queries()["suppliers_features_full"](spark, str(tmp_path))
+    assert collect(ours, *KEYS) == collect(whole, *KEYS) != []
