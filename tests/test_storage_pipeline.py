@@ -414,8 +414,16 @@ def test_a_run_shuffles_its_bars_once_for_the_processed_table(
     )
 
 
-def test_shuffle_files_go_with_the_action_that_made_them(spark, bars, implied_vol, tmp_path):
-    local = tmp_path / "seen"
+def test_shuffle_files_go_with_the_action_that_made_them(
+    spark, bars, implied_vol, tmp_path, monkeypatch
+):
+    found = []
+
+    def watched(df, path, *args, **options):
+        found.append(spark.conf.get(DROP_SHUFFLES))
+        return write_table(df, path, *args, **options)
+
+    monkeypatch.setattr("volspark.plans.pipeline.write_table", watched)
 
     def shuffles():
         disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
@@ -423,7 +431,8 @@ def test_shuffle_files_go_with_the_action_that_made_them(spark, bars, implied_vo
 
     setting = spark.conf.get(DROP_SHUFFLES)
     before = shuffles()
-    run_pipeline(spark, bars, implied_vol, str(local), learner="persistence")
+    run_pipeline(spark, bars, implied_vol, str(tmp_path), learner="persistence")
+    assert set(found) == {"true"}
     until = time.time() + 20
     while shuffles() > before and time.time() < until:
         time.sleep(0.5)
